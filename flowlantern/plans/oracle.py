@@ -272,15 +272,15 @@ _LIFE = (
     + ", ".join(f"{name} AS ({sql})" for name, sql in _islands(4 * q.SESSION_IDLE).items())
     + f", keyed AS (SELECT *, concat_ws('|', {_KEY}) AS k FROM islands)"
     ", points AS (SELECT k, us, min(island) AS island FROM keyed GROUP BY k, us)"
-    ", nexts AS (SELECT a.k, a.us, b.us AS by_life FROM points a"
-    f" ASOF LEFT JOIN points b ON a.k = b.k AND a.us + {_LIFE_US} < b.us)"
+    ", nexts AS (SELECT k, us, island, min(us) OVER (PARTITION BY k ORDER BY us"
+    f" RANGE BETWEEN {_LIFE_US + 1} FOLLOWING AND UNBOUNDED FOLLOWING) AS by_life FROM points)"
     ", island_starts AS (SELECT k, island, min(us) AS us FROM points GROUP BY k, island)"
-    ", ptr AS (SELECT p.k, p.us, least(n.by_life, i.us) AS nxt FROM points p"
-    " JOIN nexts n ON p.k = n.k AND p.us = n.us"
-    " LEFT JOIN island_starts i ON i.k = p.k AND i.island = p.island + 1)"
+    ", ptr AS (SELECT n.k, n.us, least(n.by_life, i.us) AS nxt FROM nexts n"
+    " LEFT JOIN island_starts i ON i.k = n.k AND i.island = n.island + 1)"
     ", walk AS (SELECT k, min(us) AS us FROM points GROUP BY k UNION ALL"
     " SELECT p.k, p.nxt FROM walk w JOIN ptr p ON p.k = w.k AND p.us = w.us WHERE p.nxt IS NOT NULL)"
-    ", opened AS (SELECT r.*, w.us AS opening FROM keyed r ASOF JOIN walk w ON r.k = w.k AND r.us >= w.us)"
+    ", opened AS (SELECT r.*, max(w.us) OVER (PARTITION BY r.k ORDER BY r.us) AS opening FROM keyed r"
+    " LEFT JOIN walk w ON r.k = w.k AND r.us = w.us)"
     f", flows AS (SELECT k, {_KEY}, opening, {_FLOW_SUMS} FROM opened GROUP BY k, {_KEY}, opening)"
     " SELECT src_ip, dest_ip, src_port, dest_port, proto, start_time, end_time, packets, bytes, records FROM flows f"
     " WHERE start_time < (SELECT max(us) FROM walk w WHERE w.k = f.k)"
@@ -291,11 +291,12 @@ _ANCHORED = (
     + ", ".join(f"{name} AS ({sql})" for name, sql in _ALERTS.items())
     + ", keyed AS (SELECT *, CAST(sig_id AS STRING) || '|' || src_ip AS k FROM alerts)"
     ", points AS (SELECT DISTINCT k, ts FROM keyed)"
-    ", ptr AS (SELECT a.k, a.ts, b.ts AS nxt FROM points a"
-    f" ASOF LEFT JOIN points b ON a.k = b.k AND a.ts + {q.LIMIT_SECONDS * 1_000_000} <= b.ts)"
+    ", ptr AS (SELECT k, ts, min(ts) OVER (PARTITION BY k ORDER BY ts"
+    f" RANGE BETWEEN {q.LIMIT_SECONDS * 1_000_000} FOLLOWING AND UNBOUNDED FOLLOWING) AS nxt FROM points)"
     ", walk AS (SELECT k, min(ts) AS ts FROM points GROUP BY k UNION ALL"
     " SELECT p.k, p.nxt FROM walk w JOIN ptr p ON p.k = w.k AND p.ts = w.ts WHERE p.nxt IS NOT NULL)"
-    ", opened AS (SELECT r.*, w.ts AS opening FROM keyed r ASOF JOIN walk w ON r.k = w.k AND r.ts >= w.ts)"
+    ", opened AS (SELECT r.*, max(w.ts) OVER (PARTITION BY r.k ORDER BY r.ts) AS opening FROM keyed r"
+    " LEFT JOIN walk w ON r.k = w.k AND r.ts = w.ts)"
     ", ranked AS (SELECT *, row_number() OVER (PARTITION BY k, opening ORDER BY ts, alert_id) AS rn FROM opened)"
     " SELECT sig_id, src_ip, ts, alert_id FROM ranked WHERE rn <= 2"
 )

@@ -110,7 +110,7 @@ def flow_messages(lines: DataFrame) -> DataFrame:
 # Both spellings of each field in one message, each present in some rows only.
 MIXED = {
     "SrcAddr": "CASE WHEN l_linenumber % 3 <> 0 THEN 'c' || CAST(l_suppkey AS STRING) END",
-    "src_ip": "CASE WHEN l_linenumber % 5 <> 0 THEN 'm' || CAST(l_suppkey AS STRING) END",
+    "src_ip": "CASE WHEN l_linenumber % 6 <> 0 THEN 'm' || CAST(l_suppkey AS STRING) END",
     "DstAddr": "CASE WHEN l_partkey % 2 = 0 THEN 'c' || CAST(l_partkey AS STRING) END",
     "dst_ip": "'m' || CAST(l_partkey AS STRING)",
     "SrcPort": "CASE WHEN l_orderkey % 2 = 0 THEN CAST(l_partkey % 1000 AS INT) END",

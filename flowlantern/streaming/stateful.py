@@ -18,7 +18,9 @@ MICROS = 1_000_000
 
 def _in_order(chunks: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
     # One key of one micro-batch: its size is bounded by the intake option of the source.
-    return pd.concat(list(chunks), ignore_index=True).sort_values(list(order), kind="stable", ignore_index=True)
+    parts = list(chunks)
+    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
+    return rows if len(rows) == 1 else rows.sort_values(list(order), kind="stable", ignore_index=True)
 
 
 def _until(state: GroupState, micros: int) -> None:
@@ -77,7 +79,8 @@ def rate_limit_stream(
         kept, start, count = limit_positions(rows["at"].to_numpy(), start, count, kind, n, period)
         state.update((start, count))
         _until(state, start + period)
-        yield rows.loc[kept, ["sig_id", "tracker", "at", "alert_id"]]
+        if kept.any():
+            yield rows.loc[kept, ["sig_id", "tracker", "at", "alert_id"]]
 
     keyed = alerts.withWatermark("ts", late).select(
         "sig_id", F.col(address).alias("tracker"), "ts", F.unix_micros("ts").alias("at"), "alert_id"
@@ -167,7 +170,8 @@ def assemble_flows_stream(
         start, last = flows[-1][0], flows[-1][1]
         state.update(flows[-1])
         _until(state, min(last + idle_micros, start + life_micros) + 1)
-        yield pd.DataFrame([(*group, *flow) for flow in flows[:-1]], columns=columns)
+        if len(flows) > 1:
+            yield pd.DataFrame([(*group, *flow) for flow in flows[:-1]], columns=columns)
 
     keyed = timed.select(
         *[F.col(name).cast("string").alias(own) for name, own in zip(key, names)],
