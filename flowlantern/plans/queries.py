@@ -490,6 +490,11 @@ def flow_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assembled(sessions.assemble_flows(flow_records(derived.table(spark, sf_dir, "events")), SESSION_IDLE))
 
 
+def _buckets(spark: SparkSession) -> int:
+    """State buckets that give every shuffle partition several to work on."""
+    return 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Takes a stream through the exactly-once parquet sink and returns the stored rows."""
     root = shared_dir(spark, name)
@@ -562,7 +567,7 @@ def flow_session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flow_life_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows cut by idle time and by age, as far as they were over when the stream ended."""
     records = flow_records(readers.read_table_stream(spark, sf_dir, "events"))
-    over = stateful.assemble_flows_stream(records, SESSION_IDLE * 4, FLOW_LIFE, late=STREAM_LATE)
+    over = stateful.assemble_flows_stream(records, SESSION_IDLE * 4, FLOW_LIFE, late=STREAM_LATE, buckets=_buckets(spark))
     return _assembled(_run(spark, over, "life"))
 
 
@@ -571,6 +576,6 @@ def rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two alerts per signature, source and period; a period starts with its first alert."""
     lines = derived.eve_lines(readers.read_table_stream(spark, sf_dir, "events"))
     limited = stateful.rate_limit_stream(
-        alerts.alert_table(ids.parse_eve(lines)), "limit", 2, LIMIT_SECONDS, "by_src", STREAM_LATE
+        alerts.alert_table(ids.parse_eve(lines)), "limit", 2, LIMIT_SECONDS, "by_src", STREAM_LATE, _buckets(spark)
     )
     return _times(_run(spark, limited, "limit"), _micros, "ts")

@@ -1,35 +1,97 @@
-"""Stateful streams: anchored rate limits and flow assembly."""
+"""Stateful streams: anchored rate limits and flow assembly.
+
+A call into Python costs milliseconds, so keys are not handed over one by one: they are hashed into
+buckets, and one call serves a bucket. Its state is a list of the bucket's open entries. A bucket's rows
+of one micro-batch are sorted in memory; the intake option of the source bounds them. The number of
+buckets is part of the checkpoint: keep it when restarting a query.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from flowlantern.operators.alerts import TRACKERS
 from flowlantern.operators.sessions import FIVE_TUPLE, IDLE_SECONDS
 
 MICROS = 1_000_000
+BUCKETS = 1024
+
+# Open entries of a bucket: numbers per key.
+Open = dict[str, tuple[int, ...]]
+# (key, its sorted rows, open entry or None) -> finished rows, entry to keep
+Handler = Callable[[str, pd.DataFrame, tuple[int, ...] | None], tuple[list[tuple], tuple[int, ...]]]
+
 
+def expiry_ms(micros: int) -> int:
+    """The first millisecond after an instant; the entry is over once the watermark is past it."""
+    return -(-(micros + 1) // 1000)
 
-def _in_order(chunks: Iterator[pd.DataFrame], *order: str) -> pd.DataFrame:
-    # One key of one micro-batch: its size is bounded by the intake option of the source.
-    parts = list(chunks)
-    rows = parts[0] if len(parts) == 1 else pd.concat(parts, ignore_index=True)
-    return rows if len(rows) == 1 else rows.sort_values(list(order), kind="stable", ignore_index=True)
 
+def _keyed(table: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
+    # Keys travel as JSON text, which keeps their types and NULLs without Python knowing them.
+    text = F.to_json(F.struct(*key))
+    return table.withColumn("key", text).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
 
-def _until(state: GroupState, micros: int) -> None:
-    """Wakes the group once the watermark has passed ``micros``."""
-    watermark = state.getCurrentWatermarkMs()
-    state.setTimeoutTimestamp(max(-(-micros // 1000), watermark + 1))
 
+def _per_bucket(
+    rows: DataFrame,
+    order: Sequence[str],
+    output: str,
+    width: int,
+    arrive: Handler,
+    ends_at: Callable[[tuple[int, ...]], int],
+    leave: Callable[[str, tuple[int, ...]], list[tuple]],
+) -> DataFrame:
+    """Runs ``arrive`` for each key with new rows and ``leave`` for each entry the watermark has passed.
+
+    ``rows`` has ``bucket``, ``key`` and the columns ``arrive`` reads; entries hold ``width`` numbers.
+    """
+    names = [field.split()[0] for field in output.split(", ")]
+
+    def step(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        entries: Open = {}
+        if state.exists:
+            keys, numbers = state.get
+            entries = {key: tuple(numbers[i * width : (i + 1) * width]) for i, key in enumerate(keys)}
+        done: list[tuple] = []
+        if not state.hasTimedOut:
+            batch = pd.concat(list(chunks), ignore_index=True)
+            batch = batch.sort_values(["key", *order], kind="stable", ignore_index=True)
+            keys = batch["key"].to_numpy()
+            edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
+            for first, end in zip(edges[:-1], edges[1:]):
+                finished, entries[keys[first]] = arrive(keys[first], batch.iloc[first:end], entries.get(keys[first]))
+                done += finished
+        watermark = state.getCurrentWatermarkMs()
+        for key in [key for key, entry in entries.items() if ends_at(entry) < watermark]:
+            done += leave(key, entries.pop(key))
+        if entries:
+            state.update((list(entries), [int(number) for entry in entries.values() for number in entry]))
+            state.setTimeoutTimestamp(max(min(map(ends_at, entries.values())), watermark + 1))
+        elif state.exists:
+            state.remove()
+        if done:
+            yield pd.DataFrame(done, columns=names)
+
+    return rows.groupBy("bucket").applyInPandasWithState(
+        step, output, "keys array<string>, numbers array<long>", "append", GroupStateTimeout.EventTimeTimeout
+    )
 
-def keep_ranks(rank: np.ndarray, kind: str, n: int) -> np.ndarray:
+
+def _unpacked(found: DataFrame, table: DataFrame, key: Sequence[str]) -> DataFrame:
+    layout = T.StructType([T.StructField(name, table.schema[name].dataType, True) for name in key])
+    rest = [name for name in found.columns if name != "key"]
+    return found.select(F.inline(F.array(F.from_json("key", layout))), *rest)
+
+
+def _kept_ranks(rank: np.ndarray, kind: str, n: int) -> np.ndarray:
     if kind == "limit":
         return rank <= n
     return rank == n if kind == "both" else rank % n == 0
@@ -49,7 +111,7 @@ def limit_positions(
         if start is None or times[at] >= start + period:
             start, count = int(times[at]), 0
         end = int(np.searchsorted(times, start + period, side="left"))
-        kept[at:end] = keep_ranks(count + 1 + np.arange(end - at), kind, n)
+        kept[at:end] = _kept_ranks(count + 1 + np.arange(end - at), kind, n)
         count += end - at
         at = end
     return kept, start, count
@@ -62,52 +124,48 @@ def rate_limit_stream(
     seconds: int = 60,
     track: str = "by_src",
     late: str = "10 minutes",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Alerts left after a limit whose periods start with the first alert (``sig_id``, address, ``ts``,
     ``alert_id``). State per signature and address is two numbers, dropped when the period is over."""
     if kind not in ("limit", "threshold", "both"):
         raise ValueError(f"kind must be limit, threshold or both, not {kind!r}")
-    address = TRACKERS[track]
+    key = ["sig_id", TRACKERS[track]]
     period = seconds * MICROS
 
-    def step(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        rows = _in_order(chunks, "at", "alert_id")
-        start, count = state.get if state.exists else (None, 0)
-        kept, start, count = limit_positions(rows["at"].to_numpy(), start, count, kind, n, period)
-        state.update((start, count))
-        _until(state, start + period)
-        if kept.any():
-            yield rows.loc[kept, ["sig_id", "tracker", "at", "alert_id"]]
-
-    keyed = alerts.withWatermark("ts", late).select(
-        "sig_id", F.col(address).alias("tracker"), "ts", F.unix_micros("ts").alias("at"), "alert_id"
+    def arrive(name: str, rows: pd.DataFrame, entry: tuple[int, ...] | None) -> tuple[list[tuple], tuple[int, ...]]:
+        times = rows["at"].to_numpy()
+        kept, start, count = limit_positions(times, *(entry or (None, 0)), kind, n, period)
+        idents = rows["alert_id"].to_numpy()
+        return [(name, int(at), ident) for at, ident in zip(times[kept], idents[kept])], (start, count)
+
+    timed = _keyed(alerts.withWatermark("ts", late), key, buckets).select(
+        "bucket", "key", "ts", F.unix_micros("ts").alias("at"), "alert_id"
     )
-    kept = keyed.groupBy("sig_id", "tracker").applyInPandasWithState(
-        step,
-        "sig_id long, tracker string, at long, alert_id string",
-        "start long, count long",
-        "append",
-        GroupStateTimeout.EventTimeTimeout,
+    kept = _per_bucket(
+        timed,
+        ["at", "alert_id"],
+        "key string, at long, alert_id string",
+        2,
+        arrive,
+        lambda entry: expiry_ms(entry[0] + period),
+        lambda name, entry: [],
     )
-    return kept.select("sig_id", F.col("tracker").alias(address), F.timestamp_micros("at").alias("ts"), "alert_id")
+    return _unpacked(kept, alerts, key).select(*key, F.timestamp_micros("at").alias("ts"), "alert_id")
 
 
-def cut_flows(times: np.ndarray, start: int, last: int, idle: int, life: int) -> np.ndarray:
+def cut_flows(times: np.ndarray, start: int, last: int, idle: int, life: int) -> list[int]:
     """Positions at which a new flow begins, for sorted ``times`` following an open flow."""
     previous = np.concatenate(([last], times[:-1]))
     idle_cuts = np.flatnonzero(times - previous > idle)
-    cuts = []
-    at, next_idle = 0, 0
+    cuts: list[int] = []
+    at = 0
     while True:
-        while next_idle < len(idle_cuts) and idle_cuts[next_idle] < at:
-            next_idle += 1
-        by_idle = int(idle_cuts[next_idle]) if next_idle < len(idle_cuts) else len(times)
-        cut = min(by_idle, int(np.searchsorted(times, start + life, side="right")))
+        nearest = np.searchsorted(idle_cuts, at)
+        by_idle = int(idle_cuts[nearest]) if nearest < len(idle_cuts) else len(times)
+        cut = min(by_idle, max(at, int(np.searchsorted(times, start + life, side="right"))))
         if cut >= len(times):
-            return np.array(cuts, dtype=int)
+            return cuts
         cuts.append(cut)
         start, at = int(times[cut]), cut + 1
 
@@ -119,6 +177,7 @@ def assemble_flows_stream(
     key: Sequence[str] = FIVE_TUPLE,
     time: str = "event_time",
     late: str = "1 minute",
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Flows of a stream: a flow ends when it is idle for longer than ``idle`` seconds or, with
     ``max_life``, at the first record more than that after its start.
@@ -139,55 +198,43 @@ def assemble_flows_stream(
         return merged.select(*key, "start_time", "end_time", "packets", "bytes", "records")
 
     idle_micros, life_micros = idle * MICROS, max_life * MICROS
-    names = [f"key_{i}" for i in range(len(key))]
-    columns = [*names, "start_at", "last_at", "packets", "bytes", "records"]
 
-    def step(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            yield pd.DataFrame([(*group, *state.get)], columns=columns)
-            state.remove()
-            return
-        rows = _in_order(chunks, "at")
+    def arrive(name: str, rows: pd.DataFrame, entry: tuple[int, ...] | None) -> tuple[list[tuple], tuple[int, ...]]:
         times = rows["at"].to_numpy()
-        is_open = state.exists
-        begun = state.get if is_open else (int(times[0]), int(times[0]), 0, 0, 0)
-        cuts = cut_flows(times, begun[0], begun[1], idle_micros, life_micros)
-        edges = np.concatenate(([0], cuts, [len(times)])).astype(int)
+        sizes = [rows["packets"].to_numpy(), rows["bytes"].to_numpy()]
+        opened = entry or (int(times[0]), int(times[0]), 0, 0, 0)
+        edges = [0, *cut_flows(times, opened[0], opened[1], idle_micros, life_micros), len(times)]
         flows = []
         for number, (first, end) in enumerate(zip(edges[:-1], edges[1:])):
-            part = slice(first, end)
             # The first stretch continues the open flow and is empty when that flow is over.
-            flow = begun if number == 0 else (int(times[first]), 0, 0, 0, 0)
-            last = int(times[end - 1]) if end > first else flow[1]
-            flow = (
-                flow[0],
-                last,
-                flow[2] + int(rows["packets"].to_numpy()[part].sum()),
-                flow[3] + int(rows["bytes"].to_numpy()[part].sum()),
-                flow[4] + int(end - first),
-            )
-            flows.append(flow)
-        start, last = flows[-1][0], flows[-1][1]
-        state.update(flows[-1])
-        _until(state, min(last + idle_micros, start + life_micros) + 1)
-        if len(flows) > 1:
-            yield pd.DataFrame([(*group, *flow) for flow in flows[:-1]], columns=columns)
-
-    keyed = timed.select(
-        *[F.col(name).cast("string").alias(own) for name, own in zip(key, names)],
+            start, last, packets, total, count = opened if number == 0 else (int(times[first]), 0, 0, 0, 0)
+            if end > first:
+                # A record of an earlier time may arrive in a later micro-batch.
+                start, last = min(start, int(times[first])), max(last, int(times[end - 1]))
+            packets += int(sizes[0][first:end].sum())
+            total += int(sizes[1][first:end].sum())
+            flows.append((start, last, packets, total, count + end - first))
+        return [(name, *flow) for flow in flows[:-1]], flows[-1]
+
+    keyed = _keyed(timed, key, buckets).select(
+        "bucket",
+        "key",
         time,
         F.unix_micros(time).alias("at"),
         F.col("packets").cast("bigint"),
         F.col("bytes").cast("bigint"),
     )
-    text_keys = ", ".join(f"{name} string" for name in names)
-    numbers = "start_at long, last_at long, packets long, bytes long, records long"
-    flows = keyed.groupBy(*names).applyInPandasWithState(
-        step, f"{text_keys}, {numbers}", numbers, "append", GroupStateTimeout.EventTimeTimeout
+    over = _per_bucket(
+        keyed,
+        ["at"],
+        "key string, start_at long, last_at long, packets long, bytes long, records long",
+        5,
+        arrive,
+        lambda entry: expiry_ms(min(entry[1] + idle_micros, entry[0] + life_micros)),
+        lambda name, entry: [(name, *entry)],
     )
-    types = dict(records.dtypes)
-    return flows.select(
-        *[F.col(own).cast(types[name]).alias(name) for name, own in zip(key, names)],
+    return _unpacked(over, records, key).select(
+        *key,
         F.timestamp_micros("start_at").alias("start_time"),
         F.timestamp_micros("last_at").alias("end_time"),
         "packets",
