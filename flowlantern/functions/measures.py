@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 MICROS = 1_000_000
 
 
+def aligned(number: Column, width: int) -> Column:
+    """Start of the interval of ``width`` a whole number falls into, in whole numbers throughout."""
+    return number - F.pmod(number, F.lit(width).cast("bigint"))
+
+
 def bytes_per_packet(total_bytes: Column | str, total_packets: Column | str) -> Column:
     """Ratio with two decimals; NULL instead of an error for zero packets."""
     return F.round(F.try_divide(total_bytes, total_packets), 2)

@@ -6,10 +6,11 @@ planner sees that they are small, and a large one falls back to a shuffled join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from flowlantern.functions.measures import MICROS, aligned
 from flowlantern.functions.net import in_cidr
 
 TRACKERS = {"by_src": "src_ip", "by_dst": "dest_ip"}  # fixed values: what a limit may be counted by
@@ -56,10 +57,6 @@ def suppress(alerts: DataFrame, rules: DataFrame) -> DataFrame:
     return alerts.join(wanted, (F.col("sig_id") == F.col("rule_sig")) & hit, "left_anti")
 
 
-def _period(time: Column, seconds: int) -> Column:
-    return F.floor(F.unix_micros(time) / F.lit(seconds * 1_000_000)).cast("bigint")
-
-
 def rate_limit(
     alerts: DataFrame,
     kind: str = "limit",
@@ -75,7 +72,7 @@ def rate_limit(
     most ``n`` alerts per task and period. The third needs the rank of every alert, see ``_ranked``.
     """
     group = ["sig_id", TRACKERS[track], "period"]
-    timed = alerts.withColumn("period", _period(F.col("ts"), seconds))
+    timed = alerts.withColumn("period", aligned(F.unix_micros("ts"), seconds * MICROS))
     if kind in ("limit", "both"):
         order = Window.partitionBy(*group).orderBy("ts", "alert_id")
         ranked = timed.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
@@ -93,14 +90,14 @@ def _ranked(timed: DataFrame, group: list[str], seconds: int, slices: int) -> Da
     A period is cut into equal time slices. Ranks are taken inside a slice; the rows of the earlier
     slices are added from counts that are combined before their shuffle (at most ``slices`` per group).
     """
-    width = max(1, seconds * 1_000_000 // slices)
+    width = max(1, seconds * MICROS // slices)
     # One text key with a mark for missing parts joins by plain equality, so rows stay where the
     # window put them.
     parts = [F.coalesce(F.col(name).cast("string"), F.lit("~")) for name in group]
     sliced = timed.withColumns(
         {
             "_group": F.concat_ws("|", *parts),
-            "_slice": F.coalesce(F.floor(F.unix_micros("ts") / F.lit(width)).cast("bigint"), F.lit(-1)),
+            "_slice": F.coalesce(aligned(F.unix_micros("ts"), width), F.lit(-1)),
         }
     )
     counts = sliced.groupBy("_group", "_slice").agg(F.count(F.lit(1)).alias("rows"))

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from flowlantern.functions.measures import MICROS, aligned
+
 FIVE_TUPLE = ("src_ip", "dest_ip", "src_port", "dest_port", "proto")
 IDLE_SECONDS = 5  # fixed value: the sensor's idle timers and flow lifetime
 
@@ -21,10 +23,10 @@ def assemble_flows(
     together anyway, so they are summed up per slot first, before and after a shuffle on key *and* slot.
     What is then sorted per key is bounded by the time span, not by the traffic of a hot key.
     """
-    width = F.lit(idle * 1_000_000)
+    width = idle * MICROS
     at = F.unix_micros(time)
     slots = (
-        records.select(*key, at.alias("at"), F.floor(at / width).alias("slot"), "packets", "bytes")
+        records.select(*key, at.alias("at"), aligned(at, width).alias("slot"), "packets", "bytes")
         .groupBy(*key, "slot")
         .agg(
             F.min("at").alias("first_at"),

@@ -50,12 +50,12 @@ def _messages(spark: SparkSession, sf_dir: str, wide: bool = False) -> DataFrame
     return flows.decode_envelope(derived.flow_messages(derived.table(spark, sf_dir, "lineitem")), wide)
 
 
-def _bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derived.flows(spark, sf_dir)
+def _bronze(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+    return derived.flows(spark, sf_dir, spread=spread)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return flows.clean_flows(_bronze(spark, sf_dir))
+    return flows.clean_flows(_bronze(spark, sf_dir, spread=True))
 
 
 @query
@@ -117,7 +117,7 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def silver_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies arrive a minute later, so only the key mode removes them."""
-    replayed = derived.flows(spark, sf_dir, replay_delay=60)
+    replayed = derived.flows(spark, sf_dir, replay_delay=60, spread=True)
     return _times(flows.clean_flows(replayed, dedupe="key"), _seconds, "ingestion_time")
 
 
@@ -164,7 +164,7 @@ def flow_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows encoded as messages and decoded again."""
-    rows = _bronze(spark, sf_dir).select(*BRONZE_NARROW)
+    rows = _bronze(spark, sf_dir, spread=True).select(*BRONZE_NARROW)
     decoded = F.from_json("value", rows.schema)
     return writers.encode_json(rows, "src_ip").select("key", F.inline(F.array(decoded)))
 
@@ -173,7 +173,7 @@ def encode_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bronze, silver and gold as stored tables."""
     root = shared_dir(spark, "medallion")
-    writers.write_table(_bronze(spark, sf_dir), f"{root}/bronze", ["vlan"])
+    writers.write_table(_bronze(spark, sf_dir, spread=True), f"{root}/bronze", ["vlan"])
     return medallion.refine(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
 
 
@@ -190,7 +190,7 @@ def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def flow_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = _bronze(spark, sf_dir).withColumn("direction", direction("src_ip", "dst_ip"))
+    labelled = _bronze(spark, sf_dir, spread=True).withColumn("direction", direction("src_ip", "dst_ip"))
     return labelled.groupBy("direction").agg(F.count(F.lit(1)).alias("flows"), F.sum("bytes").alias("bytes"))
 
 
@@ -506,7 +506,7 @@ def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same messages as ``bronze_narrow``, streamed into the table partitioned by VLAN."""
     root = shared_dir(spark, "bronze")
-    messages = derived.flow_messages(readers.read_table_stream(spark, sf_dir, "lineitem"))
+    messages = derived.flow_messages(derived.table_stream(spark, sf_dir, "lineitem"))
     jobs.finish(jobs.run_bronze(messages, f"{root}/table", f"{root}/checkpoint"))
     return readers.read_table(spark, f"{root}/table").select(*BRONZE_NARROW)
 
@@ -516,7 +516,7 @@ def eve_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event log delivered by two runs; the second one adds nothing."""
     root = shared_dir(spark, "eve")
     for run in ("first", "second"):
-        events = ids.parse_eve(derived.eve_lines(readers.read_table_stream(spark, sf_dir, "events"), dirty=True))
+        events = ids.parse_eve(derived.eve_lines(derived.table_stream(spark, sf_dir, "events"), dirty=True))
         jobs.finish(jobs.run_eve_ingest(events, f"{root}/table", f"{root}/{run}", f"{root}/rejected-{run}"))
     return readers.read_table(spark, f"{root}/table").drop("event_date")
 
@@ -525,7 +525,7 @@ def eve_ingest_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fan_out_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages sent to two sinks, each counted by source."""
     root = shared_dir(spark, "fan")
-    messages = derived.flow_messages(readers.read_table_stream(spark, sf_dir, "lineitem"))
+    messages = derived.flow_messages(derived.table_stream(spark, sf_dir, "lineitem"))
     bronze = flows.bronze_flows(flows.decode_envelope(messages, wide=False))
     jobs.finish(
         jobs.fan_out(
@@ -544,7 +544,7 @@ def fan_out_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def dedupe_flow_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages delivered twice within the horizon, stored once."""
-    lines = readers.read_table_stream(spark, sf_dir, "lineitem")
+    lines = derived.table_stream(spark, sf_dir, "lineitem")
     key = [name for name in BRONZE_NARROW if name != "flow_type"]
     records = lines.select(
         F.expr(derived.SHIP_SECONDS).alias("time_received"),
@@ -558,7 +558,7 @@ def dedupe_flow_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flow_session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows that were over when the stream ended."""
-    records = flow_records(readers.read_table_stream(spark, sf_dir, "events"))
+    records = flow_records(derived.table_stream(spark, sf_dir, "events"))
     over = stateful.assemble_flows_stream(records, SESSION_IDLE, None, late=STREAM_LATE)
     return _assembled(_run(spark, over, "sessions"))
 
@@ -566,7 +566,7 @@ def flow_session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flow_life_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows cut by idle time and by age, as far as they were over when the stream ended."""
-    records = flow_records(readers.read_table_stream(spark, sf_dir, "events"))
+    records = flow_records(derived.table_stream(spark, sf_dir, "events"))
     over = stateful.assemble_flows_stream(records, SESSION_IDLE * 4, FLOW_LIFE, late=STREAM_LATE, buckets=_buckets(spark))
     return _assembled(_run(spark, over, "life"))
 
@@ -574,7 +574,7 @@ def flow_life_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two alerts per signature, source and period; a period starts with its first alert."""
-    lines = derived.eve_lines(readers.read_table_stream(spark, sf_dir, "events"))
+    lines = derived.eve_lines(derived.table_stream(spark, sf_dir, "events"))
     limited = stateful.rate_limit_stream(
         alerts.alert_table(ids.parse_eve(lines)), "limit", 2, LIMIT_SECONDS, "by_src", STREAM_LATE, _buckets(spark)
     )

@@ -42,6 +42,18 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+def missing_tasks(table: DataFrame) -> int:
+    """The number of cores when the scan has fewer tasks than that, else 0."""
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return cores if table.rdd.getNumPartitions() < cores else 0
+
+
+def spread(table: DataFrame, *key: str) -> DataFrame:
+    """Shares out the rows of a table too small to give every core a task; large ones stay as read."""
+    cores = missing_tasks(table)
+    return table.repartition(cores, *key) if cores else table
+
+
 def read_table_stream(
     spark: SparkSession, folder: str, name: str, schema: T.StructType | None = None, max_files: int | None = None
 ) -> DataFrame:

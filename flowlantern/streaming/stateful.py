@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from flowlantern.functions.measures import MICROS
 from flowlantern.operators.alerts import TRACKERS
 from flowlantern.operators.sessions import FIVE_TUPLE, IDLE_SECONDS
 
-MICROS = 1_000_000
 BUCKETS = 1024
 
 # Open entries of a bucket: numbers per key.
