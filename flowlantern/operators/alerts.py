@@ -63,7 +63,7 @@ def rate_limit(
     n: int = 1,
     seconds: int = 60,
     track: str = "by_src",
-    slices: int = 64,
+    slices: int = 256,
 ) -> DataFrame:
     """Alerts left after a limit per signature, tracked address and calendar-aligned period.
 
