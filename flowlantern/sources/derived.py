@@ -81,42 +81,41 @@ def flow_messages(lines: DataFrame) -> DataFrame:
     Odd line numbers use the collector's field names, even ones the hand-made names; every order
     divisible by 50 is unreadable text.
     """
-    expr = {**FLOW, **FLOW_EXTRA, "time_received": SHIP_SECONDS}
-
-    def field(own: str, name: str) -> Column:
-        return F.expr(expr[own]).alias(name)
-
+    # Each field is computed once, in an operator of its own: in one expression the generated method
+    # would outgrow what the JVM compiles.
+    parts = {**FLOW, **FLOW_EXTRA, "time_received": SHIP_SECONDS}
+    fields = lines.select(
+        "l_orderkey", "l_linenumber", "l_suppkey", *[F.expr(text).alias(name) for name, text in parts.items()]
+    )
     collector = F.struct(
         F.lit("NETFLOW_V9").alias("Type"),
-        field("time_received", "TimeReceived"),
-        field("sequence_num", "SequenceNum"),
-        field("sampling_rate", "SamplingRate"),
-        field("flow_direction", "FlowDirection"),
-        field("src_ip", "SrcAddr"),
-        field("dst_ip", "DstAddr"),
-        field("src_port", "SrcPort"),
-        field("dst_port", "DstPort"),
-        field("protocol", "Proto"),
-        field("tcp_flags", "TcpFlags"),
-        field("bytes", "Bytes"),
-        field("packets", "Packets"),
-        field("vlan", "VlanId"),
-        field("sampler_address", "SamplerAddress"),
-    )
-    manual = F.struct(
-        *[field(name, name) for name in ("vlan", "src_ip", "dst_ip", "src_port", "dst_port", "packets", "bytes")]
+        F.col("time_received").alias("TimeReceived"),
+        F.col("sequence_num").alias("SequenceNum"),
+        F.col("sampling_rate").alias("SamplingRate"),
+        F.col("flow_direction").alias("FlowDirection"),
+        F.col("src_ip").alias("SrcAddr"),
+        F.col("dst_ip").alias("DstAddr"),
+        F.col("src_port").alias("SrcPort"),
+        F.col("dst_port").alias("DstPort"),
+        F.col("protocol").alias("Proto"),
+        F.col("tcp_flags").alias("TcpFlags"),
+        F.col("bytes").alias("Bytes"),
+        F.col("packets").alias("Packets"),
+        F.col("vlan").alias("VlanId"),
+        F.col("sampler_address").alias("SamplerAddress"),
     )
+    manual = F.struct("vlan", "src_ip", "dst_ip", "src_port", "dst_port", "packets", "bytes")
     value = (
         F.when(F.expr("l_orderkey % 50 = 0"), F.lit("not json"))
         .when(F.expr("l_linenumber % 2 = 1"), F.to_json(collector))
         .otherwise(F.to_json(manual))
     )
-    return lines.select(
+    return fields.select(
         F.col("l_suppkey").cast("string").cast("binary").alias("key"),
         value.cast("binary").alias("value"),
-        F.timestamp_seconds(F.expr(SHIP_SECONDS)).alias("timestamp"),
-        F.expr(FLOW_EXTRA["kafka_partition"]).alias("partition"),
-        F.expr(FLOW_EXTRA["kafka_offset"]).alias("offset"),
+        F.timestamp_seconds("time_received").alias("timestamp"),
+        F.col("kafka_partition").alias("partition"),
+        F.col("kafka_offset").alias("offset"),
     )
 
 
@@ -251,7 +250,9 @@ RULE_FILE_LINE = (
 
 def text_lines(spark: SparkSession, sf_dir: str, line: str) -> DataFrame:
     """``line_no``, ``line`` with one of the line expressions above."""
-    return table(spark, sf_dir, "events", spread=False).select(F.col("event_id").alias("line_no"), F.expr(line).alias("line"))
+    # The generator keeps filters on the text from evaluating the expression again, as if it were stored.
+    text = F.explode(F.array(F.expr(line))).alias("line")
+    return table(spark, sf_dir, "events").select(F.col("event_id").alias("line_no"), text)
 
 
 # --- actions, six events per document ------------------------------------------------------------
