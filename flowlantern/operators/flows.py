@@ -75,6 +75,12 @@ def bronze_flows(messages: DataFrame, wide: bool = False, ingestion_time: Column
     return valid_flows(to_bronze(reconcile(parse_flows(messages)), wide, ingestion_time))
 
 
+def bronze_basic(messages: DataFrame, ingestion_time: Column | None = None) -> DataFrame:
+    """Six-field messages to bronze rows, unreadable ones included."""
+    moment = F.current_timestamp() if ingestion_time is None else ingestion_time
+    return parse_flows_basic(messages).withColumn("ingestion_time", moment)
+
+
 def rejected_flows(messages: DataFrame) -> DataFrame:
     """Raw messages bronze leaves out: unreadable text or no source address."""
     return reconcile(parse_flows(messages)).filter(F.col("src_ip").isNull()).select(*messages.columns)

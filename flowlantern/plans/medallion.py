@@ -1,10 +1,10 @@
-"""The batch refinement job: bronze table to silver table to gold table."""
+"""Batch jobs over stored tables: refinement, audit and the dashboard view."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from flowlantern.operators import flows
+from flowlantern.operators import flows, ids
 from flowlantern.sources.readers import read_table
 from flowlantern.sources.writers import write_table
 
@@ -24,3 +24,20 @@ def refine_gold(spark: SparkSession, silver: str, gold: str, **thresholds: float
 def refine(spark: SparkSession, bronze: str, silver: str, gold: str, dedupe: str = "row") -> DataFrame:
     refine_silver(spark, bronze, silver, dedupe)
     return refine_gold(spark, silver, gold)
+
+
+def audit(spark: SparkSession, bronze: str, newest: int = 20) -> dict[str, DataFrame]:
+    """What a bronze table holds: its size, the newest rows and the volume per VLAN."""
+    table = read_table(spark, bronze)
+    return {
+        "total": flows.bronze_total(table),
+        "latest": flows.latest(table, newest),
+        "volume_by_vlan": flows.volume_by_vlan(table),
+    }
+
+
+def register_views(trafego: DataFrame, classificados: DataFrame) -> None:
+    """Makes ``trafego``, ``classificados`` and ``v_trafego_dash`` known to SQL."""
+    trafego.createOrReplaceTempView("trafego")
+    classificados.createOrReplaceTempView("classificados")
+    ids.traffic_dashboard(trafego, classificados).createOrReplaceTempView("v_trafego_dash")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from flowlantern.operators import flows, ids
+from flowlantern.sources import readers, writers
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -70,12 +71,24 @@ def write_bronze(bronze: DataFrame, path: str, checkpoint: str, trigger: str | N
     return write_stream(bronze, path, checkpoint, ["vlan"], trigger)
 
 
+LAYOUTS = {
+    "narrow": lambda messages: flows.bronze_flows(flows.decode_envelope(messages, wide=False)),
+    "wide": lambda messages: flows.bronze_flows(flows.decode_envelope(messages), wide=True),
+    "basic": lambda messages: flows.bronze_basic(flows.decode_envelope(messages, wide=False)),
+}
+
+
 def run_bronze(
-    messages: DataFrame, path: str, checkpoint: str, wide: bool = False, trigger: str | None = None
+    messages: DataFrame, path: str, checkpoint: str, layout: str = "narrow", trigger: str | None = None
 ) -> StreamingQuery:
-    """Kafka-shaped stream to the bronze table."""
-    bronze = flows.bronze_flows(flows.decode_envelope(messages, wide), wide)
-    return write_bronze(bronze, path, checkpoint, trigger)
+    """Kafka-shaped stream to the bronze table in one of the ``LAYOUTS``."""
+    return write_bronze(LAYOUTS[layout](messages), path, checkpoint, trigger)
+
+
+def run_rejected(messages: DataFrame, path: str, checkpoint: str, trigger: str | None = None) -> StreamingQuery:
+    """The messages ``run_bronze`` leaves out, as they came, in a table and checkpoint of their own."""
+    rejected = flows.rejected_flows(flows.decode_envelope(messages))
+    return write_stream(rejected, path, checkpoint, trigger=trigger)
 
 
 def _stored(spark: SparkSession, path: str) -> DataFrame | None:
@@ -122,6 +135,14 @@ def insert_new(
     rows.write.mode("append").partitionBy(partition).parquet(path)
 
 
+def insert_new_jdbc(
+    batch: DataFrame, url: str, name: str, key: str = "hash_id", properties: dict[str, str] | None = None, **read: object
+) -> None:
+    """The same for a relational table, whose keys are read back; ``read`` splits that read by range."""
+    stored = readers.read_jdbc(batch.sparkSession, url, name, properties, **read)
+    writers.write_jdbc(new_rows(batch, stored, key), url, name, properties=properties)
+
+
 def run_eve_ingest(
     events: DataFrame, path: str, checkpoint: str, rejected: str | None = None, trigger: str | None = None
 ) -> StreamingQuery:

@@ -47,10 +47,10 @@ def test_two_messages_through_the_stream(spark, tmp_path):
 def test_restart_continues_after_the_last_file(spark, tmp_path):
     source, out, check = f"{tmp_path}/in", f"{tmp_path}/out", f"{tmp_path}/check"
     write_messages(spark, source, TWO_MESSAGES)
-    jobs.finish(jobs.run_bronze(message_stream(spark, source), out, check, wide=True))
+    jobs.finish(jobs.run_bronze(message_stream(spark, source), out, check, "wide"))
     write_messages(spark, source, [*TWO_MESSAGES, "not json"], offset=2)
-    jobs.finish(jobs.run_bronze(message_stream(spark, source), out, check, wide=True))
-    jobs.finish(jobs.run_bronze(message_stream(spark, source), out, check, wide=True))
+    jobs.finish(jobs.run_bronze(message_stream(spark, source), out, check, "wide"))
+    jobs.finish(jobs.run_bronze(message_stream(spark, source), out, check, "wide"))
     bronze = readers.read_table(spark, out)
     assert rows(bronze, "kafka_offset") == [(0,), (1,), (2,), (3,)]
     # The replay survives the row mode, as it arrived at another time, but not the key mode.
@@ -58,6 +58,22 @@ def test_restart_continues_after_the_last_file(spark, tmp_path):
     assert flows.clean_flows(bronze, "key").count() == 2
 
 
+def test_rejected_messages_have_their_own_table(spark, tmp_path):
+    write_messages(spark, f"{tmp_path}/in", [*TWO_MESSAGES, "not json", "{}"])
+    stream = message_stream(spark, f"{tmp_path}/in")
+    jobs.finish(jobs.run_rejected(stream, f"{tmp_path}/bad", f"{tmp_path}/check"))
+    assert rows(spark.read.parquet(f"{tmp_path}/bad"), "value", "kafka_offset") == [("not json", 2), ("{}", 3)]
+
+
+def test_basic_layout_keeps_unreadable_messages(spark, tmp_path):
+    write_messages(spark, f"{tmp_path}/in", [*TWO_MESSAGES, "not json"])
+    stream = message_stream(spark, f"{tmp_path}/in")
+    jobs.finish(jobs.run_bronze(stream, f"{tmp_path}/out", f"{tmp_path}/check", "basic"))
+    bronze = readers.read_table(spark, f"{tmp_path}/out")
+    assert rows(bronze, "src_ip", "bytes") == [("192.168.30.77", 36000), ("192.168.40.10", 12500), (None, None)]
+    assert bronze.filter("ingestion_time is null").count() == 0
+
+
 def test_bronze_stream_equals_batch_with_bounded_intake(spark, tmp_path):
     lines = derived.table(spark, SF_DIR, "lineitem", spread=False)
     derived.flow_messages(lines).repartition(5).write.parquet(f"{tmp_path}/in")
@@ -130,6 +146,16 @@ def test_insert_new_reads_only_the_dates_of_the_batch(spark, tmp_path, monkeypat
     assert rows(spark.read.parquet(path), "hash_id", "n") == wanted
 
 
+def test_relational_insert_takes_new_keys_only(spark, monkeypatch):
+    written = []
+    stored = spark.createDataFrame([("a", 1)], "hash_id string, n int")
+    monkeypatch.setattr(jobs.readers, "read_jdbc", lambda *args, **options: stored)
+    monkeypatch.setattr(jobs.writers, "write_jdbc", lambda table, url, name, **options: written.extend(rows(table)))
+    batch = spark.createDataFrame([("a", 2), ("b", 3), ("b", 3)], "hash_id string, n int")
+    jobs.insert_new_jdbc(batch, "jdbc:x", "trafego")
+    assert written == [("b", 3)]
+
+
 def test_fan_out_repeats_a_batch_without_doubling(spark, tmp_path):
     batch = spark.createDataFrame([(1,), (2,)], "a int")
     write = jobs.folder_writer(f"{tmp_path}/sink")
