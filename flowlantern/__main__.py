@@ -10,7 +10,7 @@ from pyspark.sql import SparkSession
 
 from flowlantern.operators import ids
 from flowlantern.plans import medallion
-from flowlantern.session import build_session
+from flowlantern.session import STREAM_CONF, build_session
 from flowlantern.sources import readers, writers
 from flowlantern.streaming import jobs
 
@@ -68,7 +68,7 @@ def parser() -> argparse.ArgumentParser:
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(), args)
+    args.run(build_session(**STREAM_CONF), args)
 
 
 if __name__ == "__main__":

@@ -15,6 +15,9 @@ from flowlantern.functions.net import in_cidr
 
 TRACKERS = {"by_src": "src_ip", "by_dst": "dest_ip"}  # fixed values: what a limit may be counted by
 
+# The largest rank limit Spark applies before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
+MAX_EARLY_RANK = 1000
+
 
 def alert_table(events: DataFrame) -> DataFrame:
     """Alert events with signature and category as flat columns and the event time ``ts``."""
@@ -69,18 +72,20 @@ def rate_limit(
 
     ``limit`` keeps the first ``n``, ``both`` the n-th only, ``threshold`` every n-th. The first two
     need the first ``n`` ranks: the rank limit runs before the shuffle too, so a hot address sends at
-    most ``n`` alerts per task and period. The third needs the rank of every alert, see ``_ranked``.
+    most ``n`` alerts per task and period. The third, and an ``n`` too large for that, need the rank of
+    every alert, see ``_ranked``.
     """
+    if kind not in ("limit", "threshold", "both"):
+        raise ValueError(f"kind must be limit, threshold or both, not {kind!r}")
     group = ["sig_id", TRACKERS[track], "period"]
     timed = alerts.withColumn("period", aligned(F.unix_micros("ts"), seconds * MICROS))
-    if kind in ("limit", "both"):
+    if kind == "threshold" or n > MAX_EARLY_RANK:
+        ranked = _ranked(timed, group, seconds, slices)
+    else:
         order = Window.partitionBy(*group).orderBy("ts", "alert_id")
         ranked = timed.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n)
-        kept = ranked if kind == "limit" else ranked.filter(F.col("rank") == n)
-    elif kind == "threshold":
-        kept = _ranked(timed, group, seconds, slices).filter(F.col("rank") % n == 0)
-    else:
-        raise ValueError(f"kind must be limit, threshold or both, not {kind!r}")
+    rank = F.col("rank")
+    kept = ranked.filter({"limit": rank <= n, "both": rank == n, "threshold": rank % n == 0}[kind])
     return kept.drop("period", "rank")
 
 

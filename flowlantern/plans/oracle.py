@@ -363,6 +363,7 @@ ORACLE: dict[str, str] = {
     "alerts_only": _with(**_EVE)
     + "SELECT flow_id, src_ip, dest_ip, severity, signature_id, category FROM eve WHERE eve_type = 'alert'",
     "trafego": _with(**_TRAFEGO) + "SELECT * EXCLUDE (hash_id) FROM trafego",
+    "trafego_from_log": _with(**_TRAFEGO) + "SELECT * EXCLUDE (hash_id) FROM trafego",
     "trafego_hash_id": _with(**_TRAFEGO) + "SELECT flow_id, hash_id FROM trafego",
     "trafego_unique": _with(**_TRAFEGO) + "SELECT * FROM trafego",
     "classified_default": _with(**_CLASSIFIED) + "SELECT * FROM classificados",

@@ -180,7 +180,7 @@ def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "compact")
-    writers.write_table(_bronze(spark, sf_dir), f"{root}/bronze", ["vlan"])
+    writers.write_table(_bronze(spark, sf_dir, spread=True), f"{root}/bronze", ["vlan"])
     writers.compact(spark, f"{root}/bronze", f"{root}/compacted")
     return flows.volume_by_vlan(readers.read_table(spark, f"{root}/compacted"))
 
@@ -264,6 +264,14 @@ def trafego(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.to_trafego(_events(spark, sf_dir), key=False)
 
 
+@query
+def trafego_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from JSON-lines files, read with the declared schema."""
+    log = shared_dir(spark, "log")
+    derived.eve_lines(derived.table(spark, sf_dir, "events")).write.text(log)
+    return ids.to_trafego(readers.read_eve(spark, log), key=False)
+
+
 @query
 def trafego_hash_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _trafego(spark, sf_dir).select("flow_id", "hash_id")

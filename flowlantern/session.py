@@ -17,6 +17,12 @@ SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# For stateful streams: state on local disk with small uploads per batch, not in the executor heap.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
 
 def shuffle_partitions(shuffled_bytes: int, cores: int, target: int = 200 << 20) -> int:
     """Partitions that keep each one near ``target`` bytes, at least one per core.

@@ -42,10 +42,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
+MAX_SPREAD_TASKS = 32
+
+
 def missing_tasks(table: DataFrame) -> int:
-    """The number of cores when the scan has fewer tasks than that, else 0."""
+    """The number of cores when the scan has too few tasks for them, else 0.
+
+    Scans of more than ``MAX_SPREAD_TASKS`` (a few GB) are never moved for this.
+    """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return cores if table.rdd.getNumPartitions() < cores else 0
+    return cores if table.rdd.getNumPartitions() < min(cores, MAX_SPREAD_TASKS) else 0
 
 
 def spread(table: DataFrame, *key: str) -> DataFrame:
@@ -127,7 +133,7 @@ CATALOGUES = {
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Text file as ``line_no`` (increasing in file order) and ``line``."""
+    """Text file as ``line_no`` (increasing within the file) and ``line``."""
     return spark.read.text(path).select(F.monotonically_increasing_id().alias("line_no"), F.col("value").alias("line"))
 
 

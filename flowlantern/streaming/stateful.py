@@ -8,10 +8,12 @@ buckets is part of the checkpoint: keep it when restarting a query.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,9 @@ from flowlantern.functions.measures import MICROS
 from flowlantern.operators.alerts import TRACKERS
 from flowlantern.operators.sessions import FIVE_TUPLE, IDLE_SECONDS
 
+# The steps below travel to the executors as code, so these need not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BUCKETS = 1024
 
 # Open entries of a bucket: numbers per key.

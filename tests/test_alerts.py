@@ -183,6 +183,17 @@ def test_rate_limit_against_brute_force(spark, kind, track, seconds):
     assert found.columns == frame.columns
 
 
+@pytest.mark.parametrize("kind", ["limit", "both"])
+def test_large_n_is_ranked_by_slices(spark, monkeypatch, kind):
+    rng = random.Random(1)
+    table = [alert(i, rng.random() * 100, 1, "hot") for i in range(300)]
+    frame = spark.createDataFrame(table, ALERTS)
+    monkeypatch.setattr(alerts, "MAX_EARLY_RANK", 10)
+    found = alerts.rate_limit(frame, kind, 70, 50)
+    assert "WindowGroupLimit" not in plan(found)
+    assert rows(found, "alert_id") == expected_limit(table, kind, 70, 50, "by_src")
+
+
 def test_limit_is_monotone_in_n(spark):
     frame = queries._alerts(spark, SF_DIR)
     sizes = [alerts.rate_limit(frame, "limit", n, 86400).count() for n in (1, 2, 5)]
