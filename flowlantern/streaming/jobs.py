@@ -100,26 +100,27 @@ def _stored(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def new_rows(
-    batch: DataFrame, stored: DataFrame | None, key: str = "hash_id", unique: bool = False
-) -> DataFrame:
-    """Rows of ``batch`` whose key ``stored`` lacks, one per key (``unique``: the batch has one already)."""
-    fresh = batch if unique else batch.dropDuplicates([key])
-    return fresh if stored is None else fresh.join(stored.select(key), key, "left_anti")
+def new_rows(batch: DataFrame, stored: DataFrame | None, key: str = "hash_id") -> DataFrame:
+    """Rows of ``batch`` whose key ``stored`` lacks."""
+    return batch if stored is None else batch.join(stored.select(key), key, "left_anti")
 
 
 MAX_DATES = 1000
 
 
 def insert_new(
-    batch: DataFrame, path: str, key: str = "hash_id", partition: str = "event_date", unique: bool = False
+    batch: DataFrame,
+    path: str,
+    key: str = "hash_id",
+    partition: str = "event_date",
+    dedupe: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Appends the rows whose key is new to a parquet table partitioned by ``partition``.
 
     Equal keys mean equal dates, because the time is part of the key, so only the partitions of the
     dates in the batch are read back. Dates are few, but a batch with more than ``MAX_DATES`` of them
-    compares with the range between the first and the last. Running a batch twice adds nothing; there
-    must be one writer per table.
+    compares with the range between the first and the last. ``dedupe`` leaves one row per key (any of
+    them by default). Running a batch twice adds nothing; there must be one writer per table.
     """
     stored = _stored(batch.sparkSession, path)
     if stored is not None:
@@ -131,7 +132,8 @@ def insert_new(
         else:
             matches = column.isin([date for date in dates if date is not None])
         stored = stored.filter(matches | column.isNull())
-    rows = new_rows(batch, stored, key, unique).hint("rebalance", partition)
+    once = batch.dropDuplicates([key]) if dedupe is None else dedupe(batch)
+    rows = new_rows(once, stored, key).hint("rebalance", partition)
     rows.write.mode("append").partitionBy(partition).parquet(path)
 
 
@@ -140,7 +142,7 @@ def insert_new_jdbc(
 ) -> None:
     """The same for a relational table, whose keys are read back; ``read`` splits that read by range."""
     stored = readers.read_jdbc(batch.sparkSession, url, name, properties, **read)
-    writers.write_jdbc(new_rows(batch, stored, key), url, name, properties=properties)
+    writers.write_jdbc(new_rows(batch.dropDuplicates([key]), stored, key), url, name, properties=properties)
 
 
 def run_eve_ingest(
@@ -152,14 +154,15 @@ def run_eve_ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        traffic = ids.dedupe_trafego(ids.to_trafego(batch)).persist()
+        # Parsed once for the dates, the rows and the rejects.
+        batch.persist()
         try:
-            insert_new(traffic, path, unique=True)
+            insert_new(ids.to_trafego(batch), path, dedupe=ids.dedupe_trafego)
+            if rejected:
+                # A folder per batch, overwritten when the batch is repeated.
+                ids.rejected_events(batch).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
         finally:
-            traffic.unpersist()
-        if rejected:
-            # A folder per batch, overwritten when the batch is repeated.
-            ids.rejected_events(batch).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+            batch.unpersist()
 
     writer = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return _triggered(writer, trigger).start()
