@@ -82,7 +82,7 @@ def fit(
     weight: list[float],
     min_docs: int = 5,
     max_words: int = 2000,
-    penalty: float = 0.02,
+    penalty: float = 0.001,
     steps: int = 600,
 ) -> NoisyOr:
     """Maximum likelihood under an L1 penalty on the word weights, by proximal gradient steps scaled by the recent
@@ -107,7 +107,7 @@ def fit(
     rows, cols, owner = np.array(rows), np.array(cols), np.array(owner)
     w, bias, leak = np.zeros(len(words)), NoisyOr.bias, np.log(0.02 / 0.98)
     second = np.zeros(len(words) + 1)
-    cost = max(1.0, penalty * float((y * mass).sum()))
+    cost = max(0.4, penalty * float((y * mass).sum()))
     for step in range(1, steps + 1):
         p = 1 / (1 + np.exp(-np.clip(bias + np.bincount(rows, w[cols], len(owner)), -30, 30)))
         low = 1 / (1 + np.exp(-leak))
