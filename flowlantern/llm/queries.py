@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import toxicity
+from flowlantern.llm import bpe, langid, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,3 +37,20 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("r.score") >= 0.5).cast("int").alias("predicted"),
         F.size("r.spans").alias("n_suspicious"),
     )
+
+
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = langid.train(docs, remainder("doc_id", 4) != 2)
+    found = docs.select("doc_id", langid.predicted("text", model, spark).alias("r"))
+    return found.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "r.*")
+
+
+BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
+
+
+@query
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digests = bpe.digests("text", public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
+    return read(spark, sf_dir, "documents").select("doc_id", digests.alias("r")).select("doc_id", "r.*")
