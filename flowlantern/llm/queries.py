@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, langid, toxicity
+from flowlantern.llm import bpe, decontaminate, langid, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +54,36 @@ BYTE_RANKS = "byte_bpe_multi_50k.tiktoken"
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     digests = bpe.digests("text", public_tokenizers.path(BYTE_RANKS), public_tokenizers.PATTERN)
     return read(spark, sf_dir, "documents").select("doc_id", digests.alias("r")).select("doc_id", "r.*")
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
+# The words of a text, as decontaminate.words() finds them.
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+)
+ORACLE["op1_decontamination"] = f"""
+WITH d AS (SELECT doc_id, {_SQL_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_SQL_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+iw AS (
+  SELECT DISTINCT item_id, least(len(w), 13) AS n, array_to_string(w[p:p + least(len(w), 13) - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, greatest(len(w) - 13, 0) + 2)) AS p FROM i WHERE len(w) > 0)),
+dw AS (
+  SELECT doc_id, n, p, array_to_string(w[p:p + n - 1], ' ') AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM d, (SELECT DISTINCT n FROM iw))),
+m AS (SELECT doc_id, dw.n, p, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.n = iw.n),
+h AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM m) GROUP BY 1),
+t AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM m) GROUP BY 1)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+"""
