@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, decontaminate, langid, toxicity
+from flowlantern.llm import bpe, decontaminate, langid, tokenfiles, toxicity
 from flowlantern.llm.common import held_out, read, remainder
+from flowlantern.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -87,3 +88,14 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesc
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
 """
+
+
+WORD_TOKENIZER = "word_bpe_49k.json"
+END_ID = 2
+
+
+@query
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "tokens")
+    tokenfiles.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER), END_ID)
+    return tokenfiles.digests(spark, path)
