@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, decontaminate, langid, tokenfiles, toxicity
+from flowlantern.llm import bpe, decontaminate, langid, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -99,3 +99,21 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark, "tokens")
     tokenfiles.write(read(spark, sf_dir, "documents"), path, public_tokenizers.path(WORD_TOKENIZER), END_ID)
     return tokenfiles.digests(spark, path)
+
+
+@query
+def op2_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_products(read(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
+ORACLE["op2_top_products"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
