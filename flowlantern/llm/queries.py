@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, decontaminate, langid, tokenfiles, topk, toxicity
+from flowlantern.llm import bpe, dartminhash, decontaminate, langid, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -117,3 +117,9 @@ s AS (
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s)
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = dartminhash.near_duplicates(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_members")
