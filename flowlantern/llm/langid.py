@@ -14,7 +14,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 UNKNOWN = "und"
 WORD = re.compile(r"[^\W\d_]+")
 MAX_GRAM = 6
-CACHE = 300_000
+TEXT_AT_ONCE = 2_000_000  # characters
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -36,31 +36,44 @@ def grams(word: str, n: int) -> list[str]:
 
 @dataclass
 class LanguageModel:
-    """``costs[n]``: n-gram to its negative log10 frequency by language; ``costs[0]`` holds words."""
+    """``rows[n]``: n-gram to its row of ``costs``, the negative log10 frequencies by language; ``rows[0]`` holds words,
+    and row 0 of ``costs`` says nothing about any language."""
 
     names: list[str]
-    costs: list[dict[str, np.ndarray]]
-    cache: dict[str, np.ndarray] = field(default_factory=dict)
-
-    def word_cost(self, word: str) -> np.ndarray:
-        found = self.cache.get(word)
-        if found is None:
-            found = self._look_up(word)
-            if len(self.cache) >= CACHE:
-                self.cache.clear()
-            self.cache[word] = found
-        return found
-
-    def _look_up(self, word: str) -> np.ndarray:
-        if word in self.costs[0]:
-            return self.costs[0][word]
+    rows: list[dict[str, int]]
+    costs: np.ndarray
+
+    def evidence(self, word: str) -> list[int]:
+        """The rows whose mean is the word's cost."""
+        found = self.rows[0].get(word)
+        if found is not None:
+            return [found]
         for n in range(MAX_GRAM, 0, -1):
-            known = [c for g in grams(word, n) if (c := self.costs[n].get(g)) is not None]
+            known = [r for g in grams(word, n) if (r := self.rows[n].get(g)) is not None]
             if known:
-                return np.mean(known, axis=0)
-        return np.zeros(len(self.names))
+                return known
+        return [0]
+
+    def word_costs(self, words: list[str]) -> np.ndarray:
+        each = [self.evidence(w) for w in words]
+        lengths = np.array([len(e) for e in each])
+        flat = np.fromiter((r for e in each for r in e), np.int32, lengths.sum())
+        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        return np.add.reduceat(self.costs[flat], starts, axis=0) / lengths[:, None]
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Languages and scores, for as many texts at a time as bound the list of their words."""
+        names, scores, held, size = [], [], [], 0
+        for i, text in enumerate(texts):
+            held.append(text)
+            size += len(text or "")
+            if size >= TEXT_AT_ONCE or i + 1 == len(texts):
+                for total, part in zip((names, scores), self._predict(held), strict=True):
+                    total += part
+                held, size = [], 0
+        return names, scores
+
+    def _predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         words: list[str] = []
         lengths = []
         for text in texts:
@@ -71,7 +84,7 @@ class LanguageModel:
         if not words or not self.names:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
         codes, distinct = pd.factorize(np.array(words, object))
-        costs = np.array([self.word_cost(w) for w in distinct])[codes]
+        costs = self.word_costs(distinct)[codes]
         full = np.flatnonzero(lengths)
         starts = np.r_[0, np.cumsum(lengths[full])[:-1]]
         mean = np.add.reduceat(costs, starts, axis=0) / lengths[full, None]
@@ -84,16 +97,17 @@ class LanguageModel:
         return names, scores
 
 
-def train(docs: DataFrame, eligible: Column, max_docs: int = 2000, max_features: int = 30_000) -> LanguageModel:
+def train(docs: DataFrame, eligible: Column, max_docs: int = 2000, max_features: int = 10_000) -> LanguageModel:
     """Learns from ``docs`` (doc_id, text, lang) where ``eligible`` holds.
 
     Bounds: per language the whole texts of the first ``max_docs`` documents in the order of a hash of the id, and the
-    ``max_features`` most frequent words and n-grams of each length. Words are counted where the texts are read.
+    ``max_features`` most frequent words and n-grams of each length, so the ids and the model are small enough to
+    broadcast. Words are counted where the texts are read.
     """
     ranked = docs.where(eligible & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
     chosen = ranked.distinct().withColumn("k", rank).where(F.col("k") <= max_docs).drop("k")
-    sample = docs.select("doc_id", "text", "lang").join(chosen, ["doc_id", "lang"], "left_semi")
+    sample = docs.select("doc_id", "text", "lang").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,15 +143,19 @@ def train(docs: DataFrame, eligible: Column, max_docs: int = 2000, max_features:
 def model(counts: pd.DataFrame) -> LanguageModel:
     """From (lang, size, gram, n); a gram a language lacks costs one decade more than its rarest one."""
     names = sorted(counts["lang"].unique())
-    costs: list[dict[str, np.ndarray]] = [{} for _ in range(MAX_GRAM + 1)]
+    rows: list[dict[str, int]] = [{} for _ in range(MAX_GRAM + 1)]
+    costs = [np.zeros((1, len(names)), np.float32)]
+    begin = 1
     for size, part in counts.groupby("size"):
-        rows, distinct = pd.factorize(part["gram"])
+        which, distinct = pd.factorize(part["gram"])
         cols = np.searchsorted(names, part["lang"])
         total = np.bincount(cols, part["n"], len(names))
-        table = np.broadcast_to(np.log10(np.maximum(total, 1)) + 1, (len(distinct), len(names))).copy()
-        table[rows, cols] = np.log10(total[cols]) - np.log10(part["n"])
-        costs[size] = dict(zip(distinct, table, strict=True))
-    return LanguageModel(names, costs)
+        table = np.broadcast_to(np.log10(np.maximum(total, 1)) + 1, (len(distinct), len(names))).astype(np.float32)
+        table[which, cols] = np.log10(total[cols]) - np.log10(part["n"])
+        rows[size] = dict(zip(distinct, range(begin, begin + len(distinct)), strict=True))
+        costs.append(table)
+        begin += len(distinct)
+    return LanguageModel(names, rows, np.concatenate(costs))
 
 
 def predicted(text: str, languages: LanguageModel, spark) -> Column:
