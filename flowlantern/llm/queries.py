@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, dartminhash, decontaminate, langid, tokenfiles, topk, toxicity
+from flowlantern.llm import bpe, dartminhash, decontaminate, langid, surrogates, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -123,3 +123,17 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = dartminhash.near_duplicates(read(spark, sf_dir, "documents"))
     return found.select("doc_id", "class_id", "n_members")
+
+
+SURROGATE_KEY = b"flowlantern"  # a deployment sets its own
+
+
+@query
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    clash = surrogates.collisions(surrogates.entities(docs, SURROGATE_KEY)).limit(1).collect()
+    if clash:
+        raise ValueError(f"surrogates are not distinct: {clash[0]}")
+    found = docs.select("doc_id", surrogates.replaced("text", SURROGATE_KEY).alias("r"))
+    kinds = F.array_join(F.array_sort(F.array_distinct("r.entities.kind")), ",").alias("kinds")
+    return found.select("doc_id", "r.text", F.size("r.entities").alias("n_entities"), kinds)
