@@ -15,15 +15,18 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from collections.abc import Iterator
+from itertools import chain
 
+import ahocorasick
 import pandas as pd
 import regex
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-CACHE = 400_000
-LONGEST_CACHED = 64  # bytes; longer pieces hardly come again
+CACHE = 300_000
+LONGEST_CACHED = 48  # characters; longer ones hardly come again
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -39,36 +42,65 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]) -> None:
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.lengths = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks), default=1)
-        self._pairs: dict[tuple[int, int], bool] = {}
+        self.matcher = ahocorasick.Automaton()  # of the tokens, a byte for a character
+        for token, rank in ranks.items():
+            self.matcher.add_word(token.decode("latin-1"), rank)
+        self.matcher.make_automaton()
+        self.pairs: dict[tuple[int, int], bool] = {}
         self._alone: dict[int, bool] = {}
+        self._halves: dict[int, tuple[int, int] | None] = {}
 
-    def merge(self, data: bytes) -> list[int]:
+    def merge(self, data: bytes, down_to: int = 1) -> list[bytes]:
         """The definition: merge the neighbours of the lowest rank, leftmost first, while there are any."""
         parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
+        while len(parts) > down_to:
             best = min(range(len(parts) - 1), key=lambda i: self.ranks.get(parts[i] + parts[i + 1], 1 << 40))
             joined = parts[best] + parts[best + 1]
             if joined not in self.ranks:
                 break
             parts[best : best + 2] = [joined]
-        return [self.ranks[p] for p in parts]
+        return parts
+
+    def halves(self, token: int) -> tuple[int, int] | None:
+        """The two tokens whose merge, the last one, gives this token; None for a single byte."""
+        if token not in self._halves:
+            parts = self.merge(self.tokens[token], 2)
+            self._halves[token] = (self.ranks[parts[0]], self.ranks[parts[1]]) if len(parts) == 2 else None
+        return self._halves[token]
 
     def alone(self, token: int) -> bool:
         """Whether merging the token's bytes gives the token; others never come out of merges."""
-        found = self._alone.get(token)
-        if found is None:
-            found = self._alone[token] = self.merge(self.tokens[token]) == [token]
-        return found
+        if token not in self._alone:
+            self._alone[token] = len(self.merge(self.tokens[token])) == 1
+        return self._alone[token]
 
     def follows(self, left: int, right: int) -> bool:
+        """Whether no merge crosses the border between the two tokens.
+
+        Their merges are taken back one by one, the latest first. A border merge would have happened if it comes before
+        the merge just taken back: that has a higher rank, or the same rank and stands to the right of the border.
+        """
         key = (left, right)
-        found = self._pairs.get(key)
-        if found is None:
-            if len(self._pairs) >= 4 * CACHE:
-                self._pairs.clear()
-            found = self._pairs[key] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
-        return found
+        if key not in self.pairs:
+            if len(self.pairs) >= 4 * CACHE:
+                self.pairs.clear()
+            self.pairs[key] = self.alone(left) and self.alone(right) and self._apart(left, right)
+        return self.pairs[key]
+
+    def _apart(self, left: int, right: int) -> bool:
+        limit, ranks, tokens = 1 << 40, self.ranks, self.tokens
+        while True:
+            if ranks.get(tokens[left] + tokens[right], 1 << 40) < limit:
+                return False
+            own, other = self.halves(left), self.halves(right)
+            if own and (not other or left > right):
+                limit, left = left, own[1]
+            elif other:
+                limit, right = right + 1, other[0]
+            else:
+                return True
 
 
 class Prefixes:
@@ -78,73 +110,111 @@ class Prefixes:
         self.vocabulary, self.data, self.last = vocabulary, b"", []
         self.append(data)
 
-    def _token(self, end: int) -> int:
-        v = self.vocabulary
-        for start in range(max(0, end - v.longest), end):
-            token = v.ranks.get(self.data[start:end])
-            if token is not None and v.alone(token) and (not start or v.follows(self.last[start - 1], token)):
-                return token
-        raise ValueError("the vocabulary lacks a single byte")
+    def _settle(self, begin: int, old: list[int] = (), behind: int = 0, shift: int = 0) -> int:
+        """Finds the last tokens of the prefixes longer than ``begin`` and returns how many.
+
+        From a length over ``behind`` on, ``old`` holds the tokens of a former text of ``shift`` more bytes; equal ones
+        over a token's length end the work, as all that follows depends on these only.
+        """
+        v, last = self.vocabulary, self.last
+        known, lengths = v.pairs.get, v.lengths
+        end, same = begin, 0
+        # all tokens that end anywhere behind ``begin``; those of one end come together
+        for place, token in v.matcher.iter(self.data.decode("latin-1"), max(0, begin - v.longest + 1)):
+            if place < end:
+                continue
+            start = place + 1 - lengths[token]
+            if start:
+                fits = known((last[start - 1], token))
+                if fits is None:
+                    fits = v.follows(last[start - 1], token)
+            else:
+                fits = v.alone(token)
+            if fits:
+                last.append(token)
+                end = place + 1
+                if old:
+                    same = same + 1 if end > behind and token == old[place + shift] else 0
+                    if same >= v.longest:
+                        last += old[end + shift :]
+                        return end - begin
+        if end < len(self.data):
+            raise ValueError("the vocabulary lacks a single byte")
+        return end - begin
 
     def append(self, data: bytes) -> None:
         begin = len(self.data)
         self.data += data
-        for end in range(begin + 1, len(self.data) + 1):
-            self.last.append(self._token(end))
+        self._settle(begin)
 
     def replace(self, start: int, stop: int, data: bytes) -> int:
         """Puts ``data`` in place of bytes start to stop; returns how many prefixes were worked out anew."""
         old, shift = self.last, stop - start - len(data)
         self.data = self.data[:start] + data + self.data[stop:]
         self.last = old[:start]
-        same = 0
-        for end in range(start + 1, len(self.data) + 1):
-            # equal last tokens over a token's length: all that follows depends on these only
-            if same >= self.vocabulary.longest:
-                self.last += old[end - 1 + shift :]
-                return end - 1 - start
-            self.last.append(self._token(end))
-            behind = end - len(data) > start
-            same = same + 1 if behind and self.last[-1] == old[end - 1 + shift] else 0
-        return len(self.data) - start
+        return self._settle(start, old, start + len(data), shift)
 
     def ids(self) -> list[int]:
-        found, end = [], len(self.data)
+        found, end, lengths = [], len(self.data), self.vocabulary.lengths
         while end:
             found.append(self.last[end - 1])
-            end -= len(self.vocabulary.tokens[found[-1]])
+            end -= lengths[found[-1]]
         return found[::-1]
 
 
 class Codec:
-    """Encoder and decoder of whole texts; pieces seen before are not encoded again."""
+    """Encoder and decoder of whole texts; what was seen before is not encoded again.
+
+    The pattern must never match across a place where white space follows something else, so that the text can be cut
+    there: the chunks of a text, white space and what follows, are looked up first.
+    """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str) -> None:
         self.vocabulary, self.pattern = Vocabulary(ranks), regex.compile(pattern)
-        self._pieces: dict[str, list[int]] = {}
+        blank = re.escape("".join(c for c in map(chr, range(0x10000)) if regex.match(r"\s", c)))
+        self.chunk = re.compile(f"[{blank}]*[^{blank}]+|[{blank}]+")
+        self._pieces: dict[str, tuple[int, ...]] = {}
+        self._chunks: dict[str, tuple[int, ...]] = {}
+        self._names = {rank: str(rank) for rank in self.vocabulary.tokens}
+
+    @staticmethod
+    def _keep(cache: dict[str, tuple[int, ...]], text: str, ids: tuple[int, ...], most: int) -> tuple[int, ...]:
+        if len(text) <= LONGEST_CACHED:
+            if len(cache) >= most:
+                cache.clear()
+            cache[text] = ids
+        return ids
 
-    def piece(self, text: str) -> list[int]:
+    def piece(self, text: str) -> tuple[int, ...]:
+        """The ids of one match of the pattern."""
         found = self._pieces.get(text)
         if found is None:
             data = text.encode()
             whole = self.vocabulary.ranks.get(data)
-            found = [whole] if whole is not None else Prefixes(self.vocabulary, data).ids()
-            if len(data) <= LONGEST_CACHED:
-                if len(self._pieces) >= CACHE:
-                    self._pieces.clear()
-                self._pieces[text] = found
+            found = (whole,) if whole is not None else tuple(Prefixes(self.vocabulary, data).ids())
+            self._keep(self._pieces, text, found, 2 * CACHE)
         return found
 
+    def _chunk(self, text: str) -> tuple[int, ...]:
+        parts = self.pattern.findall(text)
+        if len(parts) == 1:
+            return self.piece(text)
+        return self._keep(self._chunks, text, tuple(i for part in parts for i in self.piece(part)), CACHE)
+
     def encode(self, text: str | None) -> list[int]:
-        ids: list[int] = []
-        known, extend = self._pieces.get, ids.extend
-        for part in self.pattern.findall(text or ""):
-            extend(known(part) or self.piece(part))
-        return ids
+        parts = self.chunk.findall(text or "")
+        found = list(map(self._chunks.get, parts))
+        if None in found:
+            get = self._pieces.get  # most chunks are a single piece
+            found = [ids or get(p) or self._chunk(p) for p, ids in zip(parts, found, strict=True)]
+        return list(chain.from_iterable(found))
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
+    def decimals(self, ids: list[int]) -> bytes:
+        return ",".join(map(self._names.__getitem__, ids)).encode()
+
 
 _CODECS: dict[tuple[str, str], Codec] = {}
 
@@ -190,8 +260,8 @@ def digests(text: str, path: str, pattern: str) -> Column:
             rows = []
             for t in part:
                 ids = own.encode(t)
-                written = ",".join(map(str, ids)).encode()
-                rows.append((len(ids), hashlib.sha256(written).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()))
+                hashes = [hashlib.sha256(x).hexdigest() for x in (own.decimals(ids), own.decode(ids))]
+                rows.append((len(ids), *hashes))
             yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return apply(F.col(text))

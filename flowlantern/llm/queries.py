@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, dartminhash, decontaminate, langid, surrogates, tokenfiles, topk, toxicity
+from flowlantern.llm import bpe, dartminhash, decontaminate, langid, suffixes, surrogates, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -137,3 +137,10 @@ def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = docs.select("doc_id", surrogates.replaced("text", SURROGATE_KEY).alias("r"))
     kinds = F.array_join(F.array_sort(F.array_distinct("r.entities.kind")), ",").alias("kinds")
     return found.select("doc_id", "r.text", F.size("r.entities").alias("n_entities"), kinds)
+
+
+@query
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)

@@ -14,6 +14,7 @@ the text; a NULL doc_id comes first. Special tokens in a text are treated as the
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -26,7 +27,11 @@ from pyspark.sql import functions as F
 
 SEGMENT = 1 << 19
 BLOCK = 64  # bytes of a bitmap for each entry of its rank directory
-CACHE = 400_000
+CACHE = 600_000
+LONGEST_CACHED = 48  # characters; longer words hardly come again
+TEXT_AT_ONCE = 2_000_000  # characters
+END_MARK = "</w>"
+PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 LAYOUT = (
     "part int, first long, n_tokens long, doc_ids array<long>, doc_starts array<long>, "
@@ -97,25 +102,72 @@ class Codes:
 
 
 class Words:
-    """The tokenizer behind a cache of words: it drops white space and never joins across it."""
+    """The tokenizer behind a cache of chunks: it drops white space and never joins across it.
+
+    Words of plain letters give one run of tokens each, of which the last alone has the end mark of the vocabulary, so
+    many of them are encoded as one text. Points and commas behind a letter start a run of their own.
+    """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(END_MARK)]] = True
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(c.ids, "<u4") for c in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """The ids of words of plain letters."""
+        ids = self._encode([" ".join(words)])[0] if words else np.empty(0, "<u4")
+        stops = np.flatnonzero(self.ends[ids]) + 1
+        if len(stops) != len(words):  # a vocabulary without end marks
+            return [c.tobytes() for c in self._encode(words)]
+        data, bounds = ids.tobytes(), [0, *(4 * stops).tolist()]
+        return [data[x:y] for x, y in zip(bounds, bounds[1:], strict=False)]
+
+    def _fresh(self, chunks: set[str]) -> dict[str, bytes]:
+        known, found, tails = self.known, {}, {}
+        for chunk in chunks:
+            core = chunk.rstrip(".,")
+            if core != chunk and PLAIN.fullmatch(core[-1:]):
+                tails[chunk] = core
+        wanted = (chunks - tails.keys()) | {t for c, core in tails.items() for t in (core, c[len(core) :])}
+        wanted = [w for w in wanted if w not in known]
+        plain = [w for w in wanted if PLAIN.fullmatch(w)]
+        found.update(zip(plain, self._plain(plain), strict=True))
+        rest = [w for w in wanted if w not in found]
+        found.update(zip(rest, (c.tobytes() for c in self._encode(rest)), strict=True))
+        for chunk, core in tails.items():
+            tail = chunk[len(core) :]
+            found[chunk] = (found.get(core) or known[core]) + (found.get(tail) or known[tail])
+        return found
 
-    def __missing__(self, word: str) -> bytes:
-        found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        if len(self.known) >= CACHE:
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of each text as little-endian 32-bit integers; chunks not seen before are encoded together."""
+        parts = [CHUNK.findall(t or "") for t in texts]
+        found = [list(map(self.known.get, p)) for p in parts]
+        open_ = [i for i, ids in enumerate(found) if None in ids]
+        new = self._fresh({p for i in open_ for p, ids in zip(parts[i], found[i], strict=True) if ids is None})
+        for i in open_:
+            found[i] = [new[p] if ids is None else ids for p, ids in zip(parts[i], found[i], strict=True)]
+        if len(self.known) + len(new) > CACHE:
             self.known.clear()
-        if len(word) <= 64:
-            self.known[word] = found
-        return found
+        self.known.update((word, ids) for word, ids in new.items() if len(word) <= LONGEST_CACHED)
+        return [b"".join(ids) for ids in found]
+
+
+_WORDS: dict[str, Words] = {}
 
-    def encode(self, text: str | None) -> bytes:
-        """The ids as little-endian 32-bit integers."""
-        get, parts = self.known.get, CHUNK.findall(text or "")
-        return b"".join([known if (known := get(p)) is not None else self.__missing__(p) for p in parts])
+
+def words(path: str) -> Words:
+    """One tokenizer and cache per worker process; the file is installed on every machine."""
+    if path not in _WORDS:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's to share out
+        _WORDS[path] = Words(path)
+    return _WORDS[path]
 
 
 def _segment(part: int, first: int, docs: list[int | None], pieces: list[bytes]) -> pa.RecordBatch:
@@ -125,20 +177,35 @@ def _segment(part: int, first: int, docs: list[int | None], pieces: list[bytes])
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, ARROW, strict=True)], schema=ARROW)
 
 
+def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str | None]]]:
+    """(doc ids, texts) of rows with about ``TEXT_AT_ONCE`` characters together."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+            ids.append(doc_id)
+            texts.append(text.as_py())
+            size += len(texts[-1] or "")
+            if size >= TEXT_AT_ONCE:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int = SEGMENT) -> None:
     """Writes the ids of ``docs`` (doc_id, text), each document closed by ``end_id``, in ascending order of doc_id."""
     order = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64("text")]
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, first = Words(tokenizer), TaskContext.get().partitionId(), 0
+        encoder, part, first = words(tokenizer), TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         pieces: list[bytes] = []
         held = 0
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
+        for run_ids, texts in runs(batches):
+            for doc_id, code in zip(run_ids, encoder.encode(texts), strict=True):
                 ids.append(doc_id)
-                pieces.append(words.encode(text.as_py()) + end)
+                pieces.append(code + end)
                 held += len(pieces[-1]) // 4
                 if held >= segment:
                     yield _segment(part, first, ids, pieces)
