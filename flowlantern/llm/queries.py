@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, dartminhash, decontaminate, langid, suffixes, surrogates, tokenfiles, topk, toxicity
+from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, langid, suffixes, surrogates, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -144,3 +144,11 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffixes.remove_repeats(read(spark, sf_dir, "documents"))
     digest = F.sha2("kept", 256).alias("kept_sha256")
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
+@query
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contexttree.scores(read(spark, sf_dir, "documents"), remainder("doc_id", 10) != 0)
+    bits = (-F.col("score") / F.log10(F.lit(2.0)) / (F.col("n_bytes") + 1)).alias("bits_per_byte")
+    own = held_out("doc_id", 10, 0).alias("held_out")
+    return found.select("doc_id", own, "n_tokens", "n_known", "train_tokens", "base_score", "score", bits)
