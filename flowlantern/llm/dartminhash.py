@@ -34,7 +34,7 @@ SIMILAR = 0.8
 BANDS = 32
 ROWS = 6
 WORD = re.compile(r"[^\W_]+")
-TEXT_AT_ONCE = 4_000_000  # characters
+TEXT_AT_ONCE = 2_000_000  # characters, of which a signature's darts count as some
 #: Chances of at least 1, 2, ... darts in a cell of unit area.
 _TAIL = 1 - np.cumsum([np.exp(-1.0) / float(np.prod(np.arange(1, n + 1, dtype=float))) for n in range(16)])
 U = np.uint64
@@ -142,12 +142,13 @@ def weighted(elements: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.n
     return e[first], np.bincount(o[first], minlength=len(counts)), np.diff(np.r_[first, len(e)]).astype(float)
 
 
-def _sets(rows: list[tuple], shingler: Shingler):
-    """Runs of rows of bounded text: the rows, each one's word hashes, shingles, numbers of them and weights."""
+def _sets(rows: list[tuple], shingler: Shingler, k: int = 0):
+    """Runs of rows of bounded text: the rows, each one's word hashes, shingles, numbers of them and weights; ``k`` is
+    the length of a signature to be made of each."""
     held, size = [], 0
     for i, row in enumerate(rows):
         held.append(row)
-        size += len(row[-1] or "")
+        size += len(row[-1] or "") + 16 * k
         if size >= TEXT_AT_ONCE or i + 1 == len(rows):
             ids = [np.array(shingler.words(r[-1]), U) for r in held]
             lengths = np.array([len(x) for x in ids])
@@ -169,13 +170,13 @@ def _content(ids: np.ndarray) -> bytes:
 
 
 def _marked(docs: DataFrame, bands: int, rows: int, weights: bool) -> DataFrame:
-    """doc_id, text_key, content, bands (a hash for each) of every row, in one reading of the texts."""
+    """doc_id, text_key, content, bands (a hash for each) and number of shingles of every row, in one reading."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler()
         for batch in batches:
             texts = list(zip(*(batch[c].to_pylist() for c in ("doc_id", "text_key", "text")), strict=True))
-            for held, ids, elements, counts, times in _sets(texts, shingler):
+            for held, ids, elements, counts, times in _sets(texts, shingler, bands * rows):
                 mass = times if weights else np.ones(len(times))
                 marks = signatures(elements, mass, counts, bands * rows)
                 folded = _fold(marks.reshape(len(held), bands, rows) + np.arange(bands, dtype=U)[None, :, None]).astype(np.int64)
@@ -184,11 +185,12 @@ def _marked(docs: DataFrame, bands: int, rows: int, weights: bool) -> DataFrame:
                     pa.array([r[1] for r in held], pa.int64()),
                     pa.array([_content(i) if len(i) else None for i in ids], pa.binary()),
                     pa.ListArray.from_arrays(np.arange(len(held) + 1, dtype=np.int32) * bands, folded.ravel()),
+                    pa.array(counts.astype(np.int64)),
                 ]
-                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "content", "bands"])
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "content", "bands", "size"])
 
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-    return keyed.mapInArrow(read, "doc_id long, text_key long, content binary, bands array<long>")
+    return keyed.mapInArrow(read, "doc_id long, text_key long, content binary, bands array<long>, size long")
 
 
 def _shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -256,24 +258,29 @@ def near_duplicates(
     """
     marked = stored(_marked(docs, bands, rows, weights), "marked")
     known = marked.where(F.col("content").isNotNull())
-    first = F.min_by(F.struct("doc_id", "text_key", "bands"), F.struct(F.coalesce("doc_id", F.lit(0)), "text_key"))
+    first = F.min_by(F.struct("doc_id", "text_key", "bands", "size"), F.struct(F.coalesce("doc_id", F.lit(0)), "text_key"))
     nodes = stored(known.groupBy(F.col("content").alias("node")).agg(first.alias("r")).select("node", "r.*"), "nodes")
-    members = nodes.select("node", F.explode("bands").alias("band"))
+    members = nodes.select("node", "size", F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where(F.col("n") > 1)
     members = stored(members.join(buckets.drop("n"), "band"), "members")
     active = members.select("node").distinct()
-    sets = stored(_shingle_sets(docs, nodes.drop("bands").join(active, "node")), "sets")
+    sets = stored(_shingle_sets(docs, nodes.drop("bands", "size").join(active, "node")), "sets")
     pairs = members.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
     tried = stored(pairs.distinct(), "pairs")
     links = stored(_verified(tried, sets, similar), "links")
     while True:
         labels = components(links)
-        placed = members.select("band", "node").join(labels, "node", "left")
-        placed = placed.select("band", "node", F.coalesce("label", "node").alias("label"))
-        heads = placed.groupBy("band", "label").agg(F.min("node").alias("head"))
-        open_ = heads.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("band")
-        heads = heads.join(open_, "band").select("band", F.col("label").alias("other"), "head")
-        apart = placed.join(heads, "band").where(F.col("label") != F.col("other"))
+        placed = members.select("band", "node", "size").join(labels, "node", "left")
+        # similar sets are of similar size: their classes by powers of 1 / similar are equal or next to each other
+        grade = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / similar))).alias("grade")
+        placed = placed.select("band", "node", "size", grade, F.coalesce("label", "node").alias("label"))
+        heads = placed.groupBy("band", "label", "grade").agg(F.min(F.struct("node", "size")).alias("h"))
+        open_ = heads.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"))
+        heads = heads.join(open_.where(F.col("x") != F.col("y")).select("band"), "band")
+        grades = F.explode(F.sequence(F.col("grade") - 1, F.col("grade") + 1)).alias("grade")
+        heads = heads.select("band", F.col("label").alias("other"), F.col("h.node").alias("head"), F.col("h.size").alias("length"), grades)
+        near = (F.col("size") >= (similar - 1e-9) * F.col("length")) & (F.col("length") >= (similar - 1e-9) * F.col("size"))
+        apart = placed.join(heads, ["band", "grade"]).where((F.col("label") != F.col("other")) & near)
         apart = apart.select(F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b")).distinct()
         fresh = stored(apart.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = stored(_verified(fresh, sets, similar), "links")
