@@ -17,6 +17,7 @@ from flowlantern.streaming import jobs
 
 def stream_flows(spark: SparkSession, args: argparse.Namespace) -> None:
     messages = readers.read_flow_stream(spark, args.servers, args.topic, args.starting, args.max_offsets)
+    spark.streams.addListener(jobs.HealthListener())
     query = jobs.run_bronze(messages, args.path, args.checkpoint, args.layout, args.trigger)
     print(json.dumps(jobs.progress(jobs.finish(query))))
 
@@ -32,11 +33,17 @@ def audit(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def ingest_events(spark: SparkSession, args: argparse.Namespace) -> None:
+    spark.streams.addListener(jobs.HealthListener())
     events = readers.read_eve_stream(spark, args.logs, max_files=args.max_files)
     query = jobs.run_eve_ingest(events, args.table, args.checkpoint, args.rejected, args.trigger)
     print(json.dumps(jobs.progress(jobs.finish(query))))
 
 
+def ingest_log(spark: SparkSession, args: argparse.Namespace) -> None:
+    """For the log in use; ``ingest-events`` is for rotated files."""
+    jobs.ingest_log(spark, args.log, args.table, args.rejected)
+
+
 def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
     trafego, classified = readers.read_table(spark, args.trafego), readers.read_table(spark, args.classificados)
     writers.write_table(ids.traffic_dashboard(trafego, classified), args.out)
@@ -44,6 +51,7 @@ def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="flowlantern", description=__doc__)
+    top.add_argument("--shuffle-partitions", type=int, help="partitions a shuffle starts with; adaptive execution only merges them")
     commands = top.add_subparsers(required=True)
 
     def command(run, *required: str, **optional: object) -> None:
@@ -62,13 +70,17 @@ def parser() -> argparse.ArgumentParser:
     command(refine, "bronze", "silver", "gold", dedupe="row", rows=10)
     command(audit, "bronze")
     command(ingest_events, "logs", "table", "checkpoint", rejected=None, trigger=None, max_files=None)
+    command(ingest_log, "log", "table", rejected=None)
     command(dashboard, "trafego", "classificados", "out")
     return top
 
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    args.run(build_session(**STREAM_CONF), args)
+    conf = dict(STREAM_CONF)
+    if args.shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(args.shuffle_partitions)
+    args.run(build_session(**conf), args)
 
 
 if __name__ == "__main__":

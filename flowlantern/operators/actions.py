@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowlantern.schemas import ACTIONS_JSON
+from flowlantern.schemas import ACTION_JSON
 
 # Commands a host accepts. The strict list also knows nft and wants a space after the word.
 LOOSE_ALLOWED = r"^(iptables|pkill|usermod|chmod|kill|firewall-cmd)"
@@ -22,13 +22,32 @@ def valid_actions(documents: DataFrame) -> DataFrame:
     return documents.filter(F.try_parse_json("body").isNotNull())
 
 
+def _texts() -> Column:
+    """The items of an array, or the values of an object, as JSON text with their positions."""
+    values = F.coalesce(F.from_json("body", "array<string>"), F.map_values(F.from_json("body", "map<string,string>")))
+    return F.transform(values, lambda text, pos: F.struct(pos.alias("pos"), text.alias("text")))
+
+
+def _is_object(entry: Column) -> Column:
+    return F.coalesce(entry["text"].startswith("{"), F.lit(False))
+
+
 def _items() -> Column:
-    return F.from_json("body", ACTIONS_JSON)
+    """(pos, item) of the items that are objects; each is read on its own."""
+    read = F.filter(_texts(), _is_object)
+    return F.transform(read, lambda e: F.struct(e["pos"].alias("pos"), F.from_json(e["text"], ACTION_JSON).alias("item")))
+
+
+def odd_items(documents: DataFrame) -> DataFrame:
+    """Items that are no objects and hence no actions: ``doc_id, pos, text``."""
+    odd = F.filter(_texts(), lambda entry: ~_is_object(entry))
+    return documents.select("doc_id", F.inline(odd))
 
 
 def actions(documents: DataFrame) -> DataFrame:
-    """One row per item: ``doc_id, pos, comando, desfazer``. A missing key reads as the text ``null``."""
-    listed = documents.select("doc_id", F.posexplode(_items()).alias("pos", "item"))
+    """One row per item: ``doc_id, pos, comando, desfazer``. A missing key reads as the text ``null``; items that
+    are no objects are left out, see ``odd_items``."""
+    listed = documents.select("doc_id", F.inline(_items()))
     return listed.select(
         "doc_id",
         "pos",
@@ -55,11 +74,11 @@ def strict_prefix(documents: DataFrame) -> DataFrame:
     """
 
     def stops(item: Column) -> Column:
-        command = F.coalesce(item["comando"], F.lit("null"))
+        command = F.coalesce(item["item"]["comando"], F.lit("null"))
         return (command != "") & ~command.rlike(STRICT_ALLOWED)
 
     bodies = documents.select("doc_id", F.inline(F.array(F.struct(_items().alias("items")))))
     first = F.array_position(F.transform("items", stops), True)
     run = F.when(first > 0, F.slice("items", F.lit(1), (first - 1).cast("int"))).otherwise(F.col("items"))
-    listed = bodies.select("doc_id", F.posexplode(run).alias("pos", "item"))
+    listed = bodies.select("doc_id", F.inline(run))
     return listed.select("doc_id", "pos", F.col("item.comando").alias("comando")).filter(F.col("comando") != "")

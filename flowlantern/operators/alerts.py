@@ -12,29 +12,31 @@ from pyspark.sql.window import Window
 
 from flowlantern.functions.measures import MICROS, aligned
 from flowlantern.functions.net import in_cidr
+from flowlantern.operators import ids
+from flowlantern.operators.catalogues import last_by_line
 
 TRACKERS = {"by_src": "src_ip", "by_dst": "dest_ip"}  # fixed values: what a limit may be counted by
 
-# The largest rank limit Spark applies before a shuffle (spark.sql.optimizer.windowGroupLimitThreshold).
-MAX_EARLY_RANK = 1000
-
 
 def alert_table(events: DataFrame) -> DataFrame:
-    """Alert events with signature and category as flat columns and the event time ``ts``."""
-    return events.filter(F.col("event_type") == "alert").select(
-        F.col("flow_id").alias("alert_id"),
-        F.try_to_timestamp("timestamp").alias("ts"),
-        F.col("alert.signature_id").alias("sig_id"),
-        F.col("alert.category").alias("category"),
-        F.col("alert.severity").alias("severity"),
+    """Alert events with signature and category as flat columns, the event key ``alert_id`` and time ``ts``."""
+    flat = ids.with_hash_id(ids.flatten_eve(ids.alerts(events)))
+    return flat.select(
+        F.col("hash_id").alias("alert_id"),
+        "ts",
+        F.coalesce("gid", F.lit(1)).alias("gid"),  # the sensor's default
+        F.col("signature_id").alias("sig_id"),
+        "category",
+        "severity",
         "src_ip",
         "dest_ip",
     )
 
 
 def enrich_class(alerts: DataFrame, dim: DataFrame) -> DataFrame:
-    """Adds short name and priority; events carry the description text, so that is the key."""
-    by_text = dim.select(F.col("description").alias("category"), "shortname", "priority")
+    """Adds short name and priority; events carry the description text, so that is the key. Of classes with one
+    description the last line counts, so an alert stays one row."""
+    by_text = last_by_line(dim, "description").select(F.col("description").alias("category"), "shortname", "priority")
     return alerts.join(by_text, "category", "left")
 
 
@@ -42,22 +44,71 @@ def enrich_reference(rows: DataFrame, dim: DataFrame, column: str = "reference")
     """``system,id`` to a link; unknown systems give NULL."""
     system = F.lower(F.trim(F.substring_index(column, ",", 1)))
     ident = F.trim(F.regexp_extract(column, r"^[^,]*,(.*)$", 1))
-    base = dim.select(F.lower("system").alias("_system"), F.col("url").alias("_url"))
+    base = dim.select(F.col("system").alias("_system"), F.col("url").alias("_url"))
     joined = rows.join(base, system == F.col("_system"), "left")
     return joined.withColumn("reference_url", F.concat("_url", ident)).drop("_system", "_url")
 
 
 def suppress(alerts: DataFrame, rules: DataFrame) -> DataFrame:
-    """Alerts without those a suppress rule names: by signature, optionally by source or target network."""
+    """Alerts without those a suppress rule names: by generator and signature, optionally by source or target.
+
+    A generator or signature of 0 (or none) stands for any. A list of networks is a rule for each of them.
+    """
+    networks = F.split(F.regexp_replace("ip", r"[\[\]\s]", ""), ",")
     wanted = rules.filter(F.col("kind") == "suppress").select(
-        F.col("sig_id").alias("rule_sig"), F.col("track").alias("rule_track"), F.col("ip").alias("rule_ip")
+        F.coalesce("gen_id", F.lit(0)).alias("rule_gen"),
+        F.coalesce("sig_id", F.lit(0)).alias("rule_sig"),
+        F.col("track").alias("rule_track"),
+        F.explode_outer(networks).alias("rule_ip"),
     )
+    wanted = wanted.distinct()
     tracked = F.when(F.col("rule_track") == "by_src", F.col("src_ip")).when(
         F.col("rule_track") == "by_dst", F.col("dest_ip")
     )
     # A rule without a network covers the whole signature.
     hit = F.col("rule_ip").isNull() | in_cidr(tracked, F.col("rule_ip"))
-    return alerts.join(wanted, (F.col("sig_id") == F.col("rule_sig")) & hit, "left_anti")
+    gen, sig = F.col("gid") == F.col("rule_gen"), F.col("sig_id") == F.col("rule_sig")
+    any_gen, any_sig = F.col("rule_gen") == 0, F.col("rule_sig") == 0
+    # One join for each way to name alerts, so that each has plain equalities to join by.
+    left = alerts.join(wanted.filter(~any_gen & ~any_sig), gen & sig & hit, "left_anti")
+    left = left.join(wanted.filter(any_gen & ~any_sig), sig & hit, "left_anti")
+    left = left.join(wanted.filter(~any_gen & any_sig), gen & hit, "left_anti")
+    return left.join(wanted.filter(any_gen & any_sig), hit, "left_anti")
+
+
+def apply_limits(alerts: DataFrame, rules: DataFrame) -> DataFrame:
+    """Alerts left by the threshold and event_filter lines of a catalogue.
+
+    An alert follows the last line for its generator and signature, else the last for its generator and any
+    signature, else the last for any generator and signature; without any it stays. Kinds and periods are
+    those of ``rate_limit``.
+    """
+    settings = ["type", "track", "count", "seconds"]
+    limits = rules.filter(F.col("kind").isin("threshold", "event_filter") & F.col("type").isNotNull())
+    limits = limits.withColumns({k: F.coalesce(k, F.lit(0)) for k in ("gen_id", "sig_id")})
+    limits = last_by_line(limits, "gen_id", "sig_id").select("gen_id", "sig_id", F.struct(*settings).alias("limit"))
+    any_sig = F.col("sig_id") == 0
+
+    def named(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(F.col("gen_id").alias("_gen"), F.col("sig_id").alias("_sig"), F.col("limit").alias(name))
+
+    exact, by_gen = named(limits.filter(~any_sig), "_exact"), named(limits.filter(any_sig), "_any")
+    found = alerts.join(exact, (F.col("gid") == F.col("_gen")) & (F.col("sig_id") == F.col("_sig")), "left")
+    found = found.drop("_gen", "_sig").join(by_gen, F.col("gid") == F.col("_gen"), "left").drop("_gen", "_sig")
+    rest = by_gen.select(F.col("_gen").alias("_zero"), F.col("_any").alias("_rest")).filter(F.col("_zero") == 0)
+    found = found.withColumn("_gen", F.lit(0).cast("bigint")).join(rest, F.col("_gen") == F.col("_zero"), "left")
+    found = found.withColumn("_limit", F.coalesce("_exact", "_any", "_rest")).drop("_exact", "_any", "_rest", "_gen", "_zero")
+    limit = F.col("_limit")
+    tracked = F.when(limit["track"] == "by_src", F.col("src_ip")).when(limit["track"] == "by_dst", F.col("dest_ip"))
+    micros = F.unix_micros("ts")
+    period = micros - F.pmod(micros, limit["seconds"].cast("bigint") * MICROS)
+    free = found.filter(limit.isNull()).drop("_limit")
+    bound = found.filter(limit.isNotNull()).withColumns({"_tracked": tracked, "_period": period})
+    rank = F.row_number().over(Window.partitionBy("gid", "sig_id", "_tracked", "_period").orderBy("ts", "alert_id"))
+    bound = bound.withColumn("_rank", rank)
+    n, r = limit["count"], F.col("_rank")
+    keep = F.when(limit["type"] == "limit", r <= n).when(limit["type"] == "both", r == n).otherwise(r % n == 0)
+    return free.unionByName(bound.filter(keep).drop("_limit", "_tracked", "_period", "_rank"))
 
 
 def rate_limit(
@@ -71,15 +122,14 @@ def rate_limit(
     """Alerts left after a limit per signature, tracked address and calendar-aligned period.
 
     ``limit`` keeps the first ``n``, ``both`` the n-th only, ``threshold`` every n-th. The first two
-    need the first ``n`` ranks: the rank limit runs before the shuffle too, so a hot address sends at
-    most ``n`` alerts per task and period. The third, and an ``n`` too large for that, need the rank of
-    every alert, see ``_ranked``.
+    need the first ``n`` ranks: the planner may apply that limit before the shuffle too, so a hot address
+    sends at most ``n`` alerts per task and period. The third needs the rank of every alert, see ``_ranked``.
     """
     if kind not in ("limit", "threshold", "both"):
         raise ValueError(f"kind must be limit, threshold or both, not {kind!r}")
     group = ["sig_id", TRACKERS[track], "period"]
     timed = alerts.withColumn("period", aligned(F.unix_micros("ts"), seconds * MICROS))
-    if kind == "threshold" or n > MAX_EARLY_RANK:
+    if kind == "threshold":
         ranked = _ranked(timed, group, seconds, slices)
     else:
         order = Window.partitionBy(*group).orderBy("ts", "alert_id")

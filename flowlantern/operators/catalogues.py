@@ -18,18 +18,20 @@ def _group(pattern: str, index: int) -> Column:
 
 
 def classification_dim(lines: DataFrame) -> DataFrame:
-    """``(shortname, description, priority)``; comments and blank lines give no row."""
-    return lines.filter(F.col("line").rlike(_CLASS_LINE)).select(
+    """``(line_no, shortname, description, priority)``, the last line of a class wins; comments and blank lines
+    give no row."""
+    found = lines.filter(F.col("line").rlike(_CLASS_LINE)).select(
         "line_no",
         _group(_CLASS_LINE, 1).alias("shortname"),
         _group(_CLASS_LINE, 2).alias("description"),
         _group(_CLASS_LINE, 3).try_cast("int").alias("priority"),
     )
+    return last_by_line(found, "shortname")
 
 
 def reference_lines(lines: DataFrame) -> DataFrame:
     return lines.filter(F.col("line").rlike(_REFERENCE_LINE)).select(
-        "line_no", _group(_REFERENCE_LINE, 1).alias("system"), _group(_REFERENCE_LINE, 2).alias("url")
+        "line_no", F.lower(_group(_REFERENCE_LINE, 1)).alias("system"), _group(_REFERENCE_LINE, 2).alias("url")
     )
 
 
@@ -41,7 +43,7 @@ def last_by_line(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def reference_dim(lines: DataFrame) -> DataFrame:
-    """``(system, url)``, the last line of a system wins."""
+    """``(system, url)``, systems in lower case; the last line of a system wins."""
     return last_by_line(reference_lines(lines), "system").select("system", "url")
 
 
@@ -60,7 +62,7 @@ def threshold_dim(lines: DataFrame) -> DataFrame:
         setting("track").alias("track"),
         setting("count").try_cast("int").alias("count"),
         setting("seconds").try_cast("int").alias("seconds"),
-        setting("ip").alias("ip"),
+        setting("ip", r"\[[^\]]*\]|[^\s,]+").alias("ip"),
     )
 
 

@@ -42,6 +42,10 @@ def flatten_eve(events: DataFrame) -> DataFrame:
         "dest_port",
         "proto",
         F.try_to_timestamp("timestamp").alias("ts"),
+        "tx_id",
+        F.col("alert.gid").alias("gid"),
+        F.col("alert.signature_id").alias("signature_id"),
+        F.col("alert.category").alias("category"),
         F.col("alert.severity").alias("severity"),
         *[F.col(f"flow.{name}").alias(name) for name in TRAFFIC_COUNTERS],
     )
@@ -58,10 +62,16 @@ def fill_zero(flat: DataFrame) -> DataFrame:
     return flat.fillna(0, subset=[name for name in numeric if name in flat.columns])
 
 
+# Every parsed field: one packet may raise several alerts, and one flow logs several events at a time.
+HASHED = [
+    "flow_id", "event_type", "timestamp", "src_ip", "dest_ip", "src_port", "dest_port", "proto", "tx_id", "gid",
+    "signature_id", "category", "severity", *TRAFFIC_COUNTERS,
+]
+
+
 def with_hash_id(flat: DataFrame) -> DataFrame:
-    """Adds ``hash_id``. Event type and time are part of it, as one flow logs several events."""
-    parts = ["flow_id", "event_type", "timestamp", "src_ip", "dest_ip", "src_port", "dest_port", "proto"]
-    return flat.withColumn("hash_id", row_hash(*parts))
+    """Adds ``hash_id`` over all parsed fields, so that only copies of one event share it."""
+    return flat.withColumn("hash_id", row_hash(*HASHED))
 
 
 def normalise(events: DataFrame) -> DataFrame:
@@ -90,16 +100,9 @@ def rejected_events(events: DataFrame) -> DataFrame:
 
 
 def dedupe_trafego(trafego: DataFrame) -> DataFrame:
-    """One row per ``hash_id``.
-
-    Everything but the counters follows from the hashed fields. Where copies of an event disagree on a
-    counter or severity the largest value is kept, which is the same on every run and, unlike keeping
-    "any" row, is planned as a hash aggregate that combines copies before the shuffle.
-    """
-    measures = ["severity", *TRAFFIC_COUNTERS]
-    key = [name for name in trafego.columns if name not in measures]
-    largest = [F.max(name).alias(name) for name in measures]
-    return trafego.groupBy(*key).agg(*largest).select(*trafego.columns)
+    """One row per ``hash_id``. Rows of one hash are equal in every column, so this is a hash aggregate that
+    combines copies before the shuffle."""
+    return trafego.dropDuplicates()
 
 
 def to_classificados(rows: DataFrame) -> DataFrame:

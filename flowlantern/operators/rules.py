@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # action, protocol, source, source port, arrow, target, target port, options
-_PLACE = r"(\[[^\]]*\]|\S+)"
+_PLACE = r"(!?\[[^\]]*\]|\S+)"
 _RULE = rf"^\s*([a-z]+)\s+(\S+)\s+{_PLACE}\s+{_PLACE}\s+(->|<>)\s+{_PLACE}\s+{_PLACE}\s+\((.*)\)\s*$"
 _HEADER = ["action", "proto", "src", "sport", "direction", "dst", "dport", "options"]
 
@@ -43,6 +43,11 @@ def parse_rules(rules: DataFrame) -> DataFrame:
     )
 
 
+def unparsed_rules(rules: DataFrame) -> DataFrame:
+    """Active lines ``parse_rules`` gives no row for: neither blank, nor a comment, nor readable."""
+    return rules.filter(F.col("line").rlike(r"^\s*[^\s#]") & ~F.col("line").rlike(_RULE))
+
+
 def rule_references(parsed: DataFrame) -> DataFrame:
     """One row per reference of a rule."""
     return parsed.select("sid", F.explode("references").alias("reference"))

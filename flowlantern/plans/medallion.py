@@ -9,14 +9,20 @@ from flowlantern.sources.readers import read_table
 from flowlantern.sources.writers import write_table
 
 
+def _bronze(spark: SparkSession, path: str) -> DataFrame:
+    """The bronze table; without a single VLAN its partition column has no type of its own."""
+    table = read_table(spark, path)
+    return table.withColumn("vlan", table["vlan"].cast("int"))
+
+
 def refine_silver(spark: SparkSession, bronze: str, silver: str, dedupe: str = "row", dynamic: bool = False) -> None:
     """Rewrites the silver table; ``dynamic`` replaces only the VLANs found in ``bronze``."""
-    write_table(flows.clean_flows(read_table(spark, bronze), dedupe), silver, ["vlan"], dynamic=dynamic)
+    write_table(flows.clean_flows(_bronze(spark, bronze), dedupe), silver, ["vlan"], dynamic=dynamic, rebalance=True)
 
 
 def refine_gold(spark: SparkSession, silver: str, gold: str, **thresholds: float) -> DataFrame:
     """Rewrites the gold table and returns it as stored, so that a look at it does not compute it again."""
-    features = flows.gold_features(read_table(spark, silver))
+    features = flows.gold_features(_bronze(spark, silver))
     write_table(flows.label_behaviour(features, **thresholds), gold)
     return read_table(spark, gold)
 
@@ -28,7 +34,7 @@ def refine(spark: SparkSession, bronze: str, silver: str, gold: str, dedupe: str
 
 def audit(spark: SparkSession, bronze: str, newest: int = 20) -> dict[str, DataFrame]:
     """What a bronze table holds: its size, the newest rows and the volume per VLAN."""
-    table = read_table(spark, bronze)
+    table = _bronze(spark, bronze)
     return {
         "total": flows.bronze_total(table),
         "latest": flows.latest(table, newest),

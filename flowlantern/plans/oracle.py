@@ -115,6 +115,7 @@ _DIRTY = {
     **_EVE,
     "dirty": "SELECT event_id, event_id % 23 = 1 AS cut, CASE WHEN event_id % 31 <> 1 THEN ts END AS ts,"
     " CASE WHEN event_id % 29 <> 1 THEN src_ip END AS src_ip, flow_id, eve_type, dest_ip, src_port, dest_port, proto,"
+    " tx_id, gid, signature_id, category,"
     " severity, pkts_toserver, pkts_toclient, bytes_toserver, bytes_toclient,"
     " CASE WHEN event_id % 31 = 1 THEN 'yesterday' ELSE eve_time END AS eve_time FROM eve",
 }
@@ -129,12 +130,23 @@ _COUNTERS = ("pkts_toserver", "pkts_toclient", "bytes_toserver", "bytes_toclient
 _ZERO = ", ".join(f"coalesce({name}, 0) AS {name}" for name in ("severity", *_COUNTERS))
 _HASH = (
     "sha256(flow_id || '|' || eve_type || '|' || eve_time || '|' || src_ip || '|' || dest_ip || '|'"
-    " || CAST(src_port AS STRING) || '|' || CAST(dest_port AS STRING) || '|' || proto)"
+    " || CAST(src_port AS STRING) || '|' || CAST(dest_port AS STRING) || '|' || proto"
+    + "".join(
+        f" || '|' || coalesce(CAST({name} AS STRING), '')"
+        for name in ("tx_id", "gid", "signature_id", "category", "severity", *_COUNTERS)
+    )
+    + ")"
 )
 _TRAFFIC = (
     f"SELECT {_HASH} AS hash_id, flow_id, src_ip, dest_ip, src_port, dest_port, proto, {_CLOCK_ZERO.format('ts')}, {_ZERO}"
 )
 _TRAFEGO = {**_EVE, "trafego": f"{_TRAFFIC} FROM eve"}
+_PAIRED = {
+    **_EVE,
+    "pairs": "SELECT * FROM eve UNION ALL SELECT * REPLACE (CAST(1 + (event_id + 1) % 4 AS INT) AS severity,"
+    " CAST(2404100 + event_id % 3 AS BIGINT) AS signature_id) FROM eve WHERE eve_type = 'alert'",
+    "trafego": f"{_TRAFFIC} FROM pairs",
+}
 _CLASSIFIED = {
     **_TRAFEGO,
     "classificados": "SELECT *, CASE severity WHEN 1 THEN 'bruteforce' ELSE 'portscan' END AS class,"
@@ -162,7 +174,7 @@ _DASHBOARD = ", ".join(
 
 _ALERTS = {
     **_EVE,
-    "alerts": "SELECT flow_id AS alert_id, signature_id AS sig_id, category, severity, src_ip, dest_ip, us AS ts"
+    "alerts": f"SELECT {_HASH} AS alert_id, gid, signature_id AS sig_id, category, severity, src_ip, dest_ip, us AS ts"
     " FROM eve WHERE eve_type = 'alert'",
 }
 
@@ -204,7 +216,7 @@ _PARSED_RULES = (
     "SELECT event_id AS line_no,"
     f" {_by_kind(*[repr(v) for v in ('alert', 'alert', 'alert', 'alert', 'drop')])} AS action,"
     f" {_by_kind(*[repr(v) for v in ('tcp', 'dnp3', 'tcp', 'udp', 'http')])} AS proto,"
-    f" {_by_kind(*[repr(v) for v in ('$EXTERNAL_NET', 'any', 'any', '[10.0.0.0/8, 172.28.0.0/16]', 'any')])} AS src,"
+    f" {_by_kind(*[repr(v) for v in ('$EXTERNAL_NET', 'any', 'any', '![10.0.0.0/8, 172.28.0.0/16]', 'any')])} AS src,"
     " 'any' AS sport,"
     f" {_by_kind(*[repr(v) for v in ('->', '->', '->', '<>', '->')])} AS direction,"
     f" {_by_kind(*[repr(v) for v in ('172.28.0.0/16', 'any', 'any', 'any', 'any')])} AS dst,"
@@ -219,14 +231,16 @@ _PARSED_RULES = (
     " FROM events WHERE event_id % 8 IN (0, 1, 2, 6, 7)"
 )
 _ACTIONS = {
-    "docs": f"SELECT {d.DOC_ID} AS doc_id, string_agg({d.ACTION_ITEM}, ',' ORDER BY event_id) AS items FROM events GROUP BY 1",
+    "docs": f"SELECT {d.DOC_ID} AS doc_id, string_agg({d.ACTION_ITEM}, ',' ORDER BY event_id) AS items,"
+    f" string_agg('\"k' || CAST(event_id AS STRING) || '\":' || {d.ACTION_ITEM}, ',' ORDER BY event_id) AS named"
+    " FROM events GROUP BY 1",
     "items": f"SELECT {d.DOC_ID} AS doc_id, {d.ACTION_CODE} AS code,"
     f" CAST(row_number() OVER (PARTITION BY {d.DOC_ID} ORDER BY event_id) - 1 AS INT) AS pos FROM events",
     "good": "SELECT *, CASE code WHEN 0 THEN 'nft add rule x' WHEN 1 THEN 'iptables -A INPUT' WHEN 2 THEN 'killall sshd'"
     " WHEN 3 THEN 'kill -9 1' WHEN 4 THEN '' ELSE 'null' END AS comando,"
     " CASE code WHEN 0 THEN 'nft delete rule x' WHEN 1 THEN 'iptables -D INPUT' WHEN 2 THEN ''"
     " WHEN 3 THEN 'systemctl start x' WHEN 4 THEN 'chmod 600 x' ELSE 'null' END AS desfazer"
-    " FROM items WHERE doc_id % 25 <> 0",
+    " FROM items WHERE doc_id % 25 <> 0 AND code < 6",
 }
 
 
@@ -339,7 +353,7 @@ ORACLE: dict[str, str] = {
     "http_port_flows": _with(**_FLOWS) + "SELECT * FROM flows WHERE dst_port IN (80, 443)",
     "eve_flatten": _with(**_EVE)
     + "SELECT eve_type AS event_type, eve_time AS timestamp, flow_id, src_ip, dest_ip, src_port, dest_port, proto, us AS ts,"
-    f" severity, {', '.join(_COUNTERS)} FROM eve",
+    f" tx_id, gid, signature_id, category, severity, {', '.join(_COUNTERS)} FROM eve",
     "eve_time_parts": _with(**_DIRTY)
     + "SELECT CASE WHEN NOT cut THEN flow_id END AS flow_id, hour, minute, seconds, event_day FROM (SELECT *,"
     f" {_CLOCK.format('(CASE WHEN NOT cut THEN ts END)')},"
@@ -361,11 +375,12 @@ ORACLE: dict[str, str] = {
     + "SELECT CASE WHEN cut THEN '{cut ' || CAST(event_id AS STRING) END AS _corrupt_record,"
     " CASE WHEN NOT cut THEN flow_id END AS flow_id FROM dirty WHERE cut OR src_ip IS NULL",
     "alerts_only": _with(**_EVE)
-    + "SELECT flow_id, src_ip, dest_ip, severity, signature_id, category FROM eve WHERE eve_type = 'alert'",
+    + "SELECT flow_id, src_ip, dest_ip, severity, gid, signature_id, category FROM eve WHERE eve_type = 'alert'",
     "trafego": _with(**_TRAFEGO) + "SELECT * EXCLUDE (hash_id) FROM trafego",
     "trafego_from_log": _with(**_TRAFEGO) + "SELECT * EXCLUDE (hash_id) FROM trafego",
     "trafego_hash_id": _with(**_TRAFEGO) + "SELECT flow_id, hash_id FROM trafego",
-    "trafego_unique": _with(**_TRAFEGO) + "SELECT * FROM trafego",
+    "trafego_unique": _with(**_PAIRED) + "SELECT * FROM trafego",
+    "growing_log": _with(**_PAIRED) + "SELECT * FROM trafego",
     "classified_default": _with(**_CLASSIFIED) + "SELECT * FROM classificados",
     "classified_pending": _with(**_CLASSIFIED) + "SELECT * FROM classificados WHERE processado = 0",
     "traffic_dashboard": _with(**_CLASSIFIED)
@@ -373,15 +388,34 @@ ORACLE: dict[str, str] = {
     " GROUP BY t.hour, t.minute",
     "traffic_normal": _with(**_CLASSIFIED) + "SELECT * FROM trafego WHERE hash_id NOT IN (SELECT hash_id FROM classificados)",
     "traffic_anomalous": _with(**_CLASSIFIED) + "SELECT * FROM trafego WHERE hash_id IN (SELECT hash_id FROM classificados)",
-    "alert_classification": _with(**_ALERTS)
-    + "SELECT alert_id, category, CASE category"
-    + "".join(f" WHEN '{text}' THEN '{short}'" for text, short in zip(d.CATEGORIES, ("trojan-activity", "network-scan", "suspicious-login")))
-    + " END AS shortname, CAST(CASE category"
-    + "".join(f" WHEN '{text}' THEN {priority}" for text, priority in zip(d.CATEGORIES, (1, 3, 2)))
-    + " END AS INT) AS priority FROM alerts",
-    "alerts_suppressed": _with(**_ALERTS)
-    + "SELECT alert_id, sig_id, src_ip, dest_ip FROM alerts WHERE NOT (sig_id = 2404001 AND src_ip LIKE '172.28.1.%')"
-    " AND NOT (sig_id = 2404000 AND dest_ip = '172.28.0.10')",
+    "alert_classification": _with(
+        **_ALERTS,
+        named="SELECT 'k' || CAST(user_id % 97 AS STRING) AS shortname, max(event_id) AS event_id FROM events GROUP BY 1",
+        last=f"SELECT CASE event_id % 3 WHEN 0 THEN '{d.CATEGORIES[0]}' ELSE '{d.CATEGORIES[1]}' END AS category,"
+        " max(event_id) AS event_id FROM named WHERE event_id % 3 < 2 GROUP BY 1",
+    )
+    + "SELECT alert_id, a.category, shortname, CAST(1 + n.event_id % 4 AS INT) AS priority"
+    " FROM alerts a LEFT JOIN last l ON l.category = a.category LEFT JOIN named n ON n.event_id = l.event_id",
+    "alerts_suppressed": _with(
+        **_ALERTS,
+        away="SELECT DISTINCT '203.0.113.' || CAST(event_id % 50 AS STRING) AS ip FROM events WHERE event_id % 6 = 3",
+        here="SELECT DISTINCT '172.28.2.' || CAST(event_id % 9 AS STRING) AS ip FROM events WHERE event_id % 6 = 4",
+    )
+    + "SELECT alert_id, sig_id, src_ip, dest_ip FROM alerts"
+    " WHERE NOT (gid = 1 AND sig_id = 2404001 AND src_ip LIKE '172.28.1.%')"
+    " AND NOT (gid = 3 AND sig_id = 2404000 AND dest_ip = '172.28.0.10')"
+    " AND NOT (sig_id = 2404002 AND (src_ip = '172.28.0.7' OR (src_ip LIKE '172.28.2.%' AND CAST(split_part(src_ip, '.', 4) AS INT) < 128)))"
+    " AND NOT (gid = 3 AND dest_ip IN (SELECT ip FROM away)) AND src_ip NOT IN (SELECT ip FROM here)",
+    "alerts_limited_by_catalogue": _with(
+        **_ALERTS,
+        ruled="SELECT *, CASE WHEN gid = 1 AND sig_id = 2404000 THEN 'a' WHEN gid = 1 AND sig_id = 2404001 THEN 'b'"
+        " WHEN gid = 3 THEN 'c' ELSE 'd' END AS rule FROM alerts",
+        ranked="SELECT *, row_number() OVER (PARTITION BY gid, sig_id,"
+        " CASE WHEN rule IN ('a', 'd') THEN src_ip ELSE dest_ip END,"
+        " ts // (CASE rule WHEN 'b' THEN 3600000000 WHEN 'd' THEN 600000000 ELSE 86400000000 END) ORDER BY ts, alert_id) AS rn FROM ruled",
+    )
+    + "SELECT alert_id, gid, sig_id FROM ranked WHERE CASE rule WHEN 'a' THEN rn <= 2 WHEN 'b' THEN rn % 3 = 0"
+    " WHEN 'c' THEN rn = 2 ELSE rn <= 1 END",
     "alerts_limit": _limited("src_ip", "rn <= 1"),
     "alerts_threshold": _limited("dest_ip", "rn % 3 = 0"),
     "alerts_both": _limited("dest_ip", "rn = 2"),
@@ -400,6 +434,7 @@ ORACLE: dict[str, str] = {
     " url || CAST(event_id AS STRING) AS reference_url FROM events"
     " LEFT JOIN dim ON event_id % 2 = 0 AND system = 'sys' || CAST(user_id AS STRING)",
     "rules_parsed": _PARSED_RULES,
+    "rules_unparsed": f"SELECT line_no, replace(line, ' -> ', ' ') AS line FROM ({_RULES}) WHERE line_no % 16 = 2",
     "rule_reference_rows": f"SELECT event_id AS sid, reference FROM ({_RULE_REFS})",
     "rules_pruned": f"SELECT * FROM ({_RULES}) WHERE line_no % 8 NOT IN (1, 2, 4)",
     "rules_disabled": "SELECT line_no, CASE WHEN line_no % 8 = 1 THEN '#' || line ELSE line END AS line"
@@ -416,7 +451,10 @@ ORACLE: dict[str, str] = {
     )
     + "SELECT *, 'removed' AS change, count(*) AS copies FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n) GROUP BY ALL"
     " UNION ALL SELECT *, 'added' AS change, count(*) AS copies FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o) GROUP BY ALL",
-    "actions_valid_docs": _with(**_ACTIONS) + "SELECT doc_id, '[' || items || ']' AS body FROM docs WHERE doc_id % 25 <> 0",
+    "actions_valid_docs": _with(**_ACTIONS) + "SELECT doc_id, CASE WHEN doc_id % 25 = 1"
+    " THEN '{' || named || '}' ELSE '[' || items || ']' END AS body FROM docs WHERE doc_id % 25 <> 0",
+    "actions_odd_items": _with(**_ACTIONS)
+    + "SELECT doc_id, pos, CASE code WHEN 6 THEN 'x' ELSE '17' END AS text FROM items WHERE doc_id % 25 <> 0 AND code > 5",
     "actions_exploded": _with(**_ACTIONS) + "SELECT doc_id, pos, comando, desfazer FROM good",
     "actions_undo": _with(**_ACTIONS) + f"SELECT doc_id, pos, desfazer, {_verdict('1, 4')} FROM good WHERE desfazer <> ''",
     "action_verdict_prefix": _with(**_ACTIONS)

@@ -240,7 +240,7 @@ def eve_time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def eve_fill_zero(spark: SparkSession, sf_dir: str) -> DataFrame:
     filled = ids.fill_zero(ids.with_time_parts(ids.flatten_eve(_events(spark, sf_dir, dirty=True))))
-    return filled.drop("event_date", "timestamp")
+    return filled.drop("event_date", "timestamp", "tx_id", "gid", "signature_id", "category")
 
 
 @query
@@ -279,11 +279,24 @@ def trafego_hash_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def trafego_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log read twice, as a job without memory would."""
-    twice = _trafego(spark, sf_dir)
+    """The log read twice, as a job without memory would; packets that raise an alert raise a second one."""
+    lines = derived.eve_lines(derived.table(spark, sf_dir, "events"), paired=True)
+    twice = ids.to_trafego(ids.parse_eve(lines)).drop("event_date")
     return ids.dedupe_trafego(twice.unionByName(twice))
 
 
+@query
+def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log taken in, appended to and taken in again."""
+    root = shared_dir(spark, "growing")
+    lines = derived.eve_lines(derived.table(spark, sf_dir, "events"), paired=True)
+    half = F.crc32("value") % 2 == 0
+    for part in (half, ~half):
+        lines.filter(part).write.mode("append").text(f"{root}/log")
+        jobs.ingest_log(spark, f"{root}/log", f"{root}/table")
+    return readers.read_table(spark, f"{root}/table").drop("event_date")
+
+
 @query
 def classified_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _classificados(spark, sf_dir)
@@ -316,39 +329,26 @@ def _alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.alert_table(_events(spark, sf_dir))
 
 
-# Three lines of a class catalogue, one with a space before the number.
-CLASS_CATALOGUE = [
-    "config classification: trojan-activity,A Network Trojan was detected, 1",
-    "config classification: network-scan,Detection of a Network Scan,3",
-    "config classification: suspicious-login,An attempted login using a suspicious username was detected,2",
-]
-# Suppress lines, one by source network, one by target, one for a whole signature.
-SUPPRESS_LINES = [
-    "suppress gen_id 1, sig_id 2404001, track by_src, ip 172.28.1.0/24",
-    "suppress gen_id 1, sig_id 2404000, track by_dst, ip 172.28.0.10",
-    "#suppress gen_id 1, sig_id 2404000",
-]
-
-
-def literal_lines(spark: SparkSession, lines: list[str]) -> DataFrame:
-    """Catalogue lines as a table whose small size the planner knows."""
-    return spark.range(1).select(F.posexplode(F.array(*map(F.lit, lines))).alias("line_no", "line"))
-
-
 @query
 def alert_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = catalogues.classification_dim(literal_lines(spark, CLASS_CATALOGUE))
+    dim = catalogues.classification_dim(derived.text_lines(spark, sf_dir, derived.ALERT_CLASS_LINE))
     return alerts.enrich_class(_alerts(spark, sf_dir), dim).select("alert_id", "category", "shortname", "priority")
 
 
 @query
 def alerts_suppressed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts that remain."""
-    suppressions = catalogues.threshold_dim(literal_lines(spark, SUPPRESS_LINES))
+    suppressions = catalogues.threshold_dim(derived.text_lines(spark, sf_dir, derived.SUPPRESS_LINE))
     left = alerts.suppress(_alerts(spark, sf_dir), suppressions)
     return left.select("alert_id", "sig_id", "src_ip", "dest_ip")
 
 
+@query
+def alerts_limited_by_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    limits = catalogues.threshold_dim(derived.text_lines(spark, sf_dir, derived.ALERT_LIMIT_LINE))
+    return alerts.apply_limits(_alerts(spark, sf_dir), limits).select("alert_id", "gid", "sig_id")
+
+
 def _limited(spark: SparkSession, sf_dir: str, kind: str, n: int, seconds: int, track: str = "by_src") -> DataFrame:
     kept = alerts.rate_limit(_alerts(spark, sf_dir), kind, n, seconds, track)
     return kept.select("alert_id", "sig_id", "src_ip", "dest_ip", _micros("ts"))
@@ -402,6 +402,14 @@ def rules_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.withColumn("references", F.concat_ws(" ", "references"))
 
 
+@query
+def rules_unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every other rule of one kind has lost its arrow."""
+    lines = derived.text_lines(spark, sf_dir, derived.RULE_LINE)
+    cut = F.when(F.col("line_no") % 16 == 2, F.replace("line", F.lit(" -> "), F.lit(" "))).otherwise(F.col("line"))
+    return rules.unparsed_rules(lines.withColumn("line", cut))
+
+
 @query
 def rule_reference_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.rule_references(rules.parse_rules(derived.text_lines(spark, sf_dir, derived.RULE_LINE)))
@@ -449,6 +457,11 @@ def actions_exploded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return actions.actions(_documents(spark, sf_dir))
 
 
+@query
+def actions_odd_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return actions.odd_items(_documents(spark, sf_dir))
+
+
 @query
 def actions_undo(spark: SparkSession, sf_dir: str) -> DataFrame:
     undo = actions.action_verdict(actions.actions(_documents(spark, sf_dir)), "prefix", "desfazer")

@@ -80,7 +80,8 @@ EVE_JSON = _struct(
     ("dest_ip", _STR),
     ("dest_port", _INT),
     ("proto", _STR),
-    ("alert", _struct(("severity", _INT), ("signature_id", _LONG), ("category", _STR))),
+    ("tx_id", _LONG),
+    ("alert", _struct(("severity", _INT), ("gid", _LONG), ("signature_id", _LONG), ("category", _STR))),
     (
         "flow",
         _struct(
@@ -96,4 +97,4 @@ TRAFFIC_COLUMNS = [
     *TRAFFIC_COUNTERS,
 ]
 
-ACTIONS_JSON = T.ArrayType(_struct(("comando", _STR), ("desfazer", _STR)))
+ACTION_JSON = _struct(("comando", _STR), ("desfazer", _STR))

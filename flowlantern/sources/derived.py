@@ -57,9 +57,7 @@ def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = True) -> D
 
 
 def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    stream = readers.read_table_stream(spark, sf_dir, name)
-    few = readers.missing_tasks(readers.read_table(spark, f"{sf_dir}/{name}.parquet"))
-    return stream.repartition(few, *ROW_KEY[name]) if few else stream
+    return readers.spread(readers.read_table_stream(spark, sf_dir, name), *ROW_KEY[name])
 
 
 def flows(spark: SparkSession, sf_dir: str, replay_delay: int = 0, spread: bool = False) -> DataFrame:
@@ -167,9 +165,11 @@ EVE = {
     "src_port": "CAST(1024 + event_id % 60000 AS INT)",
     "dest_port": "CAST(CASE event_type WHEN 'view' THEN 80 WHEN 'signup' THEN 53 ELSE 22 END AS INT)",
     "proto": "CASE WHEN event_id % 3 = 0 THEN 'UDP' ELSE 'TCP' END",
+    "tx_id": "CASE WHEN event_type = 'view' THEN CAST(event_id % 5 AS BIGINT) END",
 }
 EVE_ALERT = {
     "severity": "CASE WHEN event_type = 'error' THEN CAST(1 + event_id % 4 AS INT) END",
+    "gid": "CASE WHEN event_type = 'error' THEN CAST(1 + event_id % 2 * 2 AS BIGINT) END",
     "signature_id": "CASE WHEN event_type = 'error' THEN CAST(2404000 + event_id % 3 AS BIGINT) END",
     "category": "CASE WHEN event_type = 'error' THEN CASE event_id % 3 "
     + " ".join(f"WHEN {i} THEN '{text}'" for i, text in enumerate(CATEGORIES))
@@ -183,21 +183,31 @@ EVE_COUNTERS = {
 }
 
 
-def eve_lines(events: DataFrame, dirty: bool = False) -> DataFrame:
+# The second alert of a packet: another signature and severity, everything else alike.
+SECOND_ALERT = {
+    "severity": "CASE WHEN event_type = 'error' THEN CAST(1 + (event_id + 1) % 4 AS INT) END",
+    "signature_id": "CASE WHEN event_type = 'error' THEN CAST(2404100 + event_id % 3 AS BIGINT) END",
+}
+
+
+def eve_lines(events: DataFrame, dirty: bool = False, paired: bool = False) -> DataFrame:
     """IDS log lines from event rows (batch or stream). ``dirty`` breaks some: unreadable text, a
-    malformed time or no source address."""
+    malformed time or no source address. ``paired`` logs a second alert for every packet that raises one."""
     flat = [F.expr(text).alias(name) for name, text in EVE.items()]
     moment = F.expr(EVENT_TEXT)
     if dirty:
         moment = F.when(F.expr("event_id % 31 = 1"), F.lit("yesterday")).otherwise(moment)
         flat[2] = F.when(F.expr("event_id % 29 <> 1"), F.expr(EVE["src_ip"])).alias("src_ip")
-    event = F.struct(
-        moment.alias("timestamp"),
-        *flat,
-        F.struct(*[F.expr(text).alias(name) for name, text in EVE_ALERT.items()]).alias("alert"),
-        F.struct(*[F.expr(text).alias(name) for name, text in EVE_COUNTERS.items()]).alias("flow"),
-    )
-    line = F.to_json(event)
+    counters = F.struct(*[F.expr(text).alias(name) for name, text in EVE_COUNTERS.items()]).alias("flow")
+
+    def written(alert: dict[str, str]) -> Column:
+        fields = F.struct(*[F.expr(text).alias(name) for name, text in alert.items()]).alias("alert")
+        return F.to_json(F.struct(moment.alias("timestamp"), *flat, fields, counters))
+
+    line = written(EVE_ALERT)
+    if paired:
+        second = F.array(line, written({**EVE_ALERT, **SECOND_ALERT}))
+        return events.select(F.explode(F.when(F.expr("event_type = 'error'"), second).otherwise(F.array(line))).alias("value"))
     if dirty:
         line = F.when(F.expr("event_id % 23 = 1"), F.concat(F.lit("{cut "), F.col("event_id").cast("string"))).otherwise(line)
     return events.select(line.alias("value"))
@@ -215,6 +225,29 @@ REFERENCE_LINE = (
     "CASE WHEN event_id % 7 = 6 THEN '#' ELSE '' END || 'config reference: sys' || CAST(user_id AS STRING)"
     f" || CASE WHEN event_id % 2 = 0 THEN '   ' ELSE ' ' END || 'http://host' || {_ID} || '/?id='"
 )
+# Classes of the alerts' texts: many lines for few names and texts, one text without a class.
+ALERT_CLASS_LINE = (
+    "'config classification: k' || CAST(user_id % 97 AS STRING) || ',' || CASE event_id % 3"
+    f" WHEN 0 THEN '{CATEGORIES[0]}' WHEN 1 THEN '{CATEGORIES[1]}' ELSE 'Text ' || {_ID} END"
+    " || ',' || CAST(1 + event_id % 4 AS STRING)"
+)
+# Suppressions by generator and signature, by either alone, and by networks.
+SUPPRESS_LINE = (
+    "'suppress gen_id ' || CASE event_id % 6 WHEN 0 THEN '1, sig_id 2404001, track by_src, ip 172.28.1.0/24'"
+    " WHEN 1 THEN '3, sig_id 2404000, track by_dst, ip 172.28.0.10' WHEN 2 THEN '0, sig_id 2404002, track by_src, ip [172.28.0.7, 172.28.2.0/25]'"
+    " WHEN 3 THEN '3, sig_id 0, track by_dst, ip 203.0.113.' || CAST(event_id % 50 AS STRING)"
+    " WHEN 4 THEN '0, sig_id 0, track by_src, ip 172.28.2.' || CAST(event_id % 9 AS STRING)"
+    f" ELSE '1, sig_id ' || {_ID} END"
+)
+# Limits for two of the alerts' signatures of generator 1, for any of generator 3, and for the rest.
+ALERT_LIMIT_LINE = (
+    "CASE WHEN event_id % 2 = 0 THEN 'threshold' ELSE 'event_filter' END || ' gen_id ' || CASE event_id % 5"
+    " WHEN 0 THEN '1, sig_id 2404000, type limit, track by_src, count 2, seconds 86400'"
+    " WHEN 1 THEN '1, sig_id 2404001, type threshold, track by_dst, count 3, seconds 3600'"
+    " WHEN 2 THEN '3, sig_id 0, type both, track by_dst, count 2, seconds 86400'"
+    " WHEN 3 THEN '0, sig_id 0, type limit, track by_src, count 1, seconds 600'"
+    f" ELSE '7, sig_id ' || {_ID} || ', type limit, track by_src, count 1, seconds 1' END"
+)
 _SIG = "'gen_id 1, sig_id ' || CAST(2404000 + event_id AS STRING)"
 _LIMIT = (
     ", type ' || CASE event_id % 3 WHEN 0 THEN 'limit' WHEN 1 THEN 'threshold' ELSE 'both' END || ', track '"
@@ -238,7 +271,7 @@ RULE_LINE = (
     " WHEN 3 THEN '#alert udp any any -> any 53 (msg:\"off\"; sid:' || " + _ID + " || '; rev:1;)'"
     " WHEN 4 THEN '# how to alert on dnp3 traffic'"
     " WHEN 5 THEN ''"
-    " WHEN 6 THEN 'alert udp [10.0.0.0/8, 172.28.0.0/16] any <> any 53 (msg:\"name lookup\"; rev:3; sid:' || " + _ID + " || ';)'"
+    " WHEN 6 THEN 'alert udp ![10.0.0.0/8, 172.28.0.0/16] any <> any 53 (msg:\"name lookup\"; rev:3; sid:' || " + _ID + " || ';)'"
     " ELSE 'drop http any any -> any [80,443] (msg:\"quoted ' || chr(92) || '\"word' || chr(92) || '\"' || chr(92) || '; end\"; sid:'"
     " || " + _ID + " || '; rev:4;)' END"
 )
@@ -258,7 +291,7 @@ def text_lines(spark: SparkSession, sf_dir: str, line: str) -> DataFrame:
 # --- actions, six events per document ------------------------------------------------------------
 
 DOC_ID = "CAST(floor(event_id / 6) AS BIGINT)"
-ACTION_CODE = "((event_id * 7 + user_id) % 6)"
+ACTION_CODE = "((event_id * 7 + user_id) % 8)"
 ACTION_ITEM = (
     f"CASE {ACTION_CODE}"
     " WHEN 0 THEN '{\"comando\":\"nft add rule x\",\"desfazer\":\"nft delete rule x\"}'"
@@ -266,17 +299,23 @@ ACTION_ITEM = (
     " WHEN 2 THEN '{\"comando\":\"killall sshd\",\"desfazer\":\"\"}'"
     " WHEN 3 THEN '{\"comando\":\"kill -9 1\",\"desfazer\":\"systemctl start x\"}'"
     " WHEN 4 THEN '{\"comando\":\"\",\"desfazer\":\"chmod 600 x\"}'"
-    " ELSE '{\"note\":1}' END"
+    " WHEN 5 THEN '{\"note\":1}' WHEN 6 THEN '\"x\"' ELSE '17' END"
 )
 
 
 def action_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``doc_id``, ``body``. A document has the six items of its event ids; some are cut short."""
+    """``doc_id``, ``body``. A document has the six items of its event ids, as an array or in an object; some are
+    cut short."""
     items = table(spark, sf_dir, "events").select(
         F.expr(DOC_ID).alias("doc_id"), F.struct("event_id", F.expr(ACTION_ITEM).alias("item")).alias("entry")
     )
     # At most six entries per document by construction of the id.
-    ordered = F.transform(F.array_sort(F.collect_list("entry")), lambda entry: entry["item"])
+    ordered = F.array_sort(F.collect_list("entry")).alias("entries")
+    grouped = items.groupBy("doc_id").agg(ordered)
+    listed = F.concat_ws(",", F.transform("entries", lambda entry: entry["item"]))
+    named = F.concat_ws(
+        ",", F.transform("entries", lambda e: F.concat(F.lit('"k'), e["event_id"].cast("string"), F.lit('":'), e["item"]))
+    )
     end = F.when(F.col("doc_id") % 25 == 0, "").otherwise("]")
-    body = F.concat(F.lit("["), F.concat_ws(",", "items"), end)
-    return items.groupBy("doc_id").agg(ordered.alias("items")).select("doc_id", body.alias("body"))
+    body = F.when(F.col("doc_id") % 25 == 1, F.concat(F.lit("{"), named, F.lit("}")))
+    return grouped.select("doc_id", body.otherwise(F.concat(F.lit("["), listed, end)).alias("body"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from flowlantern.operators import flows, ids
 from flowlantern.sources import readers, writers
@@ -44,8 +45,34 @@ def progress(query: StreamingQuery) -> dict:
     return report
 
 
-def progress_history(query: StreamingQuery) -> list[dict]:
-    """The kept micro-batches, oldest first: batch, rows and milliseconds."""
+class HealthListener(StreamingQueryListener):
+    """Appends a line of JSON for every micro-batch of every query of a session to ``sink`` while it runs.
+
+    Register with ``spark.streams.addListener``. ``sink`` takes one text, for example ``print`` or the ``info`` of a
+    logger whose files are collected.
+    """
+
+    def __init__(self, sink: Callable[[str], object] = print) -> None:
+        self.sink = sink
+
+    def onQueryStarted(self, event) -> None:
+        self.sink(json.dumps({"event": "started", "id": str(event.id), "name": event.name}))
+
+    def onQueryProgress(self, event) -> None:
+        last = event.progress
+        report = {"event": "progress", "id": str(last.id), "name": last.name, "batch_id": last.batchId}
+        report |= {"num_input_rows": last.numInputRows, "trigger_ms": dict(last.durationMs).get("triggerExecution")}
+        self.sink(json.dumps(report))
+
+    def onQueryIdle(self, event) -> None:
+        self.sink(json.dumps({"event": "idle", "id": str(event.id)}))
+
+    def onQueryTerminated(self, event) -> None:
+        self.sink(json.dumps({"event": "terminated", "id": str(event.id), "error": event.exception}))
+
+
+def recent_progress(query: StreamingQuery) -> list[dict]:
+    """The newest micro-batches the engine still holds, oldest first; ``HealthListener`` reports all of them."""
     return [
         {
             "batch_id": entry["batchId"],
@@ -105,9 +132,6 @@ def new_rows(batch: DataFrame, stored: DataFrame | None, key: str = "hash_id") -
     return batch if stored is None else batch.join(stored.select(key), key, "left_anti")
 
 
-MAX_DATES = 1000
-
-
 def insert_new(
     batch: DataFrame,
     path: str,
@@ -117,24 +141,37 @@ def insert_new(
 ) -> None:
     """Appends the rows whose key is new to a parquet table partitioned by ``partition``.
 
-    Equal keys mean equal dates, because the time is part of the key, so only the partitions of the
-    dates in the batch are read back. Dates are few, but a batch with more than ``MAX_DATES`` of them
-    compares with the range between the first and the last. ``dedupe`` leaves one row per key (any of
-    them by default). Running a batch twice adds nothing; there must be one writer per table.
+    Equal keys mean equal dates, because the time is part of the key, so the join is by date and key and
+    reads back only the partitions of the dates in the batch (dynamic partition pruning); that of rows
+    without date only if the batch has any. ``dedupe`` leaves one row per key (any of them by default).
+    Running a batch twice adds nothing; there must be one writer per table.
     """
     stored = _stored(batch.sparkSession, path)
-    if stored is not None:
-        dates = [row[0] for row in batch.select(partition).distinct().limit(MAX_DATES + 1).collect()]
-        column = F.col(partition)
-        if len(dates) > MAX_DATES:
-            first, last = batch.agg(F.min(partition), F.max(partition)).first()
-            matches = column.between(first, last)
-        else:
-            matches = column.isin([date for date in dates if date is not None])
-        stored = stored.filter(matches | column.isNull())
     once = batch.dropDuplicates([key]) if dedupe is None else dedupe(batch)
-    rows = new_rows(once, stored, key).hint("rebalance", partition)
-    rows.write.mode("append").partitionBy(partition).parquet(path)
+    if stored is not None:
+        undated = F.col(partition).isNull()
+        dates = once.filter(~undated).select(partition).distinct()
+        known = stored.select(key, partition).join(dates, partition, "left_semi")
+        dated = once.filter(~undated).join(known, [key, partition], "left_anti")
+        if not once.filter(undated).isEmpty():
+            dated = dated.unionByName(new_rows(once.filter(undated), stored.filter(undated), key).select(dated.columns))
+        once = dated.select(once.columns)
+    once.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
+
+
+def ingest_log(spark: SparkSession, path: str, table: str, rejected: str | None = None) -> None:
+    """Takes the events of a log that is still being written to into the traffic table, each once.
+
+    The whole log is read; what is stored already is left out by its key, so the job may run as often as wanted. A
+    file stream (``run_eve_ingest``) takes each file once and hence suits closed, rotated files only.
+    """
+    events = readers.read_eve(spark, path).persist()
+    try:
+        insert_new(ids.to_trafego(events), table, dedupe=ids.dedupe_trafego)
+        if rejected:
+            ids.rejected_events(events).write.mode("overwrite").parquet(rejected)
+    finally:
+        events.unpersist()
 
 
 def insert_new_jdbc(
@@ -177,6 +214,17 @@ def folder_writer(path: str, output: str = "parquet") -> BatchWriter:
     return write
 
 
+def kafka_writer(servers: str, topic: str, key: str | None = None) -> BatchWriter:
+    """Writer for ``fan_out``: rows as JSON messages (needs the spark-sql-kafka package). A repeated batch is sent
+    again, so receivers have to drop copies."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        messages = writers.encode_json(batch, key).write.format("kafka")
+        messages.option("kafka.bootstrap.servers", servers).option("topic", topic).save()
+
+    return write
+
+
 def console_writer(rows: int = 20) -> BatchWriter:
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.show(rows, truncate=False)
