@@ -152,11 +152,61 @@ def test_suppress_keeps_alerts_it_cannot_place(spark):
     table = spark.createDataFrame(
         [alert(1, 0, 5, "10.0.0.1"), alert(2, 0, 5, "10.0.1.1"), alert(3, 0, 5, None), alert(4, 0, 5, "fe80::1"), alert(5, 0, 6, "10.0.0.1"), alert(6, 0, None, "10.0.0.1"), alert(7, 0, 7)],
         ALERTS,
-    )
+    ).withColumn("gid", F.lit(1).cast("long"))
     rules = catalogues.threshold_dim(lines(spark, "suppress gen_id 1, sig_id 5, track by_src, ip 10.0.0.0/24", "suppress gen_id 1, sig_id 7"))
     assert rows(alerts.suppress(table, rules), "alert_id") == [("2",), ("3",), ("4",), ("5",), ("6",)]
 
 
+@pytest.mark.parametrize(
+    ("line", "left"),
+    [
+        ("suppress gen_id 3, sig_id 5", [1, 3, 4]),
+        ("suppress gen_id 0, sig_id 5", [3, 4]),
+        ("suppress gen_id 3, sig_id 0", [1, 3]),
+        ("suppress gen_id 0, sig_id 0", []),
+        ("suppress gen_id 0, sig_id 0, track by_src, ip [10.0.0.1, 10.0.2.0/24]", [2, 4]),
+        ("suppress gen_id 1, sig_id 5, track by_dst, ip 10.0.0.1", [1, 2, 3, 4]),
+    ],
+)
+def test_suppress_by_generator_any_and_lists(spark, line, left):
+    table = spark.createDataFrame(
+        [("1", 1, 5, "10.0.0.1", "b"), ("2", 3, 5, "10.0.1.1", "b"), ("3", 1, 6, "10.0.2.9", "b"), ("4", 3, 7, None, "b")],
+        "alert_id string, gid long, sig_id long, src_ip string, dest_ip string",
+    )
+    found = alerts.suppress(table, catalogues.threshold_dim(lines(spark, line)))
+    assert rows(found, "alert_id") == [(str(i),) for i in left]
+
+
+def test_doubled_catalogue_keys_do_not_multiply(spark):
+    table = spark.createDataFrame([("x", "Text"), ("y", "Other")], "alert_id string, category string")
+    dim = catalogues.classification_dim(
+        lines(spark, "config classification: a,Text,1", "config classification: b,Text,2", "config classification: b,Text,3")
+    )
+    assert rows(alerts.enrich_class(table, dim), "alert_id", "shortname", "priority") == [("x", "b", 3), ("y", None, None)]
+    systems = catalogues.reference_dim(lines(spark, "config reference: CVE http://one/", "config reference: cve http://two/"))
+    cited = spark.createDataFrame([("Cve,7",)], "reference string")
+    assert rows(alerts.enrich_reference(cited, systems), "reference_url") == [("http://two/7",)]
+
+
+def test_limits_of_a_catalogue(spark):
+    rules = catalogues.threshold_dim(
+        lines(
+            spark,
+            "threshold gen_id 1, sig_id 5, type limit, track by_src, count 9, seconds 60",
+            "threshold gen_id 1, sig_id 5, type limit, track by_src, count 1, seconds 60",
+            "event_filter gen_id 3, sig_id 0, type threshold, track by_dst, count 2, seconds 60",
+        )
+    )
+    T = dt.datetime(2024, 1, 1)
+    table = [(f"{g}{s}{i}", T + dt.timedelta(seconds=20 * i), g, s, "a", "b") for g, s in ((1, 5), (1, 6), (3, 8)) for i in range(4)]
+    frame = spark.createDataFrame(table, "alert_id string, ts timestamp, gid long, sig_id long, src_ip string, dest_ip string")
+    left = ["150", "153", "160", "161", "162", "163", "381"]
+    found = alerts.apply_limits(frame, rules)
+    assert rows(found, "alert_id") == [(i,) for i in left] and found.columns == frame.columns
+    rest = catalogues.threshold_dim(lines(spark, "threshold gen_id 0, sig_id 0, type both, track by_src, count 2, seconds 3600"))
+    assert rows(alerts.apply_limits(frame, rest), "alert_id") == [("151",), ("161",), ("381",)]
+
+
 def expected_limit(table, kind, n, seconds, track):
     """Brute force over sorted rows."""
     seen, kept = {}, []
@@ -184,14 +234,13 @@ def test_rate_limit_against_brute_force(spark, kind, track, seconds):
 
 
 @pytest.mark.parametrize("kind", ["limit", "both"])
-def test_large_n_is_ranked_by_slices(spark, monkeypatch, kind):
+def test_large_n(spark, kind):
     rng = random.Random(1)
     table = [alert(i, rng.random() * 100, 1, "hot") for i in range(300)]
     frame = spark.createDataFrame(table, ALERTS)
-    monkeypatch.setattr(alerts, "MAX_EARLY_RANK", 10)
-    found = alerts.rate_limit(frame, kind, 70, 50)
-    assert "WindowGroupLimit" not in plan(found)
-    assert rows(found, "alert_id") == expected_limit(table, kind, 70, 50, "by_src")
+    for n in (70, 5000):
+        found = alerts.rate_limit(frame, kind, n, 50)
+        assert rows(found, "alert_id") == expected_limit(table, kind, n, 50, "by_src")
 
 
 def test_limit_is_monotone_in_n(spark):

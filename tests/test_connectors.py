@@ -5,6 +5,7 @@ import pytest
 from conftest import SF_DIR, rows
 from flowlantern.session import shared_dir, shuffle_partitions
 from flowlantern.sources import derived, readers, writers
+from flowlantern.streaming import jobs
 
 
 class Recorder:
@@ -104,15 +105,25 @@ def test_shuffle_partitions_follow_the_data():
     assert shuffle_partitions(100 << 40, 8000) == 524288
 
 
-def test_only_small_scans_are_spread(spark, tmp_path):
+def test_rows_are_dealt_out_only_on_demand(spark):
     small = readers.read_table(spark, f"{SF_DIR}/events.parquet")
-    assert readers.spread(small, "event_id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    spark.range(1000).repartition(40).write.option("maxRecordsPerFile", 5).parquet(f"{tmp_path}/many")
-    spark.conf.set("spark.sql.files.openCostInBytes", str(64 << 20))
+    assert readers.spread(small, "event_id") is small
+    spark.conf.set("spark.flowlantern.input.tasks", "3")
     try:
-        many = readers.read_table(spark, f"{tmp_path}/many")
-        assert readers.missing_tasks(many) == 0
-        assert readers.spread(many, "id") is many
+        assert readers.spread(small, "event_id").rdd.getNumPartitions() == 3
+        assert rows(derived.table(spark, SF_DIR, "events"), "event_id") == rows(small, "event_id")
     finally:
-        spark.conf.unset("spark.sql.files.openCostInBytes")
-    assert rows(derived.table(spark, SF_DIR, "events"), "event_id") == rows(small, "event_id")
+        spark.conf.unset("spark.flowlantern.input.tasks")
+
+
+def test_kafka_writer_options(monkeypatch):
+    class Recorder(dict):
+        def __getattr__(self, name):
+            return lambda *a: self.update({name: a}) or self if name != "option" else self.update([a]) or self
+
+        write = property(lambda self: self)
+
+    recorder = Recorder()
+    monkeypatch.setattr(jobs.writers, "encode_json", lambda batch, key: recorder)
+    jobs.kafka_writer("broker:9092", "out", "src_ip")(None, 0)
+    assert recorder["kafka.bootstrap.servers"] == "broker:9092" and recorder["topic"] == "out" and "save" in recorder

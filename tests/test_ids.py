@@ -98,13 +98,14 @@ def test_hash_tells_events_of_one_flow_apart(spark, tmp_path):
     assert {len(row[0]) for row in traffic.select("hash_id").collect()} == {64}
 
 
-def test_dedupe_keeps_the_largest_counter_and_is_a_hash_aggregate(spark):
-    traffic = queries._trafego(spark, SF_DIR).limit(3)
-    smaller = traffic.withColumn("bytes_toserver", F.lit(0).cast("bigint"))
-    both = ids.dedupe_trafego(smaller.unionByName(traffic))
-    assert rows(both, "hash_id", "bytes_toserver") == rows(traffic, "hash_id", "bytes_toserver")
+def test_two_alerts_of_one_packet_stay_apart(spark, tmp_path):
+    grave = {"severity": 1, "signature_id": 100, "gid": 1, "category": "c"}
+    lines = [event(alert=grave), event(alert={**grave, "severity": 3, "signature_id": 200}), event(alert=grave)]
+    traffic = ids.dedupe_trafego(ids.to_trafego(readers.read_eve(spark, log(tmp_path, *lines))))
+    assert sorted(row[0] for row in traffic.select("severity").collect()) == [1, 3]
+    assert traffic.select("hash_id").distinct().count() == 2
     text = plan(ids.dedupe_trafego(queries._trafego(spark, SF_DIR)))
-    assert "SortAggregate" not in text and "partial_max" in text
+    assert "SortAggregate" not in text and "HashAggregate" in text
 
 
 def test_dashboard_adds_up_and_ignores_double_classification(spark):

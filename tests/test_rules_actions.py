@@ -13,10 +13,23 @@ def lines(spark, *texts):
     return spark.createDataFrame(list(enumerate(texts)), "line_no long, line string")
 
 
-def test_parse_the_local_rule(spark):
-    parsed = rules.parse_rules(lines(spark, 'alert icmp any any -> any any (msg:"Ping detectado"; sid:1000001; rev:1;)'))
+def test_parse_a_plain_rule(spark):
+    parsed = rules.parse_rules(lines(spark, 'drop sctp any any -> any any (msg:"no such thing here"; sid:77; rev:4;)'))
     columns = ["action", "proto", "src", "sport", "direction", "dst", "dport", "msg", "sid", "rev"]
-    assert rows(parsed, *columns) == [("alert", "icmp", "any", "any", "->", "any", "any", "Ping detectado", 1000001, 1)]
+    assert rows(parsed, *columns) == [("drop", "sctp", "any", "any", "->", "any", "any", "no such thing here", 77, 4)]
+
+
+def test_negated_lists_and_unread_rules(spark):
+    table = lines(
+        spark,
+        'alert tcp ![10.0.0.0/8, 172.28.0.0/16] ![22, 23] -> any any (sid:1;)',
+        "alert tcp any any any any (sid:2;)",
+        "# alert tcp any",
+        "  ",
+        None,
+    )
+    assert rows(rules.parse_rules(table), "line_no", "src", "sport") == [(0, "![10.0.0.0/8, 172.28.0.0/16]", "![22, 23]")]
+    assert rows(rules.unparsed_rules(table), "line_no") == [(1,)]
 
 
 def test_parse_odd_rules(spark):
@@ -90,6 +103,13 @@ def test_first_denied_command_stops_the_rest(spark, commands, run):
     assert [row[0] for row in rows(actions.strict_prefix(documents(spark, body)), "pos")] == run
 
 
+def test_odd_items_are_skipped_and_objects_iterated(spark):
+    table = documents(spark, '["x",{"comando":"kill 1"},null,[1],3]', '{"a":{"comando":"kill 2"},"b":7}', "5", "{}", "[]")
+    assert rows(actions.actions(table), "doc_id", "pos", "comando") == [(0, 1, "kill 1"), (1, 0, "kill 2")]
+    assert rows(actions.strict_prefix(table)) == [(0, 1, "kill 1"), (1, 0, "kill 2")]
+    assert rows(actions.odd_items(table), "doc_id", "pos") == [(0, 0), (0, 2), (0, 3), (0, 4), (1, 1)]
+
+
 def test_only_whole_documents_are_used(spark):
     table = documents(spark, "[]", DOCUMENT, DOCUMENT[:-1], "", None, "{}")
     assert rows(actions.valid_actions(table), "doc_id") == [(0,), (1,), (5,)]
