@@ -36,7 +36,8 @@ def alert_table(events: DataFrame) -> DataFrame:
 def enrich_class(alerts: DataFrame, dim: DataFrame) -> DataFrame:
     """Adds short name and priority; events carry the description text, so that is the key. Of classes with one
     description the last line counts, so an alert stays one row."""
-    by_text = last_by_line(dim, "description").select(F.col("description").alias("category"), "shortname", "priority")
+    lines = dim if "line_no" in dim.columns else dim.withColumn("line_no", F.lit(0))
+    by_text = last_by_line(lines, "description").select(F.col("description").alias("category"), "shortname", "priority")
     return alerts.join(by_text, "category", "left")
 
 

@@ -296,9 +296,8 @@ _LIFE = (
     ", opened AS (SELECT r.*, max(w.us) OVER (PARTITION BY r.k ORDER BY r.us) AS opening FROM keyed r"
     " LEFT JOIN walk w ON r.k = w.k AND r.us = w.us)"
     f", flows AS (SELECT k, {_KEY}, opening, {_FLOW_SUMS} FROM opened GROUP BY k, {_KEY}, opening)"
-    " SELECT src_ip, dest_ip, src_port, dest_port, proto, start_time, end_time, packets, bytes, records FROM flows f"
-    " WHERE start_time < (SELECT max(us) FROM walk w WHERE w.k = f.k)"
-    f" OR (least(end_time + {_IDLE_US}, start_time + {_LIFE_US}) + 1000) // 1000 < {_WATERMARK_MS}"
+    " SELECT src_ip, dest_ip, src_port, dest_port, proto, start_time, end_time, packets, bytes, records FROM flows"
+    f" WHERE (least(end_time + {_IDLE_US}, start_time + {_LIFE_US}) + 1000) // 1000 < {_WATERMARK_MS}"
 )
 _ANCHORED = (
     "WITH RECURSIVE "
@@ -312,7 +311,8 @@ _ANCHORED = (
     ", opened AS (SELECT r.*, max(w.ts) OVER (PARTITION BY r.k ORDER BY r.ts) AS opening FROM keyed r"
     " LEFT JOIN walk w ON r.k = w.k AND r.ts = w.ts)"
     ", ranked AS (SELECT *, row_number() OVER (PARTITION BY k, opening ORDER BY ts, alert_id) AS rn FROM opened)"
-    " SELECT sig_id, src_ip, ts, alert_id FROM ranked WHERE rn <= 2"
+    f" SELECT sig_id, src_ip, ts, alert_id FROM ranked WHERE rn <= 2"
+    f" AND ts // 1000 < (SELECT max(ts) // 1000 - {_LATE_MS} FROM alerts)"
 )
 
 ORACLE: dict[str, str] = {

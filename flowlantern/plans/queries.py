@@ -576,10 +576,25 @@ def dedupe_flow_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _run(spark, jobs.dedupe_stream(timed, key, STREAM_LATE), "dedupe").select(*key)
 
 
+def _in_batches(spark: SparkSession, sf_dir: str, batches: int = 4, files: int = 4) -> DataFrame:
+    """The events as a stream of several micro-batches. Events come up to 50 minutes out of order, across batches
+    too; each batch is written after the one before, in ``files`` files."""
+    root = shared_dir(spark, "delivered")
+    moment = F.expr(f"{derived.EVENT_MICROS} + event_id * 7919 % 3000 * 1000000")
+    events = derived.table(spark, sf_dir, "events", spread=False).withColumn("arrival", moment)
+    cuts = events.approxQuantile("arrival", [i / batches for i in range(1, batches)], 0.01)
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        after = F.lit(True) if low is None else F.col("arrival") >= low
+        before = F.lit(True) if high is None else F.col("arrival") < high
+        part = events.filter(after & before).drop("arrival").repartition(files)
+        part.write.mode("append").parquet(f"{root}/events.parquet")
+    return readers.read_table_stream(spark, root, "events", max_files=files)
+
+
 @query
 def flow_session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows that were over when the stream ended."""
-    records = flow_records(derived.table_stream(spark, sf_dir, "events"))
+    records = flow_records(_in_batches(spark, sf_dir))
     over = stateful.assemble_flows_stream(records, SESSION_IDLE, None, late=STREAM_LATE)
     return _assembled(_run(spark, over, "sessions"))
 
@@ -587,7 +602,7 @@ def flow_session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def flow_life_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows cut by idle time and by age, as far as they were over when the stream ended."""
-    records = flow_records(derived.table_stream(spark, sf_dir, "events"))
+    records = flow_records(_in_batches(spark, sf_dir))
     over = stateful.assemble_flows_stream(records, SESSION_IDLE * 4, FLOW_LIFE, late=STREAM_LATE, buckets=_buckets(spark))
     return _assembled(_run(spark, over, "life"))
 
@@ -595,7 +610,7 @@ def flow_life_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two alerts per signature, source and period; a period starts with its first alert."""
-    lines = derived.eve_lines(derived.table_stream(spark, sf_dir, "events"))
+    lines = derived.eve_lines(_in_batches(spark, sf_dir))
     limited = stateful.rate_limit_stream(
         alerts.alert_table(ids.parse_eve(lines)), "limit", 2, LIMIT_SECONDS, "by_src", STREAM_LATE, _buckets(spark)
     )

@@ -1,9 +1,11 @@
 """Stateful streams: anchored rate limits and flow assembly.
 
 A call into Python costs milliseconds, so keys are not handed over one by one: they are hashed into
-buckets, and one call serves a bucket. Its state is a list of the bucket's open entries. A bucket's rows
-of one micro-batch are sorted in memory; the intake option of the source bounds them. The number of
-buckets is part of the checkpoint: keep it when restarting a query.
+buckets, and one call serves a bucket. Its state is a list of the bucket's open entries and of the rows
+the watermark has not passed yet: rows are applied in the order of their times, once no earlier one can
+come, so the result does not depend on how they were delivered. A bucket's rows within the lateness are
+sorted in memory; the intake option of the source bounds them. The number of buckets is part of the
+checkpoint: keep it when restarting a query.
 """
 
 from __future__ import annotations
@@ -27,6 +29,12 @@ from flowlantern.operators.sessions import FIVE_TUPLE, IDLE_SECONDS
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BUCKETS = 1024
+# A row until its time has come: microseconds, two numbers and a text that the handlers read.
+WAITING = ["at", "a", "b", "label"]
+STATE = (
+    "keys array<string>, numbers array<long>, waiting array<string>, waiting_at array<long>,"
+    " waiting_a array<long>, waiting_b array<long>, waiting_label array<string>"
+)
 
 # Open entries of a bucket: numbers per key.
 Open = dict[str, tuple[int, ...]]
@@ -56,37 +64,49 @@ def _per_bucket(
 ) -> DataFrame:
     """Runs ``arrive`` for each key with new rows and ``leave`` for each entry the watermark has passed.
 
-    ``rows`` has ``bucket``, ``key`` and the columns ``arrive`` reads; entries hold ``width`` numbers.
+    ``rows`` has ``bucket``, ``key`` and ``WAITING``; entries hold ``width`` numbers.
     """
     names = [field.split()[0] for field in output.split(", ")]
+    columns = ["key", *WAITING]
 
     def step(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         entries: Open = {}
+        held = []
         if state.exists:
-            keys, numbers = state.get
+            keys, numbers, *waiting = state.get
             entries = {key: tuple(numbers[i * width : (i + 1) * width]) for i, key in enumerate(keys)}
+            held.append(pd.DataFrame(dict(zip(columns, map(list, waiting)))))
         done: list[tuple] = []
         if not state.hasTimedOut:
-            batch = pd.concat(list(chunks), ignore_index=True)
+            held += [chunk[columns] for chunk in chunks]
+        watermark = state.getCurrentWatermarkMs()
+        batch = pd.concat([part for part in held if len(part)], ignore_index=True) if any(map(len, held)) else None
+        if batch is not None:
+            passed = batch["at"] // 1000 < watermark
+            batch, rest = batch[passed], batch[~passed]
             batch = batch.sort_values(["key", *order], kind="stable", ignore_index=True)
             keys = batch["key"].to_numpy()
-            edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True])))
+            edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True]))) if len(keys) else []
             for first, end in zip(edges[:-1], edges[1:]):
                 finished, entries[keys[first]] = arrive(keys[first], batch.iloc[first:end], entries.get(keys[first]))
                 done += finished
-        watermark = state.getCurrentWatermarkMs()
+        else:
+            rest = pd.DataFrame({name: [] for name in columns})
         for key in [key for key, entry in entries.items() if ends_at(entry) < watermark]:
             done += leave(key, entries.pop(key))
-        if entries:
-            state.update((list(entries), [int(number) for entry in entries.values() for number in entry]))
-            state.setTimeoutTimestamp(max(min(map(ends_at, entries.values())), watermark + 1))
+        if entries or len(rest):
+            numbers = [int(number) for entry in entries.values() for number in entry]
+            kept = [[None if v is None else kind(v) for v in rest[name]] for name, kind in zip(columns, (str, int, int, int, str))]
+            state.update((list(entries), numbers, *kept))
+            due = [*map(ends_at, entries.values()), *(int(at) // 1000 for at in rest["at"])]
+            state.setTimeoutTimestamp(max(min(due), watermark + 1))
         elif state.exists:
             state.remove()
         if done:
             yield pd.DataFrame(done, columns=names)
 
     return rows.groupBy("bucket").applyInPandasWithState(
-        step, output, "keys array<string>, numbers array<long>", "append", GroupStateTimeout.EventTimeTimeout
+        step, output, STATE, "append", GroupStateTimeout.EventTimeTimeout
     )
 
 
@@ -132,7 +152,8 @@ def rate_limit_stream(
     buckets: int = BUCKETS,
 ) -> DataFrame:
     """Alerts left after a limit whose periods start with the first alert (``sig_id``, address, ``ts``,
-    ``alert_id``). State per signature and address is two numbers, dropped when the period is over."""
+    ``alert_id``), once the watermark has passed them. State per signature and address is two numbers, dropped
+    when the period is over, and the alerts within the lateness."""
     if kind not in ("limit", "threshold", "both"):
         raise ValueError(f"kind must be limit, threshold or both, not {kind!r}")
     key = ["sig_id", TRACKERS[track]]
@@ -141,15 +162,16 @@ def rate_limit_stream(
     def arrive(name: str, rows: pd.DataFrame, entry: tuple[int, ...] | None) -> tuple[list[tuple], tuple[int, ...]]:
         times = rows["at"].to_numpy()
         kept, start, count = limit_positions(times, *(entry or (None, 0)), kind, n, period)
-        idents = rows["alert_id"].to_numpy()
+        idents = rows["label"].to_numpy()
         return [(name, int(at), ident) for at, ident in zip(times[kept], idents[kept])], (start, count)
 
     timed = _keyed(alerts.withWatermark("ts", late), key, buckets).select(
-        "bucket", "key", "ts", F.unix_micros("ts").alias("at"), "alert_id"
+        "bucket", "key", "ts", F.unix_micros("ts").alias("at"), *[F.lit(0).cast("bigint").alias(c) for c in "ab"],
+        F.col("alert_id").alias("label"),
     )
     kept = _per_bucket(
         timed,
-        ["at", "alert_id"],
+        ["at", "label"],
         "key string, at long, alert_id string",
         2,
         arrive,
@@ -206,7 +228,7 @@ def assemble_flows_stream(
 
     def arrive(name: str, rows: pd.DataFrame, entry: tuple[int, ...] | None) -> tuple[list[tuple], tuple[int, ...]]:
         times = rows["at"].to_numpy()
-        sizes = [rows["packets"].to_numpy(), rows["bytes"].to_numpy()]
+        sizes = [rows["a"].to_numpy(), rows["b"].to_numpy()]
         opened = entry or (int(times[0]), int(times[0]), 0, 0, 0)
         edges = [0, *cut_flows(times, opened[0], opened[1], idle_micros, life_micros), len(times)]
         flows = []
@@ -214,8 +236,7 @@ def assemble_flows_stream(
             # The first stretch continues the open flow and is empty when that flow is over.
             start, last, packets, total, count = opened if number == 0 else (int(times[first]), 0, 0, 0, 0)
             if end > first:
-                # A record of an earlier time may arrive in a later micro-batch.
-                start, last = min(start, int(times[first])), max(last, int(times[end - 1]))
+                last = int(times[end - 1])
             packets += int(sizes[0][first:end].sum())
             total += int(sizes[1][first:end].sum())
             flows.append((start, last, packets, total, count + end - first))
@@ -226,8 +247,9 @@ def assemble_flows_stream(
         "key",
         time,
         F.unix_micros(time).alias("at"),
-        F.col("packets").cast("bigint"),
-        F.col("bytes").cast("bigint"),
+        F.col("packets").cast("bigint").alias("a"),
+        F.col("bytes").cast("bigint").alias("b"),
+        F.lit(None).cast("string").alias("label"),
     )
     over = _per_bucket(
         keyed,
