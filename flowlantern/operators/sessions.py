@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from flowlantern.functions.measures import MICROS, aligned
@@ -14,10 +16,53 @@ FIVE_TUPLE = ("src_ip", "dest_ip", "src_port", "dest_port", "proto")
 IDLE_SECONDS = 5  # fixed value: the sensor's idle timers and flow lifetime
 
 
+def _cut_by_life(records: DataFrame, idle: int, life: int, key: Sequence[str], time: str) -> DataFrame:
+    """Flows that also end at the first record more than ``life`` seconds after their start.
+
+    Where a flow is cut depends on the cut before, so the records of a key are passed through in order; equal
+    times are summed up first. Only the open flow is held, and Spark sorts, on disk if need be.
+    """
+    idle, life = idle * MICROS, life * MICROS
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        open_: list = []
+
+        def rows(flows: list) -> pa.RecordBatch:
+            columns = zip(*flows) if flows else [()] * len(layout)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, layout)], schema=layout)
+
+        for batch in batches:
+            over = []
+            for name, at, packets, size, count in zip(*(column.to_pylist() for column in batch.columns)):
+                if open_ and open_[0] == name and at - open_[2] <= idle and at - open_[1] <= life:
+                    open_[2:] = [at, open_[3] + (packets or 0), open_[4] + (size or 0), open_[5] + count]
+                else:
+                    over += [open_] if open_ else []
+                    open_ = [name, at, at, packets or 0, size or 0, count]
+            yield rows(over)
+        if open_:
+            yield rows([open_])
+
+    names = ("first_at", "last_at", "packets", "bytes", "records")
+    layout = pa.schema([("key", pa.string()), *[(name, pa.int64()) for name in names]])
+    moments = records.select(F.to_json(F.struct(*key)).alias("key"), F.unix_micros(time).alias("at"), "packets", "bytes")
+    sums = [F.sum(name).cast("bigint").alias(name) for name in ("packets", "bytes")]
+    moments = moments.groupBy("key", "at").agg(*sums, F.count(F.lit(1)).alias("records"))
+    ordered = moments.repartition("key").sortWithinPartitions("key", "at")
+    flows = ordered.mapInArrow(cut, "key string, " + ", ".join(f"{name} long" for name in names))
+    parts = T.StructType([T.StructField(name, records.schema[name].dataType, True) for name in key])
+    return flows.select(F.inline(F.array(F.from_json("key", parts))), *names)
+
+
 def assemble_flows(
-    records: DataFrame, idle: int = IDLE_SECONDS, key: Sequence[str] = FIVE_TUPLE, time: str = "event_time"
+    records: DataFrame,
+    idle: int = IDLE_SECONDS,
+    key: Sequence[str] = FIVE_TUPLE,
+    time: str = "event_time",
+    max_life: int | None = None,
 ) -> DataFrame:
-    """Flows of a batch: a record joins when it starts at most ``idle`` seconds after the one before.
+    """Flows of a batch: a record joins when it starts at most ``idle`` seconds after the one before and, with
+    ``max_life``, at most that after the flow's start.
 
     Records (``key``, ``time``, ``packets``, ``bytes``) that share a time slot of ``idle`` seconds belong
     together anyway, so they are summed up per slot first, before and after a shuffle on key *and* slot.
@@ -40,13 +85,14 @@ def assemble_flows(
     gap = F.col("first_at") - F.lag("last_at").over(in_time)
     starts = slots.withColumn("starts", F.when(gap <= width, 0).otherwise(1))
     numbered = starts.withColumn("number", F.sum("starts").over(in_time))
-    flows = numbered.groupBy(*key, "number").agg(
+    merged = numbered.groupBy(*key, "number").agg(
         F.min("first_at").alias("first_at"),
         F.max("last_at").alias("last_at"),
         F.sum("packets").alias("packets"),
         F.sum("bytes").alias("bytes"),
         F.sum("records").alias("records"),
     )
+    flows = merged if max_life is None else _cut_by_life(records, idle, max_life, key, time)
     return flows.select(
         *key,
         F.timestamp_micros("first_at").alias("start_time"),

@@ -297,6 +297,8 @@ _LIFE = (
     " LEFT JOIN walk w ON r.k = w.k AND r.us = w.us)"
     f", flows AS (SELECT k, {_KEY}, opening, {_FLOW_SUMS} FROM opened GROUP BY k, {_KEY}, opening)"
     " SELECT src_ip, dest_ip, src_port, dest_port, proto, start_time, end_time, packets, bytes, records FROM flows"
+)
+_LIFE_OVER = (
     f" WHERE (least(end_time + {_IDLE_US}, start_time + {_LIFE_US}) + 1000) // 1000 < {_WATERMARK_MS}"
 )
 _ANCHORED = (
@@ -475,6 +477,7 @@ ORACLE: dict[str, str] = {
     "dedupe_flow_stream": _with(base=_BASE) + f"SELECT DISTINCT {_NARROW.replace('flow_type, ', '')} FROM base",
     "flow_session_stream": _with(**_SESSIONS)
     + f"SELECT * FROM sessions WHERE end_time + {q.SESSION_IDLE * 1_000_000} <= {_WATERMARK_MS} * 1000",
-    "flow_life_stream": _LIFE,
+    "flow_life_stream": _LIFE + _LIFE_OVER,
+    "flow_life": _LIFE,
     "rate_limit_stream": _ANCHORED,
 }

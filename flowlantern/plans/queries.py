@@ -511,6 +511,13 @@ def flow_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assembled(sessions.assemble_flows(flow_records(derived.table(spark, sf_dir, "events")), SESSION_IDLE))
 
 
+@query
+def flow_life(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows cut by idle time and by age."""
+    records = flow_records(derived.table(spark, sf_dir, "events"))
+    return _assembled(sessions.assemble_flows(records, SESSION_IDLE * 4, max_life=FLOW_LIFE))
+
+
 def _buckets(spark: SparkSession) -> int:
     """State buckets that give every shuffle partition several to work on."""
     return 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -282,6 +282,20 @@ def test_flow_life_over_several_batches(spark, tmp_path, shuffled):
     assert dict(out.dtypes)["src_port"] == "int"
 
 
+def test_flow_life_in_batch_equals_naive(spark):
+    rng = random.Random(9)
+    table = [record(rng.randrange(200), rng.choice("abcd"), packets=i) for i in range(300)]
+    frame = spark.createDataFrame(table, RECORDS).repartition(3)
+    found = sessions.assemble_flows(frame, 5, max_life=12)
+    wanted = []
+    for name in "abcd":
+        mine = [row for row in table if row[0] == name]
+        for part in naive_flows({row[5] for row in mine}, dt.timedelta(seconds=5), dt.timedelta(seconds=12)):
+            own = [row for row in mine if part[0] <= row[5] <= part[-1]]
+            wanted.append((name, part[0], part[-1], sum(row[6] for row in own), len(own)))
+    assert rows(found, "src_ip", "start_time", "end_time", "packets", "records") == sorted(wanted, key=repr)
+
+
 def test_idle_stream_equals_batch(spark, tmp_path):
     rng = random.Random(3)
     table = [record(rng.random() * 300, rng.choice("abc"), packets=i) for i in range(100)]
