@@ -99,8 +99,10 @@ def clean_flows(bronze: DataFrame, dedupe: str = "row") -> DataFrame:
     """Silver rows: real traffic only, without duplicates.
 
     ``dedupe="row"`` compares all columns. ``"key"`` ignores how and when a message arrived, so a
-    replay in a later micro-batch collapses too; the earliest delivery is kept. Both run as hash
-    aggregates that combine copies before the shuffle, so a hot group of copies shrinks map-side.
+    replay in a later micro-batch collapses too; the earliest delivery is kept. Copies are combined before
+    the shuffle, so a hot group of them shrinks map-side. Where a delivery is one column, and without a key,
+    that is a hash aggregate; the several columns of the wide layout have to come from one message, which
+    costs a sort on both sides of the shuffle.
     """
     flows = without_broadcast(nonzero_flows(bronze))
     if dedupe == "row":

@@ -83,6 +83,7 @@ def _bronze(columns: str) -> str:
 _WIDE = (
     _NARROW + ", sequence_num, sampling_rate, flow_direction, tcp_flags, sampler_address, kafka_partition, kafka_offset"
 )
+_BRONZE_WIDE = _bronze(_WIDE).replace(" FROM base WHERE", ", base.time_received AS kafka_timestamp FROM base WHERE")
 _M = ", ".join(
     f"{text} AS {('c_' if name[0].isupper() else 'm_') + name.lower()}" for name, text in d.MIXED.items()
 )
@@ -322,7 +323,7 @@ ORACLE: dict[str, str] = {
     "parse_flows_basic": _with(base=_BASE) + f"SELECT {_BASIC} FROM base",
     "reconcile_aliases": _with(**_MIXED) + "SELECT * FROM reconciled",
     "bronze_narrow": _bronze(_NARROW),
-    "bronze_wide": _bronze(_WIDE).replace(" FROM base WHERE", f", base.time_received AS kafka_timestamp FROM base WHERE"),
+    "bronze_wide": _BRONZE_WIDE,
     "bronze_valid": _with(**_MIXED)
     + "SELECT CAST(NULL AS STRING) AS flow_type, CAST(NULL AS BIGINT) AS time_received, src_ip, dst_ip, src_port, dst_port,"
     " CAST(NULL AS INT) AS protocol, bytes, packets, vlan FROM reconciled WHERE src_ip IS NOT NULL",
@@ -334,6 +335,8 @@ ORACLE: dict[str, str] = {
     "silver": _with(**_SILVER) + "SELECT * FROM silver",
     "silver_by_key": _with(base=_BASE, flows=_flows(60))
     + f"SELECT {_NARROW}, min(ingestion_time) AS ingestion_time FROM flows WHERE {_CLEAN} GROUP BY ALL",
+    "silver_by_key_wide": f"SELECT * FROM ({_BRONZE_WIDE}) WHERE {_CLEAN} QUALIFY row_number() OVER (PARTITION BY"
+    f" {_WIDE.replace(', kafka_partition, kafka_offset', '')} ORDER BY kafka_timestamp, kafka_partition, kafka_offset) = 1",
     "gold_features": _with(**_GOLD) + "SELECT * FROM features",
     "gold_behaviour": _GOLD_LABELLED,
     "gold_sample": _GOLD_LABELLED + " ORDER BY src_ip, vlan NULLS FIRST LIMIT 10",

@@ -121,6 +121,19 @@ def silver_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _times(flows.clean_flows(replayed, dedupe="key"), _seconds, "ingestion_time")
 
 
+@query
+def silver_by_key_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is sent again a minute later."""
+    sent = flows.bronze_flows(_messages(spark, sf_dir, wide=True), wide=True)
+    sent = sent.withColumn("ingestion_time", F.col("kafka_timestamp"))
+    later = F.col("kafka_timestamp") + F.expr("INTERVAL 1 MINUTE")
+    again = sent.withColumns(
+        {"kafka_timestamp": later, "ingestion_time": later, "kafka_offset": F.col("kafka_offset") + 1_000_000_000}
+    )
+    kept = flows.clean_flows(sent.unionByName(again), dedupe="key")
+    return _times(kept.drop("ingestion_time"), _seconds, "kafka_timestamp")
+
+
 @query
 def gold_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flows.gold_features(_silver(spark, sf_dir))
