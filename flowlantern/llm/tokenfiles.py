@@ -6,7 +6,7 @@ block of it. The position of an id on the next level is the rank of its bit, so
 decoding what stands before it.
 
 A file set is a table of segments. A segment holds the ids of whole documents in ascending order of their ids, at least
-``SEGMENT`` ids unless it ends its part, with a directory of the documents; ``part`` and ``first`` place it in the set.
+``SEGMENT`` of them unless it ends its part, with a directory of the documents; ``part`` and ``first`` place it in the set.
 
 Defined cases: a NULL text is empty and has the end id only. Rows that share a doc_id stand in the order of a hash of
 the text; a NULL doc_id comes first. Special tokens in a text are treated as the library does on its own.
@@ -21,18 +21,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SEGMENT = 1 << 19
 BLOCK = 64  # bytes of a bitmap for each entry of its rank directory
-CACHE = 600_000
+CACHE = 1_000_000
 LONGEST_CACHED = 48  # characters; longer words hardly come again
-TEXT_AT_ONCE = 2_000_000  # characters
+TEXT_AT_ONCE = 4_000_000  # bytes
 END_MARK = "</w>"
 PLAIN = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-CHUNK = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 LAYOUT = (
     "part int, first long, n_tokens long, doc_ids array<long>, doc_starts array<long>, "
     "chunks array<binary>, flags array<binary>, ranks array<binary>"
@@ -145,18 +145,40 @@ class Words:
             found[chunk] = (found.get(core) or known[core]) + (found.get(tail) or known[tail])
         return found
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers; chunks not seen before are encoded together."""
-        parts = [CHUNK.findall(t or "") for t in texts]
-        found = [list(map(self.known.get, p)) for p in parts]
-        open_ = [i for i, ids in enumerate(found) if None in ids]
-        new = self._fresh({p for i in open_ for p, ids in zip(parts[i], found[i], strict=True) if ids is None})
-        for i in open_:
-            found[i] = [new[p] if ids is None else ids for p, ids in zip(parts[i], found[i], strict=True)]
+    def look_up(self, chunks: list[str]) -> list[bytes]:
+        """The ids of chunks as little-endian 32-bit integers; those not seen before are encoded together."""
+        found = list(map(self.known.get, chunks))
+        if None not in found:
+            return found
+        new = self._fresh({c for c, ids in zip(chunks, found, strict=True) if ids is None})
+        found = [new[c] if ids is None else ids for c, ids in zip(chunks, found, strict=True)]
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-        self.known.update((word, ids) for word, ids in new.items() if len(word) <= LONGEST_CACHED)
-        return [b"".join(ids) for ids in found]
+        self.known.update((c, ids) for c, ids in new.items() if len(c) <= LONGEST_CACHED)
+        return found
+
+    def encode(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after another and each closed by ``end``, and their number by text.
+
+        Texts are cut at white space and equal chunks numbered before anything is looked up.
+        """
+        parts = pc.ascii_split_whitespace(texts.fill_null("").cast(pa.large_string()))
+        chunks = pc.dictionary_encode(parts.flatten())
+        distinct = self.look_up(chunks.dictionary.to_pylist())
+        which = chunks.indices.to_numpy(zero_copy_only=False)
+        ends = np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))
+        if end is not None:
+            which = np.insert(which, ends, len(distinct))
+            ends = ends + np.arange(1, len(ends) + 1)
+            distinct.append(np.array([end], "<u4").tobytes())
+        table = np.frombuffer(b"".join(distinct), "<u4")
+        sizes = np.fromiter(map(len, distinct), np.int32, len(distinct)) // 4
+        size = sizes[which]
+        stops = np.cumsum(size)
+        # an id's place in the table: its chunk's begin there plus its place in the chunk
+        shift = (np.cumsum(sizes) - sizes)[which] - (stops - size)
+        ids = table[np.repeat(shift, size) + np.arange(stops[-1] if len(stops) else 0)]
+        return ids, np.diff(np.r_[0, stops][np.r_[0, ends]])
 
 
 _WORDS: dict[str, Words] = {}
@@ -170,48 +192,40 @@ def words(path: str) -> Words:
     return _WORDS[path]
 
 
-def _segment(part: int, first: int, docs: list[int | None], pieces: list[bytes]) -> pa.RecordBatch:
-    starts = np.cumsum([0] + [len(p) // 4 for p in pieces])
-    chunks, flags, ranks = Codes.pack(np.frombuffer(b"".join(pieces), "<u4"))
-    row = [part, first, int(starts[-1]), docs, starts[:-1].tolist(), chunks, flags, ranks]
+def _segment(part: int, first: int, docs: list[int | None], counts: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    row = [part, first, len(ids), docs, np.cumsum(counts) - counts, *Codes.pack(ids)]
     return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, ARROW, strict=True)], schema=ARROW)
 
 
-def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], list[str | None]]]:
-    """(doc ids, texts) of rows with about ``TEXT_AT_ONCE`` characters together."""
-    ids, texts, size = [], [], 0
-    for batch in batches:
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"], strict=True):
-            ids.append(doc_id)
-            texts.append(text.as_py())
-            size += len(texts[-1] or "")
-            if size >= TEXT_AT_ONCE:
-                yield ids, texts
-                ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
+def runs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Slices of about ``TEXT_AT_ONCE`` bytes of text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch["text"]), 0).to_numpy(zero_copy_only=False))
+    edges = np.flatnonzero(np.diff(sizes // TEXT_AT_ONCE, append=-1)) + 1
+    for a, b in zip([0, *edges[:-1]], edges, strict=True):
+        yield batch.slice(a, b - a)
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, segment: int = SEGMENT) -> None:
     """Writes the ids of ``docs`` (doc_id, text), each document closed by ``end_id``, in ascending order of doc_id."""
     order = [F.col("doc_id").cast("long").asc_nulls_first(), F.xxhash64("text")]
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, first = words(tokenizer), TaskContext.get().partitionId(), 0
-        ids: list[int | None] = []
-        pieces: list[bytes] = []
-        held = 0
-        for run_ids, texts in runs(batches):
-            for doc_id, code in zip(run_ids, encoder.encode(texts), strict=True):
-                ids.append(doc_id)
-                pieces.append(code + end)
-                held += len(pieces[-1]) // 4
-                if held >= segment:
-                    yield _segment(part, first, ids, pieces)
-                    first, held, ids, pieces = first + held, 0, [], []
-        if ids:
-            yield _segment(part, first, ids, pieces)
+        held: list[tuple[list[int | None], np.ndarray, np.ndarray]] = []
+
+        def close() -> pa.RecordBatch:
+            names, counts, ids = zip(*held, strict=True)
+            return _segment(part, first, [n for own in names for n in own], np.concatenate(counts), np.concatenate(ids))
+
+        for run in (r for batch in batches for r in runs(batch)):
+            ids, counts = encoder.encode(run["text"], end_id)
+            held.append((run["doc_id"].to_pylist(), counts, ids))
+            size = sum(len(x[2]) for x in held)
+            if size >= segment:
+                yield close()
+                first, held = first + size, []
+        if held:
+            yield close()
 
     placed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     placed = placed.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -333,7 +333,9 @@ def test_dart_signatures_estimate_weighted_similarity():
     assert (marks != 0).all() and abs((marks[0] == marks[1]).mean() - wanted) < 5 * np.sqrt(wanted / k)
 
 
-def test_near_duplicates_equal_brute_force(spark):
+@pytest.mark.parametrize("small,rows_in_band", [(8, 6), (2, 1)])
+def test_near_duplicates_equal_brute_force(spark, monkeypatch, small, rows_in_band):
+    monkeypatch.setattr(dartminhash, "SMALL", small)
     rng = np.random.default_rng(11)
     words = [f"w{i}" for i in range(400)]
     rows = []
@@ -344,7 +346,9 @@ def test_near_duplicates_equal_brute_force(spark):
             for _ in range(j):
                 own[int(rng.integers(0, 60))] = "x"
             rows.append((len(rows), " ".join(own)))
-    found = {r.doc_id: r.class_id for r in dartminhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    # one row in a band: dissimilar documents share buckets, too
+    found = {r.doc_id: r.class_id for r in dartminhash.near_duplicates(table, rows=rows_in_band).collect()}
     sets = {i: {tuple(t.split()[k : k + 5]) for k in range(56)} for i, t in rows}
     label = {i: i for i in sets}
     for a in sets:
