@@ -34,9 +34,10 @@ from flowlantern.llm.common import stored
 
 LENGTH = 200
 KEY = 40
-BYTES_AT_ONCE = 4 << 20
+BYTES_AT_ONCE = 2 << 20
 PLACES_BITS = 24  # of a position in a buffer; longer texts are cut into overlapping buffers
-SUFFIXES_IN_RANGE = 50_000
+SUFFIXES_IN_RANGE = 20_000
+SUFFIXES_IN_RUN = 50_000  # sorted at once in a task
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 KEYED = "doc_id long, text_key long"
@@ -137,32 +138,19 @@ def _joined(texts: list[np.ndarray], length: int, size: int) -> tuple[np.ndarray
     return owner, places - starts[owner], h[places]
 
 
-def _runs(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
-    """Rows (..., bytes) in lists of about ``BYTES_AT_ONCE`` bytes."""
+def _runs(rows: Iterator[tuple], most: int = BYTES_AT_ONCE) -> Iterator[list[tuple]]:
+    """Rows (..., bytes) in lists of about ``most`` bytes."""
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += len(row[-1])
-        if size >= BYTES_AT_ONCE:
+        if size >= most:
             yield held
             held, size = [], 0
     if held:
         yield held
 
 
-def _key_counts(docs: DataFrame, length: int, size: int) -> DataFrame:
-    """The key hashes that occur more than once, counted in each run of texts first."""
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for held in _runs((t,) for batch in batches for t in _texts(batch)):
-            _, _, hashes = _joined([t for (t,) in held], length, size)
-            keys, n = np.unique(hashes, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["key", "n"])
-
-    counts = docs.select("text").mapInArrow(read, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    return counts.where(F.col("n") > 1).select("key")
-
-
 def _located(docs: DataFrame, length: int, size: int) -> DataFrame:
     """(doc_id, text_key, key, place) of every anchor."""
 
@@ -194,14 +182,16 @@ def _squeezed(docs: DataFrame) -> DataFrame:
 
 
 def _contexts(data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarray, length: int, size: int):
-    """Right and left sides of anchors as fixed rows, zero behind the text's ends."""
+    """Right and left sides of anchors as fixed rows, zero behind the text's ends; the left side's nearest byte first."""
     reach = length - size
-    right = at[:, None] + np.arange(length)
-    left = at[:, None] - 1 - np.arange(reach)  # nearest byte first
-    padded = np.r_[data, np.zeros(1, np.uint8)]
-    a = np.where(right < end[:, None], padded[np.minimum(right, len(data))], 0).astype(np.uint8)
-    b = np.where(left >= begin[:, None], padded[np.maximum(left, -1)], 0).astype(np.uint8)
-    return a, b
+    padded = np.r_[np.zeros(reach, np.uint8), data, np.zeros(length, np.uint8)]
+    right = np.lib.stride_tricks.sliding_window_view(padded, length)[at + reach]
+    right[np.arange(length) >= (end - at)[:, None]] = 0
+    if not reach:
+        return right, np.zeros((len(at), 0), np.uint8)
+    left = np.lib.stride_tricks.sliding_window_view(padded, reach)[at][:, ::-1].copy()
+    left[np.arange(reach) >= (at - begin)[:, None]] = 0
+    return right, left
 
 
 def _order(rows: np.ndarray) -> np.ndarray:
@@ -237,14 +227,31 @@ def front_decode(shared: np.ndarray, rest: bytes, width: int) -> np.ndarray:
 
 
 def _pack(suffixes: np.ndarray, lefts: np.ndarray, facts: np.ndarray) -> bytes:
-    """A run in order: front-coded suffixes, left sides, and a row of facts for each."""
+    """A sorted run: its distinct contexts with front-coded suffixes and left sides, and where each occurs.
+
+    Occurrences of a context in one document whose places are at most a string's length apart repeat together and
+    overlap, so they travel as one chain (document, first and last place): periodic texts have many.
+    """
+    length = suffixes.shape[1] - 8
+    room = np.minimum(facts[:, 3:], [lefts.shape[1], length])  # text before and behind
+    both = np.c_[suffixes, lefts, room.astype("<u4").view(np.uint8).reshape(len(room), 8)]
+    change = np.r_[True, (both[1:] != both[:-1]).any(axis=1)]
+    first, entry = np.flatnonzero(change), np.cumsum(change) - 1
+    order = np.lexsort((facts[:, 3], facts[:, 1], facts[:, 0], facts[:, 2], entry))
+    f, e = facts[order], entry[order]
+    new = np.r_[True, (e[1:] != e[:-1]) | (f[1:, :3] != f[:-1, :3]).any(axis=1) | (np.diff(f[:, 3]) > length)]
+    begin = np.flatnonzero(new)
+    chains = np.c_[f[begin, :4], f[np.r_[begin[1:], len(f)] - 1, 3]]
+    entries = np.c_[np.bincount(entry), np.bincount(e[begin], minlength=len(first)), room[first]]
+    suffixes, lefts = suffixes[first], lefts[first]
     shared, rest = front_code(suffixes)
     head = np.array([len(shared), suffixes.shape[1], lefts.shape[1], len(rest)], "<i8").tobytes()
-    body = head + shared.astype("<u2").tobytes() + rest + lefts.tobytes() + facts.astype("<i8").tobytes()
-    return zstandard.ZstdCompressor(level=3).compress(body)
+    body = [head, shared.astype("<u2").tobytes(), rest, lefts.tobytes(), entries.astype("<i8").tobytes()]
+    return zstandard.ZstdCompressor(level=3).compress(b"".join([*body, chains.astype("<i8").tobytes()]))
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _unpack(data: bytes) -> tuple[np.ndarray, ...]:
+    """Shared lengths, suffixes, left sides, entries (occurrences, chains, bytes before and behind) and chains."""
     body = zstandard.ZstdDecompressor().decompress(data)
     n, width, reach, size = np.frombuffer(body, "<i8", 4).tolist()
     at = 32
@@ -253,8 +260,9 @@ def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     suffixes = front_decode(shared, body[at : at + size], width)
     at += size
     lefts = np.frombuffer(body, np.uint8, n * reach, at).reshape(n, reach)
-    facts = np.frombuffer(body, "<i8", -1, at + n * reach).reshape(n, -1)
-    return shared, suffixes, lefts, facts
+    at += n * reach
+    entries = np.frombuffer(body, "<i8", 4 * n, at).reshape(n, 4)
+    return shared, suffixes, lefts, entries, np.frombuffer(body, "<i8", -1, at + 32 * n).reshape(-1, 5)
 
 
 class LoserTree:
@@ -328,28 +336,23 @@ def _runs_of(docs: DataFrame, places: DataFrame, ranges: int, length: int, size:
             for b in batches
             for r in zip(*(b[c].to_pylist() for c in names), strict=True)
         )
-        for held in _runs(rows):
+        for held in _runs(rows, 2 * BYTES_AT_ONCE):
             data = np.concatenate([r[-1] for r in held])
             sizes = np.array([len(r[-1]) for r in held])
             counts = [len(r[2]) for r in held]
             number = np.repeat(np.arange(len(held)), counts)
+            documents = np.array([[r[0] or 0, r[1], r[0] is None] for r in held], np.int64)
             place = np.concatenate([np.array(r[2], np.int64) for r in held])
             begin = (np.cumsum(sizes) - sizes)[number]
             at, end = begin + place, begin + sizes[number]
-            for i in range(0, len(at), SUFFIXES_IN_RANGE):
-                s = slice(i, i + SUFFIXES_IN_RANGE)
+            for i in range(0, len(at), SUFFIXES_IN_RUN):
+                s = slice(i, i + SUFFIXES_IN_RUN)
                 right, left = _contexts(data, begin[s], end[s], at[s], length, size)
                 keys = key_hashes(right[:, :size].ravel(), size)[::size]
                 suffixes = np.c_[keys.astype(">u8").view(np.uint8).reshape(-1, 8), right]
                 n = number[s]
-                facts = np.c_[
-                    [held[j][0] if held[j][0] is not None else 0 for j in n],
-                    [held[j][1] for j in n],
-                    [held[j][0] is None for j in n],
-                    place[s],
-                    end[s] - at[s],
-                ].astype(np.int64)
-                order = _order(suffixes)
+                facts = np.c_[documents[n], place[s], end[s] - at[s]]
+                order = _order(np.c_[suffixes, left])
                 target = (keys[order] >> U(32)).astype(np.int64) * ranges >> 32
                 edges = np.flatnonzero(np.r_[True, target[1:] != target[:-1], True])
                 runs = [_pack(suffixes[o], left[o], facts[o]) for o in (order[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True))]
@@ -376,22 +379,22 @@ def repeats(runs: list[bytes], length: int, size: int) -> np.ndarray:
     for run, at, known in LoserTree(texts, [p[0].tolist() for p in parts]):
         order.append(offsets[run] + at)
         shared.append(known)
+    del texts
     order, shared = np.array(order), np.array(shared) - 8  # without the key's hash
-    shared[0] = 0
     lefts = np.concatenate([p[2] for p in parts])[order]
-    facts = np.concatenate([p[3] for p in parts])[order]
-    before, behind = np.minimum(facts[:, 3], length - size), np.minimum(facts[:, 4], length)
-    low, high = np.full(len(order), length), np.full(len(order), -1)
-    # only suffixes that share their key with a neighbour can repeat
+    entries, chains = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
+    first = (np.cumsum(entries[:, 1]) - entries[:, 1])[order]  # the first chain of each context
+    copies, many, before, behind = entries[order].T
+    # a context that occurs twice repeats however it is split; the others have to meet one that shares enough
+    twice = (copies > 1) & (before + behind >= length)
+    low, high = np.where(twice, length - behind, length), np.where(twice, before, -1)
     near = np.r_[shared[1:] >= size, False] | np.r_[False, shared[1:] >= size]
     active = np.flatnonzero(near)
-    if not len(active):
-        return facts[:0]
     group_from = shared[active]
-    group_from[np.r_[False, np.diff(active) > 1]] = 0
+    group_from[np.r_[True, np.diff(active) > 1][: len(active)]] = 0
     left = np.zeros(len(active), U)
     lefts, before, behind = lefts[active], before[active], behind[active]
-    for d in range(length - size + 1):
+    for d in range(length - size + 1 if len(active) else 0):
         if d:  # one more byte to the left
             left = mix(left * BASE + lefts[:, d - 1].astype(U) + U(1))
         use = np.flatnonzero((before >= d) & (behind >= length - d))
@@ -403,10 +406,25 @@ def repeats(runs: list[bytes], length: int, size: int) -> np.ndarray:
         same = joint[sorted_][1:] == joint[sorted_][:-1]
         hit = active[use[sorted_[np.r_[same, False] | np.r_[False, same]]]]
         low[hit] = np.minimum(low[hit], d)
-        high[hit] = d
+        high[hit] = np.maximum(high[hit], d)
     found = np.flatnonzero(high >= 0)
-    place = facts[found, 3]
-    return np.c_[facts[found, :3], place - high[found], place - low[found] + length]
+    each = np.repeat(found, many[found])
+    nth = np.arange(len(each)) - np.repeat(np.cumsum(many[found]) - many[found], many[found])
+    chains = chains[first[each] + nth]
+    return _joined_spans(np.c_[chains[:, :3], chains[:, 3] - high[each], chains[:, 4] - low[each] + length])
+
+
+def _joined_spans(rows: np.ndarray) -> np.ndarray:
+    """Rows (document in three columns, start, stop) with the overlapping ones of a document made one."""
+    if not len(rows):
+        return rows
+    rows = rows[np.lexsort((rows[:, 3], rows[:, 1], rows[:, 0], rows[:, 2]))]
+    document = np.cumsum(np.r_[False, (rows[1:, :3] != rows[:-1, :3]).any(axis=1)])
+    shift = document * (rows[:, 4].max() + 1)  # puts the documents one behind the other
+    reach = np.maximum.accumulate(rows[:, 4] + shift)
+    begin = np.flatnonzero(np.r_[True, rows[1:, 3] + shift[1:] > reach[:-1]])
+    last = np.r_[begin[1:], len(rows)] - 1
+    return np.c_[rows[begin, :4], reach[last] - shift[last]]
 
 
 def _spans(runs: DataFrame, length: int, size: int) -> DataFrame:
@@ -431,8 +449,9 @@ def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, size: int = KEY) -> DataFrame:
     """(id, key, spans) of the documents (doc_id, text_key, text) that hold repeated stretches."""
-    keys = stored(_key_counts(docs, length, size), "keys")
-    places = _located(docs, length, size).join(keys, "key").groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    located = stored(_located(docs, length, size), "anchors")
+    keys = located.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
+    places = located.join(keys, "key").groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
     places = stored(places.agg(F.collect_set("place").alias("places")), "places")
     total = places.agg(F.sum(F.size("places"))).first()[0] or 0
     runs = _runs_of(docs, places, 1 + total // SUFFIXES_IN_RANGE, length, size)
