@@ -53,18 +53,22 @@ def _windows(items: DataFrame, size: int) -> DataFrame:
 
 
 def _positions(docs: DataFrame, sizes: list[int]) -> DataFrame:
-    """A row for each shingle of a document, and one more with ``token`` 0 and ``pos`` -1."""
-    tokens = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w")
-    )
-    n = F.size("w")
-
-    def hashes(size: int) -> Column:
-        return F.transform("w", lambda _, i: _shingle(F.col("w"), i, size))
-
-    each = [hashes(size) for size in sizes]
-    rows = tokens.select("*", F.posexplode(F.concat(*each, F.array(F.lit(0).cast("long")))).alias("p", "token"))
-    return rows.withColumn("pos", F.when(F.col("p") < n * len(sizes), F.col("p") % n).otherwise(-1))
+    """A row for each shingle of a document, and one more with ``token`` 0 and ``pos`` -1.
+
+    Hashes are taken after the words were listed, in compiled code; the shingles at the end of a text that lack words
+    match no window.
+    """
+    tokens = docs.select("doc_id", F.xxhash64("text").alias("text_key"), words(F.col("text")).alias("w"))
+    rows = tokens.withColumn("size", F.explode(F.array(*map(F.lit, sizes))) if len(sizes) > 1 else F.lit(max(sizes, default=1)))
+    listed = F.posexplode(F.concat("w", F.array(F.lit("")))).alias("p", "word")  # the last one marks the end
+    rows = rows.select("*", listed)
+    at, end = F.col("p"), F.col("p") == F.size("w")
+    token = F.lit(None)
+    for size in sizes or [1]:
+        rest = [F.get("w", at + i) for i in range(1, size)]
+        token = F.when(F.col("size") == size, F.xxhash64("word", *rest)).otherwise(token)
+    rows = rows.where(~end | (F.col("size") == (sizes or [1])[0]))
+    return rows.withColumn("token", F.when(end, F.lit(0)).otherwise(token)).withColumn("pos", F.when(end, -1).otherwise(at)).drop("p", "word", "size")
 
 
 def _anchors(docs: DataFrame, windows: DataFrame, sizes: list[int], parts: int) -> DataFrame:
