@@ -7,9 +7,12 @@ belongs to one of k coordinates, which keeps the earliest. Two documents agree i
 to their weighted Jaccard similarity.
 
 Documents of equal words are one class member from the start (hot groups of copies cost one signature). Bands of
-coordinates make candidates; the exact similarity of the shingle sets decides. Within a band's bucket members meet its
-smallest one and, in later rounds, smallest members of the groups that are still apart, until no bucket gives a new
-link: no pair is listed twice and no bucket is multiplied out. Classes are the connected components of the links.
+coordinates make candidates; the exact similarity of the shingle sets decides. All members of a band's bucket meet its
+leader, the one that shares most buckets with others, as the original of a family of copies does. Where some are not
+linked then, a small bucket compares the rest of its pairs, and those a large one leaves over meet in finer buckets, of
+members that agree in a further band, and so on. So a large bucket is not multiplied out, and no pair is compared twice.
+Classes are the connected components of the links. A link between a member that its large bucket's leader is similar to
+and one that it is not similar to is found through another bucket only.
 
 Defined cases: words are runs of letters and digits in lower case; a text of fewer words than a shingle is one shingle
 of all its words; documents without words (NULL, empty) are classes of their own. The class id is the smallest doc_id
@@ -24,7 +27,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowlantern.llm.common import stored
@@ -33,6 +36,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS = 32
 ROWS = 6
+SMALL = 16  # members of a bucket whose pairs are all compared
 WORD = re.compile(r"[^\W_]+")
 TEXT_AT_ONCE = 2_000_000  # characters, of which a signature's darts count as some
 #: Chances of at least 1, 2, ... darts in a cell of unit area.
@@ -249,6 +253,43 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _leader(value: str) -> Column:
+    """``value`` of the member of the highest degree, the smallest one of those."""
+    return F.min_by(value, F.struct(-F.col("degree"), F.col("node")))
+
+
+def _apart(buckets: DataFrame, active: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is left to compare in buckets (key, used, node, degree, grade) whose members are not all linked; ``active``
+    has the bands of each node that others share.
+
+    Similar sets are of similar size, their grades (by powers of 1 / similar) equal or next to each other: buckets are
+    split by two grades at a time, which parts no such pair. A bucket of up to ``SMALL`` members gives its pairs (a, b).
+    Of a larger one the members that are not linked with its leader go on to finer buckets: they have to agree in one
+    more band, as similar ones nearly always do.
+    """
+    placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    facts = [F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")]
+    open_ = placed.groupBy("key").agg(*facts, _leader("label").alias("first"))
+    open_ = open_.where(F.col("low") != F.col("high")).select("key", "first")
+    placed = placed.join(open_, "key")
+    two = F.explode(F.array(F.col("grade"), F.col("grade") + 1)).alias("part")
+    placed = placed.select("node", "label", "first", "used", "degree", "grade", "key", two)
+    placed = placed.withColumn("key", F.xxhash64("key", "part")).drop("part")
+    facts = placed.groupBy("key").agg(*facts).where(F.col("low") != F.col("high")).select("key", "n")
+    placed = stored(placed.join(facts, "key"), "apart")
+    small = placed.where(F.col("n") <= SMALL)
+    one = small.select("key", F.col("node").alias("a"), F.col("label").alias("x"))
+    two = small.select("key", F.col("node").alias("b"), F.col("label").alias("y"))
+    pairs = one.join(two, "key").where((F.col("a") > F.col("b")) & (F.col("x") != F.col("y"))).select("a", "b").distinct()
+    rest = placed.where((F.col("n") > SMALL) & (F.col("label") != F.col("first"))).select("node", "used", "degree", "grade").distinct()
+    more = rest.join(active.select("node", "bands"), "node")
+    more = more.select("node", "used", "degree", "grade", F.explode(F.array_except("bands", "used")).alias("band"))
+    finer = more.select("node", "degree", "grade", F.array_sort(F.concat("used", F.array("band"))).alias("used"))
+    finer = finer.withColumn("key", F.xxhash64("used")).distinct()
+    shared = finer.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
+    return stored(pairs, "pairs"), stored(finer.join(shared, "key").select("node", "key", "used", "degree", "grade"), "members")
+
+
 def near_duplicates(
     docs: DataFrame, similar: float = SIMILAR, bands: int = BANDS, rows: int = ROWS, weights: bool = False
 ) -> DataFrame:
@@ -260,33 +301,27 @@ def near_duplicates(
     known = marked.where(F.col("content").isNotNull())
     first = F.min_by(F.struct("doc_id", "text_key", "bands", "size"), F.struct(F.coalesce("doc_id", F.lit(0)), "text_key"))
     nodes = stored(known.groupBy(F.col("content").alias("node")).agg(first.alias("r")).select("node", "r.*"), "nodes")
-    members = nodes.select("node", "size", F.explode("bands").alias("band"))
-    buckets = members.groupBy("band").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where(F.col("n") > 1)
-    members = stored(members.join(buckets.drop("n"), "band"), "members")
-    active = members.select("node").distinct()
-    sets = stored(_shingle_sets(docs, nodes.drop("bands", "size").join(active, "node")), "sets")
-    pairs = members.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    tried = stored(pairs.distinct(), "pairs")
-    links = stored(_verified(tried, sets, similar), "links")
+    grade = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / similar))).alias("grade")
+    members = nodes.select("node", grade, F.explode("bands").alias("key"))
+    shared = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    buckets = stored(members.join(shared, "key").withColumn("used", F.array("key")), "members")
+    # who shares the most buckets with others is most likely what they are copies of
+    degree = F.sum("n").alias("degree")
+    active = stored(buckets.groupBy("node").agg(degree, F.collect_set("key").alias("bands")), "active")
+    buckets = stored(buckets.drop("n").join(active.select("node", "degree"), "node"), "members")
+    sets = stored(_shingle_sets(docs, nodes.drop("bands", "size").join(active.select("node"), "node")), "sets")
+    pairs, tried, links = None, None, None
     while True:
-        labels = components(links)
-        placed = members.select("band", "node", "size").join(labels, "node", "left")
-        # similar sets are of similar size: their classes by powers of 1 / similar are equal or next to each other
-        grade = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / similar))).alias("grade")
-        placed = placed.select("band", "node", "size", grade, F.coalesce("label", "node").alias("label"))
-        heads = placed.groupBy("band", "label", "grade").agg(F.min(F.struct("node", "size")).alias("h"))
-        open_ = heads.groupBy("band").agg(F.min("label").alias("x"), F.max("label").alias("y"))
-        heads = heads.join(open_.where(F.col("x") != F.col("y")).select("band"), "band")
-        grades = F.explode(F.sequence(F.col("grade") - 1, F.col("grade") + 1)).alias("grade")
-        heads = heads.select("band", F.col("label").alias("other"), F.col("h.node").alias("head"), F.col("h.size").alias("length"), grades)
-        near = (F.col("size") >= (similar - 1e-9) * F.col("length")) & (F.col("length") >= (similar - 1e-9) * F.col("size"))
-        apart = placed.join(heads, ["band", "grade"]).where((F.col("label") != F.col("other")) & near)
-        apart = apart.select(F.greatest("node", "head").alias("a"), F.least("node", "head").alias("b")).distinct()
-        fresh = stored(apart.join(tried, ["a", "b"], "left_anti"), "pairs")
+        star = buckets.join(buckets.groupBy("key").agg(_leader("node").alias("leader")), "key")
+        star = star.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
+        fresh = (star if pairs is None else star.union(pairs)).distinct()
+        fresh = stored(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = stored(_verified(fresh, sets, similar), "links")
-        if not found.limit(1).count():
+        tried, links = (fresh, found) if tried is None else (tried.union(fresh), links.union(found))
+        labels = components(links)
+        pairs, buckets = _apart(buckets, active, labels)
+        if not buckets.limit(1).count() and not pairs.limit(1).count():
             break
-        tried, links = tried.union(fresh), links.union(found)
     labels = marked.join(labels.withColumnRenamed("node", "content"), "content", "left")
     labels = labels.select("doc_id", "text_key", F.coalesce("label", "content").alias("label"))
     key = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), F.col("text_key").alias("key"))
