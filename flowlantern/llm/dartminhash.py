@@ -11,8 +11,10 @@ coordinates make candidates; the exact similarity of the shingle sets decides. A
 leader, the one that shares most buckets with others, as the original of a family of copies does. Where some are not
 linked then, a small bucket compares the rest of its pairs, and those a large one leaves over meet in finer buckets, of
 members that agree in a further band, and so on. So a large bucket is not multiplied out, and no pair is compared twice.
-Classes are the connected components of the links. A link between a member that its large bucket's leader is similar to
-and one that it is not similar to is found through another bucket only.
+What then still stands apart from most of a large bucket meets all its members by their rarest shingles: similar sets
+share one of those, which leaves no pair of a bucket out. Sizes, the places of the shared shingle and parities of the
+sets rule out nearly all pairs that are not similar before their sets are read. Classes are the connected components of
+the links.
 
 Defined cases: words are runs of letters and digits in lower case; a text of fewer words than a shingle is one shingle
 of all its words; documents without words (NULL, empty) are classes of their own. The class id is the smallest doc_id
@@ -37,6 +39,9 @@ SIMILAR = 0.8
 BANDS = 32
 ROWS = 6
 SMALL = 16  # members of a bucket whose pairs are all compared
+SLOTS = 1 << 20  # of the counts by which shingles are rare or common
+PARITIES = 512  # of the elements of a set, by hash
+DEALT = 256  # sets with a common rare shingle that one part of a join holds
 WORD = re.compile(r"[^\W_]+")
 TEXT_AT_ONCE = 2_000_000  # characters, of which a signature's darts count as some
 #: Chances of at least 1, 2, ... darts in a cell of unit area.
@@ -233,6 +238,76 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary")
 
 
+def _counts(sets: DataFrame) -> np.ndarray:
+    """How many sets hold a shingle, summed over the shingles of a slot."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            held = np.frombuffer(b"".join(batch["shingles"].to_pylist()), U)
+            total += np.bincount((held % U(SLOTS)).astype(np.int64), minlength=SLOTS)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["slot", "n"])
+
+    found = sets.select("shingles").mapInArrow(read, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(SLOTS, np.int32)
+    counts[found["slot"].to_numpy()] = np.minimum(found["n"].to_numpy(), 2**31 - 1)
+    return counts
+
+
+def _rare(sets: DataFrame, counts: np.ndarray, similar: float) -> DataFrame:
+    """node, label, size, parities, and shingle and its place for each of a set's rarest shingles: so many that similar
+    sets share one of them."""
+    words = PARITIES // 64
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, label, held in zip(*(batch[c].to_pylist() for c in ("node", "label", "shingles")), strict=True):
+                e = np.frombuffer(held, U)
+                n = len(e)
+                first = e[np.lexsort((e, counts[(e % U(SLOTS)).astype(np.int64)]))][: n - int(np.ceil(similar * n - 1e-6)) + 1]
+                odd = np.bincount((mix(e) % U(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+                parities = np.packbits(odd.astype(np.uint8)).view(np.int64)
+                k = len(first)
+                columns = [pa.array([node] * k, pa.binary()), pa.array([label] * k, pa.binary()), pa.array(np.full(k, n, np.int64))]
+                columns += [pa.array(first.view(np.int64)), pa.array(np.arange(k, dtype=np.int64))]
+                columns += [pa.array(np.full(k, p)) for p in parities]
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    names = ["node", "label", "size", "shingle", "place", *(f"p{i}" for i in range(words))]
+    types = ["binary", "binary", *["long"] * (3 + words)]
+    return sets.select("node", "label", "shingles").mapInArrow(read, ", ".join(map(" ".join, zip(names, types, strict=True))))
+
+
+def _left_over(large: DataFrame, labels: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
+    """All pairs (a, b) not linked yet that may be similar, of the members of a bucket of ``large`` (key, node): each
+    member outside the class that most of the bucket belong to against all the others."""
+    placed = stored(large.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "left")
+    home = placed.groupBy("key", "label").agg(F.count("*").alias("n")).groupBy("key")
+    home = home.agg(F.max_by("label", F.struct("n", "label")).alias("home"), F.count("*").alias("classes"))
+    placed = placed.join(home.where(F.col("classes") > 1).select("key", "home"), "key")
+    members = placed.groupBy("node", "label").agg(F.max(F.col("label") != F.col("home")).alias("apart"))
+    members = stored(members.join(sets, "node"), "left")
+    counts = _counts(members)
+    every = stored(_rare(members, counts, similar), "rare")
+    hot = every.groupBy("shingle").agg(F.count("*").alias("n")).where(F.col("n") > DEALT)
+    hot = stored(hot.select("shingle", F.ceil(F.col("n") / DEALT).alias("parts")), "hot")
+    dealt = every.join(hot, "shingle", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    one = dealt.join(members.where("apart").select("node"), "node", "left_semi")
+    one = one.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
+    two = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).drop("parts")
+    x, y = one.alias("x"), two.alias("y")
+    both = F.col("x.size") + F.col("y.size")
+    rest = F.least(F.col("x.size") - F.col("x.place"), F.col("y.size") - F.col("y.place"))  # from the shared shingle on
+    unlike = sum(F.bit_count(F.col(f"x.p{i}").bitwiseXOR(F.col(f"y.p{i}"))) for i in range(PARITIES // 64))
+    may = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.part") == F.col("y.part")) & (F.col("x.label") != F.col("y.label"))
+    may &= F.least("x.size", "y.size") >= similar * F.greatest("x.size", "y.size") - 1e-6
+    may &= rest >= both * (similar / (1 + similar)) - 1e-6
+    may &= unlike <= both * ((1 - similar) / (1 + similar)) + 1e-6
+    found = x.join(y, may).select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
+    return stored(found.distinct(), "pairs")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and the smallest node it is connected with, for the nodes of ``edges`` (a, b).
 
@@ -258,14 +333,14 @@ def _leader(value: str) -> Column:
     return F.min_by(value, F.struct(-F.col("degree"), F.col("node")))
 
 
-def _apart(buckets: DataFrame, active: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _apart(buckets: DataFrame, active: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """What is left to compare in buckets (key, used, node, degree, grade) whose members are not all linked; ``active``
     has the bands of each node that others share.
 
     Similar sets are of similar size, their grades (by powers of 1 / similar) equal or next to each other: buckets are
     split by two grades at a time, which parts no such pair. A bucket of up to ``SMALL`` members gives its pairs (a, b).
     Of a larger one the members that are not linked with its leader go on to finer buckets: they have to agree in one
-    more band, as similar ones nearly always do.
+    more band, as similar ones nearly always do. The larger ones (key, node) are given, too.
     """
     placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     facts = [F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")]
@@ -287,7 +362,8 @@ def _apart(buckets: DataFrame, active: DataFrame, labels: DataFrame) -> tuple[Da
     finer = more.select("node", "degree", "grade", F.array_sort(F.concat("used", F.array("band"))).alias("used"))
     finer = finer.withColumn("key", F.xxhash64("used")).distinct()
     shared = finer.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
-    return stored(pairs, "pairs"), stored(finer.join(shared, "key").select("node", "key", "used", "degree", "grade"), "members")
+    finer = stored(finer.join(shared, "key").select("node", "key", "used", "degree", "grade"), "members")
+    return stored(pairs, "pairs"), finer, placed.where(F.col("n") > SMALL).select("key", "node")
 
 
 def near_duplicates(
@@ -310,7 +386,7 @@ def near_duplicates(
     active = stored(buckets.groupBy("node").agg(degree, F.collect_set("key").alias("bands")), "active")
     buckets = stored(buckets.drop("n").join(active.select("node", "degree"), "node"), "members")
     sets = stored(_shingle_sets(docs, nodes.drop("bands", "size").join(active.select("node"), "node")), "sets")
-    pairs, tried, links = None, None, None
+    pairs, tried, links, large = None, None, None, None
     while True:
         star = buckets.join(buckets.groupBy("key").agg(_leader("node").alias("leader")), "key")
         star = star.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
@@ -319,9 +395,12 @@ def near_duplicates(
         found = stored(_verified(fresh, sets, similar), "links")
         tried, links = (fresh, found) if tried is None else (tried.union(fresh), links.union(found))
         labels = components(links)
-        pairs, buckets = _apart(buckets, active, labels)
+        pairs, buckets, over = _apart(buckets, active, labels)
+        large = over if large is None else large  # the finer buckets are parts of these
         if not buckets.limit(1).count() and not pairs.limit(1).count():
             break
+    found = stored(_verified(_left_over(large, labels, sets, similar), sets, similar), "links")
+    labels = components(links.union(found))
     labels = marked.join(labels.withColumnRenamed("node", "content"), "content", "left")
     labels = labels.select("doc_id", "text_key", F.coalesce("label", "content").alias("label"))
     key = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), F.col("text_key").alias("key"))

@@ -359,6 +359,32 @@ def test_near_duplicates_equal_brute_force(spark, monkeypatch, small, rows_in_ba
     assert found == label
 
 
+def test_near_duplicates_of_chains_equal_brute_force(spark, monkeypatch):
+    """Copies of one text with some of the same few changes, and texts that are like one of the copies but not like the
+    first, all in one bucket."""
+    monkeypatch.setattr(dartminhash, "_fold", lambda marks: np.zeros(marks.shape[:-1], np.uint64))
+    rng = np.random.default_rng(12)
+    base = [f"w{i}" for i in range(120)]
+    changes = [[]]
+    for _ in range(100):
+        changes.append(list(rng.choice(24, 2, replace=False)))
+        left = [at for at in range(24) if at not in changes[-1]]
+        changes.append(changes[-1] + list(rng.choice(left, 2, replace=False)))
+        changes.append(list(rng.choice(24, 5, replace=False)))
+    rows = [(i, " ".join(f"x{at}" if at % 5 == 0 and at // 5 in c else w for at, w in enumerate(base))) for i, c in enumerate(changes)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.class_id for r in dartminhash.near_duplicates(table, bands=1, rows=1).collect()}
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(116)} for i, t in rows}
+    label = {i: i for i in sets}
+    for a in sets:
+        for b in range(a):
+            if label[a] != label[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                old, new = max(label[a], label[b]), min(label[a], label[b])
+                label = {i: new if v == old else v for i, v in label.items()}
+    assert 1 < len(set(label.values())) < 150
+    assert found == label
+
+
 def plain_score(texts, train, text):
     """log10 of a text's probability by the definition, one tree node at a time."""
     from math import exp, lgamma, log, log10
