@@ -36,7 +36,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with surrogates in place of personal data; n_chars follows the text."""
     columns = docs.columns
-    made = docs.withColumn("_made", surrogates.replaced("text", SURROGATE_KEY))
+    again = surrogates.redrawn(docs, SURROGATE_KEY)
+    made = docs.withColumn("_made", surrogates.replaced("text", SURROGATE_KEY, again))
     changed = F.size("_made.entities") > 0
     made = made.withColumn("text", F.col("_made.text"))
     made = made.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, langid, suffixes, surrogates, tokenfiles, topk, toxicity
-from flowlantern.llm.common import held_out, read, remainder, stored
+from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,11 +131,8 @@ SURROGATE_KEY = b"flowlantern"  # a deployment sets its own
 @query
 def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
-    found = stored(surrogates.entities(docs, SURROGATE_KEY), "entities")
-    clash = surrogates.collisions(found).limit(1).collect()
-    if clash:
-        raise ValueError(f"surrogates are not distinct: {clash[0]}")
-    found = docs.select("doc_id", surrogates.replaced("text", SURROGATE_KEY).alias("r"))
+    again = surrogates.redrawn(docs, SURROGATE_KEY)
+    found = docs.select("doc_id", surrogates.replaced("text", SURROGATE_KEY, again).alias("r"))
     kinds = F.array_join(F.array_sort(F.array_distinct("r.entities.kind")), ",").alias("kinds")
     return found.select("doc_id", "r.text", F.size("r.entities").alias("n_entities"), kinds)
 

@@ -8,7 +8,7 @@ wherever they occur, and spellings that differ in separators or case are one ent
 
 Within one shape the replacement is a permutation under the key without fixed points, so different entities stay
 different and the same one stays the same in all documents without a table of them. ``collisions`` checks that over the
-entities of a corpus.
+entities of a corpus; ``redrawn`` draws again for those it finds.
 
 Defined cases: NULL stays NULL; a text without entities is returned as it is. Where matches overlap, the earlier and then
 the longer one counts.
@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowlantern.llm.common import stored
+
 RESULT = "text string, entities array<struct<kind: string, start: int, end: int>>"
 ROUNDS = 8
 
@@ -47,6 +49,9 @@ HEX = "0123456789abcdef"
 # Titles before a name.
 TITLES = "Mr Mrs Ms Miss Dr Prof Sir Lady Herr Frau Monsieur Madame Mme Mlle Señor Señora Sr Sra Don Doña".split()
 
+# Country codes of one and of two digits; the others have three.
+CODE = re.compile(r"[17]|2[07]|3[0123469]|4[013456789]|5[12345678]|6[0123456]|8[1246]|9[0123458]|\d{3}")
+
 _UPPER = "A-ZÀ-ÖØ-ÞА-ЯΑ-Ω"
 _NAME = rf"[{_UPPER}][^\W\d_]+(?:[-'’][{_UPPER}][^\W\d_]+)*"
 PATTERNS = {
@@ -126,13 +131,18 @@ def _letters(text: str) -> list[str]:
     return [LETTER.get(c, "") for c in text]
 
 
+def _lower(text: str) -> str:
+    """Lower case character by character, whatever stands beside it."""
+    return "".join(c.lower() if len(c.lower()) == 1 else c for c in text).replace("ς", "σ")
+
+
 def _cased(pattern: str, text: str) -> str:
-    return "".join(t.upper() if p.isupper() and len(t.upper()) == 1 else t for p, t in zip(pattern, text, strict=True))
+    return "".join("ς" if p == "ς" and t == "σ" else t.upper() if p.isupper() and len(t.upper()) == 1 else t for p, t in zip(pattern, text, strict=True))
 
 
 def _word(key: bytes, purpose: str, text: str, keep_last: bool = False) -> str:
     """A word of the same letters' classes; of a name the last letter stays if others are left to change."""
-    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+    low = _lower(text)
     alphabets = _letters(low)
     if keep_last and sum(map(bool, alphabets)) > 1:
         alphabets[-1] = ""
@@ -157,6 +167,7 @@ def _private(address: str) -> tuple[bool, ...]:
 
 def _address(key: bytes, text: str) -> str:
     parts = [int(p) for p in text.split(".")]
+    text = ".".join(map(str, parts))
     x = int.from_bytes(bytes(parts), "big")
     kind, turn = _private(text), _permutation(key, "ip", 1 << 32)
     if kind[0]:  # within its own private block, which is small
@@ -185,8 +196,7 @@ def surrogate(key: bytes, kind: str, text: str) -> str:
     if kind == "ssn":
         return _refill(text, permuted(key, "ssn", digits, [ALPHABETS[0]] * 9))
     if kind == "phone":
-        code = re.match(r"\+\d{1,3}(?=[ .(-])", text)
-        fixed = len(code.group()) - 1 if code else 1 if text[0] == "+" else 0
+        fixed = CODE.match(digits).end() if text[0] == "+" else 0
         return _refill(text, permuted(key, "phone+" * (text[0] == "+"), digits, [""] * fixed + [ALPHABETS[0]] * (len(digits) - fixed)))
     if kind == "secret":
         return _cased(text, permuted(key, "secret", text.lower(), [HEX] * len(text))) if not text.isupper() else permuted(key, "secret", text.lower(), [HEX] * len(text)).upper()
@@ -221,14 +231,31 @@ def canonical(kind: str, text: str) -> str:
         return "+" * (text[0] == "+") + "".join(c for c in text if c.isdigit())
     if kind in ("card", "ssn"):
         return "".join(c for c in text if c.isdigit())
-    return text.replace(" ", "").lower() if kind == "iban" else text.lower()
-
-
-def replace(key: bytes, text: str) -> tuple[str, list[tuple[int, int, str]]]:
+    if kind == "ip":
+        return ".".join(str(int(p)) for p in text.split("."))
+    return text.replace(" ", "").lower() if kind == "iban" else _lower(text)
+
+
+def drawn(key: bytes, kind: str, text: str, again: dict[tuple[str, str], int]) -> str:
+    """The replacement of one entity, by another key if ``again`` has how often it was drawn again. What its format
+    leaves as it is gets letters of a keyed word."""
+    times = again.get((kind, canonical(kind, text)), 0)
+    if not times:
+        return surrogate(key, kind, text)
+    other = hashlib.blake2b(b"again %d" % times, key=hashlib.blake2b(key, digest_size=32).digest()).digest()
+    made = surrogate(other, kind, text)
+    if canonical(kind, made) != canonical(kind, text):
+        return made
+    word = hashlib.blake2b(canonical(kind, text).encode(), key=other[:32]).digest()
+    source = iter("".join(ALPHABETS[2 - i % 2][b % len(ALPHABETS[2 - i % 2])] for i, b in enumerate(word)) * (1 + len(text) // 64))
+    return _cased(text, "".join(next(source) if c.isalnum() else c for c in text))
+
+
+def replace(key: bytes, text: str, again: dict[tuple[str, str], int] | None = None) -> tuple[str, list[tuple[int, int, str]]]:
     """The text with surrogates, and where they stand in it."""
     parts, spans, at, length = [], [], 0, 0
     for start, stop, kind in find(text):
-        made = surrogate(key, kind, text[start:stop])
+        made = drawn(key, kind, text[start:stop], again or {})
         parts += [text[at:start], made]
         length += start - at
         spans.append((length, length + len(made), kind))
@@ -236,13 +263,13 @@ def replace(key: bytes, text: str) -> tuple[str, list[tuple[int, int, str]]]:
     return "".join([*parts, text[at:]]) if parts else text, spans
 
 
-def replaced(text: str, key: bytes) -> Column:
-    """A struct column: the text with surrogates, and the kind and place of each."""
+def replaced(text: str, key: bytes, again: dict[tuple[str, str], int] | None = None) -> Column:
+    """A struct column: the text with surrogates, and the kind and place of each; ``again`` is of ``redrawn``."""
 
     @F.pandas_udf(RESULT)
     def apply(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            rows = [(None, []) if t is None else replace(key, t) for t in part]
+            rows = [(None, []) if t is None else replace(key, t, again) for t in part]
             spans = [[{"kind": k, "start": a, "end": b} for a, b, k in s] for _, s in rows]
             yield pd.DataFrame({"text": [t for t, _ in rows], "entities": spans})
 
@@ -272,3 +299,28 @@ def collisions(found: DataFrame) -> DataFrame:
     same = found.where(F.col("entity") == F.col("surrogate")).groupBy("kind", "entity").agg(F.count("*").alias("n"))
     named = [t.withColumnRenamed(t.columns[1], "value").withColumn("fault", F.lit(f)) for t, f in ((shared, "shared"), (split, "split"), (same, "kept"))]
     return named[0].union(named[1]).union(named[2])
+
+
+def redrawn(docs: DataFrame, key: bytes) -> dict[tuple[str, str], int]:
+    """How often the entities of ``docs`` whose surrogates would not be distinct are drawn again until all are: few, as
+    only those without a character to replace can be at fault. Of entities with one surrogate the first keeps it."""
+    found = stored(entities(docs, key), "entities")
+    again: dict[tuple[str, str], int] = {}
+    while True:
+        now = found
+        if again:
+            spark = docs.sparkSession
+            rows = [(k, e, canonical(k, drawn(key, k, e, again))) for k, e in again]
+            new = spark.createDataFrame(rows, "kind string, entity string, drawn string")
+            now = found.join(new, ["kind", "entity"], "left").select("kind", "entity", F.coalesce("drawn", "surrogate").alias("surrogate"))
+            now = stored(now.distinct(), "entities")
+        faults = collisions(now)
+        shared = now.join(faults.where(F.col("fault") == "shared").select("kind", F.col("value").alias("surrogate")), ["kind", "surrogate"])
+        first = shared.groupBy("kind", "surrogate").agg(F.min("entity").alias("first"))
+        shared = shared.join(first, ["kind", "surrogate"]).where(F.col("entity") != F.col("first")).select("kind", "entity")
+        own = faults.where(F.col("fault") != "shared").select("kind", F.col("value").alias("entity"))
+        todo = shared.union(own).distinct().collect()
+        if not todo:
+            return again
+        for r in todo:
+            again[r.kind, r.entity] = again.get((r.kind, r.entity), 0) + 1

@@ -196,6 +196,25 @@ def test_surrogates_keep_form_and_stay_apart(spark):
     assert {r.fault for r in surrogates.collisions(bad).collect()} == {"shared", "kept"}
 
 
+def test_surrogates_of_all_spellings(spark):
+    """Spellings of a phone number or address are one entity with one surrogate; what its format keeps is drawn again."""
+    for kind, one, two in (
+        ("phone", "+44 20 7946 0958", "+442079460958"),
+        ("phone", "+353 1 555 0123", "+35315550123"),
+        ("ip", "01.2.3.4", "1.2.3.4"),
+        ("name", "Οδος", "ΟΔΟΣ"),
+    ):
+        made = [surrogates.canonical(kind, surrogates.surrogate(b"key", kind, t)) for t in (one, two)]
+        assert surrogates.canonical(kind, one) == surrogates.canonical(kind, two) and made[0] == made[1]
+    texts = ["+44 20 7946 0958 or +442079460958", "01.2.3.4 and 1.2.3.4", "Mr Þð met Mrs Ðþ", None]
+    table = spark.createDataFrame([(t,) for t in texts], "text string")
+    again = surrogates.redrawn(table, b"key")
+    assert set(again) == {("name", "þð"), ("name", "ðþ")}
+    made = [r.r.text for r in table.select(surrogates.replaced("text", b"key", again).alias("r")).collect()]
+    names = [t.split()[1::3] for t in made if t and t.startswith("Mr")][0]
+    assert len({n.lower() for n in names} | {"þð", "ðþ"}) == 4
+
+
 @pytest.mark.parametrize("n", [2, 3, 10, 97, 1000])
 def test_permutation_has_no_fixed_point(n):
     turn = surrogates.Permutation(b"k", "x", n)
