@@ -6,6 +6,9 @@ state of a card number, the private or public range of an address, the title and
 its gender). Parts that say who belongs together, an address's domain or a person's family name, are replaced alike
 wherever they occur, and spellings that differ in separators or case are one entity.
 
+A name is found behind a title or another cue (a line of a sender, a closing, "my name is"); all further mentions of it
+or of its parts in that text are names, too.
+
 Within one shape the replacement is a permutation under the key without fixed points, so different entities stay
 different and the same one stays the same in all documents without a table of them. ``collisions`` checks that over the
 entities of a corpus; ``redrawn`` draws again for those it finds.
@@ -67,6 +70,22 @@ PATTERNS = {
     "secret": re.compile(r"(?<!\w)(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?!\w)"),
     "name": re.compile(rf"(?<!\w)(?:{'|'.join(TITLES)})\.?[  ](?P<name>{_NAME}(?: {_NAME}){{0,2}})"),
 }
+# Cues of a name besides titles, each with a word that has to be in the text.
+CUES = [
+    (word, re.compile(rf"{cue}(?P<name>{_NAME}(?: {_NAME}){{0,2}})", re.MULTILINE))
+    for word, cue in (
+        ("name is ", r"(?<!\w)[Mm]y name is "),
+        ("From:", r"^From:[ \t]*\"?"),
+        *((w, rf"(?<!\w){w}[^\S\n]*[,.!]?[^\S\n]*\n\s*") for w in "regards Regards wishes Sincerely sincerely truly faithfully Cheers Grüßen Cordialement Saludos".split()),
+    )
+]
+_CAPITAL = re.compile(rf"(?<![^\W_])[{_UPPER}][^\W\d_]+(?![^\W_])")
+# Words that a sentence starts with, no names when they stand alone.
+PLAIN = frozenset(
+    "the a an and or but if in on at of to for from by with as is was it he she we they you his her its this that these those "
+    "then there when who what how not no yes so my our your der die das und ein eine ich er sie es wir le la les un une et je il "
+    "elle nous el los las y yo".split()
+)
 
 
 class Permutation:
@@ -209,6 +228,18 @@ def surrogate(key: bytes, kind: str, text: str) -> str:
     return "".join(w if len(w) < 2 else _word(key, "name", w, keep_last=True) for w in words)
 
 
+def _mentions(text: str, names: set[str]) -> list[tuple[int, int]]:
+    """Where words of ``names`` stand with a capital letter, those side by side as one."""
+    found: list[tuple[int, int]] = []
+    for m in _CAPITAL.finditer(text):
+        if _lower(m.group()) in names:
+            if found and m.start() - found[-1][1] == 1 and text[m.start() - 1] in " '’-":
+                found[-1] = (found[-1][0], m.end())
+            else:
+                found.append(m.span())
+    return found
+
+
 def find(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind) of the entities, none overlapping."""
     hits = []
@@ -217,6 +248,17 @@ def find(text: str) -> list[tuple[int, int, str]]:
             continue
         group = "name" if kind == "name" else 0
         hits += [(m.start(group), -m.end(group), i, kind) for i, m in enumerate(pattern.finditer(text))]
+    for word, pattern in CUES:
+        if word in text:
+            hits += [(m.start("name"), -m.end("name"), i, "name") for i, m in enumerate(pattern.finditer(text))]
+    names = {w for a, b, _, kind in hits if kind == "name" for w in re.split(r"[ '’-]", _lower(text[a:-b]))}
+    names = {w for w in names if len(w) > 1} - PLAIN
+    if names:
+        parts, at = [], 0  # the text without the entities of other kinds
+        for start, stop in sorted((a, -b) for a, b, _, kind in hits if kind != "name"):
+            parts += [text[at:start], "\0" * (stop - max(at, start))]
+            at = max(at, stop)
+        hits += [(a, -b, 0, "name") for a, b in _mentions("".join([*parts, text[at:]]), names)]
     found, reach = [], 0
     for start, stop, _, kind in sorted(hits):
         if start >= reach:

@@ -215,6 +215,26 @@ def test_surrogates_of_all_spellings(spark):
     assert len({n.lower() for n in names} | {"þð", "ðþ"}) == 4
 
 
+@pytest.mark.parametrize(
+    "text,kept",
+    [
+        ("Mrs Anna Schroeder came. Anna Schroeder said so, and SCHROEDER's dog. The end, Anna-Maria.", "came said so and dog The end Maria"),
+        ("From: Anna Schroeder <x>\nHello, my name is Bob Miller. Miller knows Anna.", "From Hello my name is knows"),
+        ("Dear all\n\nBest regards,\nAnna Schroeder\n\nSchroeder was here", "Dear all Best regards was here"),
+    ],
+)
+def test_surrogates_of_all_mentions(text, kept):
+    assert [k for _, _, k in surrogates.find("Mr Anna Lee, Anna Lee@mail.com")] == ["name", "name", "email"]
+    made, spans = surrogates.replace(b"key", text)
+    assert not any(n in made.lower() for n in ("anna", "schroeder", "miller"))
+    assert all(w in made.split() or w in made for w in kept.split())
+    old = [text[a:b] for a, b, _ in surrogates.find(text)]
+    words = {}
+    for a, (start, stop, _) in zip(old, spans, strict=True):
+        for x, y in zip(a.lower().split(), made[start:stop].lower().split(), strict=True):
+            assert words.setdefault(x, y) == y
+
+
 @pytest.mark.parametrize("n", [2, 3, 10, 97, 1000])
 def test_permutation_has_no_fixed_point(n):
     turn = surrogates.Permutation(b"k", "x", n)
