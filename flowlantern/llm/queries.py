@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, langid, suffixes, surrogates, tokenfiles, topk, toxicity
+from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, hardnegatives, langid, suffixes, surrogates, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -150,3 +150,32 @@ def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     bits = (-F.col("score") / F.log10(F.lit(2.0)) / (F.col("n_bytes") + 1)).alias("bits_per_byte")
     own = held_out("doc_id", 10, 0).alias("held_out")
     return found.select("doc_id", own, "n_tokens", "n_known", "train_tokens", "base_score", "score", bits)
+
+
+@query
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    wrong = (F.col("label") + 1) % 10  # some labels are made wrong on purpose
+    vectors = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, wrong).otherwise(F.col("label")))
+    return hardnegatives.hard_negatives(vectors, every=100)
+
+
+ORACLE["op11_hard_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+    row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS p FROM s WHERE same),
+n AS (
+  SELECT anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, p ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank
+  FROM p JOIN s USING (anchor_id)
+  WHERE p <= 5 AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
