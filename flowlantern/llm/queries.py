@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, hardnegatives, langid, suffixes, surrogates, tokenfiles, topk, toxicity
+from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, hardnegatives, langid, spelling, suffixes, surrogates, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -179,3 +179,19 @@ n AS (
   WHERE p <= 5 AND NOT same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score)
 SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
 """
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variant_groups(misspelt_runs(read(spark, sf_dir, "documents")))
+
+
+def misspelt_runs(docs: DataFrame) -> DataFrame:
+    """The runs of letters of all texts, A-Z in lower case; about one in 97 of them has lost a character."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = F.regexp_extract_all("lowered", F.lit("[a-z\u00C0-\u00FF]+"), F.lit(0))
+    runs = docs.select("doc_id", lowered.alias("lowered")).select("doc_id", F.explode(found).alias("run"))
+    h = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run")).cast("binary"))
+    runs = runs.withColumn("h", h)
+    lost = F.expr("concat(left(run, CAST(h % length(run) AS INT)), substring(run, CAST(h % length(run) AS INT) + 2))")
+    return runs.select(F.when(F.col("h") % 97 == 0, lost).otherwise(F.col("run")).alias("word"))
