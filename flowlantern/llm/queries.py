@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, hardnegatives, langid, spelling, suffixes, surrogates, tokenfiles, topk, toxicity
+from flowlantern.llm import bpe, contexttree, dartminhash, decontaminate, hardnegatives, langid, quality, spelling, suffixes, surrogates, tokenfiles, topk, toxicity
 from flowlantern.llm.common import held_out, read, remainder
 from flowlantern.session import shared_dir
 
@@ -195,3 +195,11 @@ def misspelt_runs(docs: DataFrame) -> DataFrame:
     runs = runs.withColumn("h", h)
     lost = F.expr("concat(left(run, CAST(h % length(run) AS INT)), substring(run, CAST(h % length(run) AS INT) + 2))")
     return runs.select(F.when(F.col("h") % 97 == 0, lost).otherwise(F.col("run")).alias("word"))
+
+
+@query
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = quality.train(docs, read(spark, sf_dir, "labels"), remainder("doc_id", 3) != 1)
+    found = docs.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), quality.scored("text", model, spark).alias("score"))
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
