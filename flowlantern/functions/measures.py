@@ -35,6 +35,8 @@ def utc_parts(moment: Column) -> dict[str, Column]:
 
 
 def row_hash(*parts: Column | str) -> Column:
-    """SHA-256 over the parts; NULL counts as empty text so that it cannot shift the others."""
-    texts = [F.coalesce((F.col(p) if isinstance(p, str) else p).cast("string"), F.lit("")) for p in parts]
-    return F.sha2(F.concat_ws("|", *texts), 256)
+    """SHA-256 over the parts, each written as its length, a colon and its text, or as ``-`` when it is NULL: different
+    parts never give one text, whatever characters they hold."""
+    texts = [(F.col(p) if isinstance(p, str) else p).cast("string") for p in parts]
+    written = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat(*written), 256)

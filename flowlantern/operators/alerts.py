@@ -6,14 +6,15 @@ planner sees that they are small, and a large one falls back to a shuffled join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from flowlantern.functions.measures import MICROS, aligned
-from flowlantern.functions.net import in_cidr
+from flowlantern.functions.net import address_bytes, prefix_key
 from flowlantern.operators import ids
 from flowlantern.operators.catalogues import last_by_line
+from flowlantern.session import stored
 
 TRACKERS = {"by_src": "src_ip", "by_dst": "dest_ip"}  # fixed values: what a limit may be counted by
 
@@ -50,31 +51,61 @@ def enrich_reference(rows: DataFrame, dim: DataFrame, column: str = "reference")
     return joined.withColumn("reference_url", F.concat("_url", ident)).drop("_system", "_url")
 
 
+def _network(text: Column) -> Column:
+    """Bits and 16 bytes of ``address`` or ``address/length`` of either family; NULL for what is neither."""
+    address, length = F.substring_index(text, "/", 1), F.get(F.split(text, "/"), F.lit(1))
+    dotted = ~F.contains(address, F.lit(":"))
+    given = F.coalesce(length.try_cast("int"), F.when(length.isNull(), F.when(dotted, 32).otherwise(128)))
+    bits = F.when(given.between(0, F.when(dotted, 32).otherwise(128)), given + F.when(dotted, 96).otherwise(0))
+    whole = address_bytes(address)
+    return F.when(bits.isNotNull() & whole.isNotNull(), F.struct(bits.alias("bits"), whole.alias("address")))
+
+
 def suppress(alerts: DataFrame, rules: DataFrame) -> DataFrame:
     """Alerts without those a suppress rule names: by generator and signature, optionally by source or target.
 
-    A generator or signature of 0 (or none) stands for any. A list of networks is a rule for each of them.
+    A generator or signature of 0 (or none) stands for any. A list of networks, of either address family, is a rule for
+    each of them; a network that cannot be read names nothing. ``alert_id`` is the key: copies of an alert go together.
+
+    A rule is found by equality: its form says whether it names generator, signature, track and how many leading bits,
+    and its key holds these values. An alert looks up one key for each form that occurs. The forms that exist are
+    2 x 2 x (2 x 129 + 1), whatever the number of rules, so they are passed by value.
     """
     networks = F.split(F.regexp_replace("ip", r"[\[\]\s]", ""), ",")
     wanted = rules.filter(F.col("kind") == "suppress").select(
-        F.coalesce("gen_id", F.lit(0)).alias("rule_gen"),
-        F.coalesce("sig_id", F.lit(0)).alias("rule_sig"),
-        F.col("track").alias("rule_track"),
-        F.explode_outer(networks).alias("rule_ip"),
-    )
-    wanted = wanted.distinct()
-    tracked = F.when(F.col("rule_track") == "by_src", F.col("src_ip")).when(
-        F.col("rule_track") == "by_dst", F.col("dest_ip")
+        F.coalesce("gen_id", F.lit(0)).alias("gen"),
+        F.coalesce("sig_id", F.lit(0)).alias("sig"),
+        F.col("track"),
+        F.explode_outer(networks).alias("network"),
     )
-    # A rule without a network covers the whole signature.
-    hit = F.col("rule_ip").isNull() | in_cidr(tracked, F.col("rule_ip"))
-    gen, sig = F.col("gid") == F.col("rule_gen"), F.col("sig_id") == F.col("rule_sig")
-    any_gen, any_sig = F.col("rule_gen") == 0, F.col("rule_sig") == 0
-    # One join for each way to name alerts, so that each has plain equalities to join by.
-    left = alerts.join(wanted.filter(~any_gen & ~any_sig), gen & sig & hit, "left_anti")
-    left = left.join(wanted.filter(any_gen & ~any_sig), sig & hit, "left_anti")
-    left = left.join(wanted.filter(~any_gen & any_sig), gen & hit, "left_anti")
-    return left.join(wanted.filter(any_gen & any_sig), hit, "left_anti")
+    free = F.col("network").isNull()  # a rule without a network covers the whole signature
+    wanted = wanted.withColumn("net", _network(F.col("network")))
+    wanted = wanted.filter(free | (F.col("net").isNotNull() & F.col("track").isin(*TRACKERS)))
+    form = {"by_gen": F.col("gen") != 0, "by_sig": F.col("sig") != 0, "track": F.when(~free, F.col("track")), "bits": F.col("net.bits")}
+    leading = F.coalesce(prefix_key(F.col("net.address"), F.col("net.bits")), F.lit(""))
+    wanted = wanted.select(*[c.alias(name) for name, c in form.items()], "gen", "sig", leading.alias("leading"))
+    wanted = stored(wanted.distinct(), "suppressions")  # the lines are parsed once, and the planner knows their size
+    forms = wanted.select(*form).distinct().collect()
+    if not forms:
+        return alerts
+
+    def key(form: dict, gen: Column, sig: Column, leading: Column) -> Column:
+        named = [F.coalesce(c.cast("string"), F.lit("")) for c in form.values()]
+        return F.concat_ws("/", *named, F.concat(gen.cast("string"), F.lit("/"), sig.cast("string"), F.lit("/"), leading))
+
+    def lookup(found: dict) -> Column:
+        gen, sig = (F.col(c) if by else F.lit(0) for c, by in (("gid", found["by_gen"]), ("sig_id", found["by_sig"])))
+        leading = F.lit("") if found["track"] is None else prefix_key(F.col(found["track"]), F.lit(found["bits"]))
+        # without a field that the form asks for there is nothing to look up
+        own = key({name: F.lit(value) for name, value in found.items()}, gen, sig, leading)
+        return F.when(gen.isNotNull() & sig.isNotNull() & leading.isNotNull(), own)
+
+    tracked = [address_bytes(name).alias(track) for track, name in TRACKERS.items()]
+    probes = alerts.select("alert_id", "gid", "sig_id", *tracked)
+    probes = probes.select("alert_id", F.explode(F.array(*[lookup(f.asDict()) for f in forms])).alias("key"))
+    named = wanted.select(key({name: F.col(name) for name in form}, F.col("gen"), F.col("sig"), F.col("leading")).alias("key"))
+    hit = probes.filter(F.col("key").isNotNull()).join(named, "key", "left_semi").select("alert_id").distinct()
+    return alerts.join(hit, "alert_id", "left_anti")
 
 
 def apply_limits(alerts: DataFrame, rules: DataFrame) -> DataFrame:

@@ -2,56 +2,102 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from flowlantern.functions.measures import MICROS, aligned
+from flowlantern.session import stored
 
 FIVE_TUPLE = ("src_ip", "dest_ip", "src_port", "dest_port", "proto")
 IDLE_SECONDS = 5  # fixed value: the sensor's idle timers and flow lifetime
+LIFE_SLICES = 256  # slices of a flow's longest life in which its records are sorted
+SUMS = ("packets", "bytes", "records")
 
 
-def _cut_by_life(records: DataFrame, idle: int, life: int, key: Sequence[str], time: str) -> DataFrame:
-    """Flows that also end at the first record more than ``life`` seconds after their start.
+def _next_cuts(moments: DataFrame, life: int, width: int) -> DataFrame:
+    """key, stretch, at, jump: where the flow after one that starts ``at`` would start; none for the last.
 
-    Where a flow is cut depends on the cut before, so the records of a key are passed through in order; equal
-    times are summed up first. Only the open flow is held, and Spark sorts, on disk if need be.
+    A range lookup without a range join: each moment asks for the first one more than ``life`` later. Questions and
+    moments meet in slices of ``width``; what a slice cannot answer is the first moment of the next slice that has any.
     """
-    idle, life = idle * MICROS, life * MICROS
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_: list = []
-
-        def rows(flows: list) -> pa.RecordBatch:
-            columns = zip(*flows) if flows else [()] * len(layout)
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, layout)], schema=layout)
-
-        for batch in batches:
-            over = []
-            for name, at, packets, size, count in zip(*(column.to_pylist() for column in batch.columns)):
-                if open_ and open_[0] == name and at - open_[2] <= idle and at - open_[1] <= life:
-                    open_[2:] = [at, open_[3] + (packets or 0), open_[4] + (size or 0), open_[5] + count]
-                else:
-                    over += [open_] if open_ else []
-                    open_ = [name, at, at, packets or 0, size or 0, count]
-            yield rows(over)
-        if open_:
-            yield rows([open_])
-
-    names = ("first_at", "last_at", "packets", "bytes", "records")
-    layout = pa.schema([("key", pa.string()), *[(name, pa.int64()) for name in names]])
-    moments = records.select(F.to_json(F.struct(*key)).alias("key"), F.unix_micros(time).alias("at"), "packets", "bytes")
-    sums = [F.sum(name).cast("bigint").alias(name) for name in ("packets", "bytes")]
-    moments = moments.groupBy("key", "at").agg(*sums, F.count(F.lit(1)).alias("records"))
-    ordered = moments.repartition("key").sortWithinPartitions("key", "at")
-    flows = ordered.mapInArrow(cut, "key string, " + ", ".join(f"{name} long" for name in names))
+    place = ["key", "stretch", "slice"]
+    ask = F.array(
+        F.struct(F.col("at").alias("t"), F.lit(None).cast("long").alias("asked")),
+        F.struct((F.col("at") + life + 1).alias("t"), F.col("at").alias("asked")),
+    )
+    both = moments.select("key", "stretch", F.inline(ask)).withColumn("slice", aligned(F.col("t"), width))
+    moment = F.when(F.col("asked").isNull(), F.col("t"))
+    # backwards in time, with equal times seen together, the least moment so far is the next one
+    ahead = Window.partitionBy(*place).orderBy(F.desc("t")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = both.withColumn("inside", F.min(moment).over(ahead))
+    later = Window.partitionBy("key", "stretch").orderBy(F.desc("slice")).rowsBetween(Window.unboundedPreceding, -1)
+    firsts = both.groupBy(*place).agg(F.min(moment).alias("first")).withColumn("later", F.min("first").over(later))
+    found = inside.where(F.col("asked").isNotNull()).join(firsts.drop("first"), place)
+    found = found.select("key", "stretch", F.col("asked").alias("at"), F.coalesce("inside", "later").alias("jump"))
+    return found.where(F.col("jump").isNotNull())
+
+
+def _true_cuts(moments: DataFrame, jumps: DataFrame, longest: int) -> DataFrame:
+    """key, stretch, cut: the starts of the flows of each stretch, of which there are at most ``longest`` + 1.
+
+    Which moment is a cut depends on the cut before. Jumps are composed with themselves until one spans the
+    longest stretch; from the starts, taking or leaving the jump of each length reaches all cuts.
+    """
+    levels = [jumps]
+    while 2 ** len(levels) <= longest:
+        second = levels[-1].select("key", "stretch", F.col("at").alias("jump"), F.col("jump").alias("beyond"))
+        doubled = levels[-1].join(second, ["key", "stretch", "jump"]).select("key", "stretch", "at", F.col("beyond").alias("jump"))
+        levels.append(stored(doubled, "jumps"))
+    cuts = moments.select("key", "stretch", F.col("stretch").alias("at")).distinct()
+    for level in levels:
+        step = cuts.join(level, ["key", "stretch", "at"], "left")
+        cuts = step.select("key", "stretch", F.explode(F.array_compact(F.array("at", "jump"))).alias("at"))
+    return cuts.withColumnRenamed("at", "cut")
+
+
+def _cut_by_life(records: DataFrame, slots: DataFrame, key: Sequence[str], idle: int, life: int, time: str) -> DataFrame:
+    """Flows that also end at the first record more than ``life`` after their start.
+
+    ``slots`` are the numbered time slots of ``assemble_flows``. Only stretches without idle time that last longer need
+    cuts. Their records are summed per moment; joins and windows work on key, stretch *and* slice or moment, so no
+    task holds a whole 5-tuple. What is sorted per stretch are slices, which its time span bounds.
+    """
+    width = max(1, life // LIFE_SLICES)
+    text = F.to_json(F.struct(*key)).alias("key")  # keeps the types and NULLs of the parts
+    stretches = slots.groupBy(*key, "number").agg(
+        F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), *[F.sum(c).alias(c) for c in SUMS]
+    )
+    long = F.coalesce(F.col("last_at") - F.col("first_at") > life, F.lit(False))
+    stretches = stored(stretches.select(text, "number", "first_at", "last_at", *SUMS, long.alias("long")), "stretches")
+    short = stretches.where(~F.col("long")).select("key", "first_at", "last_at", *SUMS)
+    cut = stretches.where("long").select("key", "number", F.col("first_at").alias("stretch"), "last_at")
+
+    at = F.unix_micros(time)
+    named = slots.select(text, "number", "slot").join(cut.select("key", "number", "stretch"), ["key", "number"])
+    rows = records.select(text, at.alias("at"), aligned(at, idle).alias("slot"), "packets", "bytes")
+    moments = rows.groupBy("key", "slot", "at").agg(
+        F.sum("packets").alias("packets"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("records")
+    )
+    moments = moments.join(named.select("key", "slot", "stretch"), ["key", "slot"]).drop("slot")
+    moments = stored(moments.withColumn("slice", aligned(F.col("at"), width)), "moments")
+
+    spans = cut.agg(F.max((F.col("last_at") - F.col("stretch")) / (life + 1))).first()[0]
+    cuts = _true_cuts(moments, stored(_next_cuts(moments, life, width), "jumps"), int(spans or 0))
+    # cuts are more than a life apart, so a slice has one at most
+    cuts = cuts.select("key", "stretch", aligned(F.col("cut"), width).alias("slice"), "cut")
+    place = ["key", "stretch", "slice"]
+    slices = moments.select(*place).distinct().join(cuts, place, "left")
+    earlier = Window.partitionBy("key", "stretch").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = slices.withColumn("before", F.max("cut").over(earlier))
+    start = F.when(F.col("at") >= F.col("cut"), F.col("cut")).otherwise(F.col("before"))
+    flows = moments.join(slices, place).groupBy("key", start.alias("first_at"))
+    flows = flows.agg(F.max("at").alias("last_at"), *[F.sum(c).alias(c) for c in SUMS])
     parts = T.StructType([T.StructField(name, records.schema[name].dataType, True) for name in key])
-    return flows.select(F.inline(F.array(F.from_json("key", parts))), *names)
+    return short.unionByName(flows).select(F.inline(F.array(F.from_json("key", parts))), "first_at", "last_at", *SUMS)
 
 
 def assemble_flows(
@@ -66,7 +112,8 @@ def assemble_flows(
 
     Records (``key``, ``time``, ``packets``, ``bytes``) that share a time slot of ``idle`` seconds belong
     together anyway, so they are summed up per slot first, before and after a shuffle on key *and* slot.
-    What is then sorted per key is bounded by the time span, not by the traffic of a hot key.
+    What is then sorted per key is bounded by the time span, not by the traffic of a hot key. Records without time
+    are one flow of their key without times.
     """
     width = idle * MICROS
     at = F.unix_micros(time)
@@ -85,14 +132,12 @@ def assemble_flows(
     gap = F.col("first_at") - F.lag("last_at").over(in_time)
     starts = slots.withColumn("starts", F.when(gap <= width, 0).otherwise(1))
     numbered = starts.withColumn("number", F.sum("starts").over(in_time))
-    merged = numbered.groupBy(*key, "number").agg(
-        F.min("first_at").alias("first_at"),
-        F.max("last_at").alias("last_at"),
-        F.sum("packets").alias("packets"),
-        F.sum("bytes").alias("bytes"),
-        F.sum("records").alias("records"),
-    )
-    flows = merged if max_life is None else _cut_by_life(records, idle, max_life, key, time)
+    if max_life is None:
+        flows = numbered.groupBy(*key, "number").agg(
+            F.min("first_at").alias("first_at"), F.max("last_at").alias("last_at"), *[F.sum(c).alias(c) for c in SUMS]
+        )
+    else:
+        flows = _cut_by_life(records, stored(numbered, "slots"), key, width, max_life * MICROS, time)
     return flows.select(
         *key,
         F.timestamp_micros("first_at").alias("start_time"),

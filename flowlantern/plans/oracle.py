@@ -129,15 +129,13 @@ _CLOCK_ZERO = (
 )
 _COUNTERS = ("pkts_toserver", "pkts_toclient", "bytes_toserver", "bytes_toclient")
 _ZERO = ", ".join(f"coalesce({name}, 0) AS {name}" for name in ("severity", *_COUNTERS))
-_HASH = (
-    "sha256(flow_id || '|' || eve_type || '|' || eve_time || '|' || src_ip || '|' || dest_ip || '|'"
-    " || CAST(src_port AS STRING) || '|' || CAST(dest_port AS STRING) || '|' || proto"
-    + "".join(
-        f" || '|' || coalesce(CAST({name} AS STRING), '')"
-        for name in ("tx_id", "gid", "signature_id", "category", "severity", *_COUNTERS)
-    )
-    + ")"
+_HASHED = (
+    "flow_id", "eve_type", "eve_time", "src_ip", "dest_ip", "src_port", "dest_port", "proto", "tx_id", "gid",
+    "signature_id", "category", "severity", *_COUNTERS,
 )
+_HASH = "sha256(" + " || ".join(
+    f"coalesce(CAST(length(CAST({name} AS VARCHAR)) AS VARCHAR) || ':' || CAST({name} AS VARCHAR), '-')" for name in _HASHED
+) + ")"
 _TRAFFIC = (
     f"SELECT {_HASH} AS hash_id, flow_id, src_ip, dest_ip, src_port, dest_port, proto, {_CLOCK_ZERO.format('ts')}, {_ZERO}"
 )
@@ -355,6 +353,16 @@ ORACLE: dict[str, str] = {
     + f"SELECT {_DIRECTION.format('src_ip', 'dst_ip')} AS direction, count(*) AS flows,"
     " CAST(sum(bytes) AS BIGINT) AS bytes FROM flows GROUP BY 1",
     "event_direction": _with(**_EVE) + f"SELECT flow_id, {_DIRECTION.format('src_ip', 'dest_ip')} AS direction FROM eve",
+    "flow_direction_lists": _with(
+        ends=f"SELECT {d.MIXED_ENDS['a']} AS a, {d.MIXED_ENDS['b']} AS b, l_suppkey % 5 AS s6, l_partkey % 100 AS s6h,"
+        " l_partkey % 7 AS v6, l_suppkey % 250 + 1 AS s4, l_suppkey % 2 AS net, l_partkey % 3 AS o FROM lineitem",
+        # The home lists written out by hand, for the forms that the ends of a flow take.
+        homes="SELECT a, b, CASE WHEN a IS NULL OR a = 'sensor' THEN NULL WHEN v6 = 0 THEN s6 <> 3 OR s6h BETWEEN 40 AND 59"
+        " WHEN net = 0 THEN s4 BETWEEN 128 AND 191 ELSE s4 NOT BETWEEN 16 AND 31 END AS ha,"
+        " CASE o WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS hb FROM ends",
+    )
+    + "SELECT CASE WHEN ha AND hb THEN 'internal' WHEN ha AND NOT hb THEN 'outbound' WHEN NOT ha AND hb THEN 'inbound'"
+    " WHEN NOT ha AND NOT hb THEN 'external' END AS direction, count(*) AS flows, count(DISTINCT a) AS sources FROM homes GROUP BY 1",
     "http_port_flows": _with(**_FLOWS) + "SELECT * FROM flows WHERE dst_port IN (80, 443)",
     "eve_flatten": _with(**_EVE)
     + "SELECT eve_type AS event_type, eve_time AS timestamp, flow_id, src_ip, dest_ip, src_port, dest_port, proto, us AS ts,"

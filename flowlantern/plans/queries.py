@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowlantern.functions.net import direction, in_port_group
+from flowlantern.functions.net import direction, direction_by_networks, in_port_group
 from flowlantern.operators import actions, alerts, catalogues, flows, ids, rules, sessions
 from flowlantern.plans import medallion
 from flowlantern.schemas import BRONZE_NARROW
@@ -207,6 +207,21 @@ def flow_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labelled.groupBy("direction").agg(F.count(F.lit(1)).alias("flows"), F.sum("bytes").alias("bytes"))
 
 
+# A home of both families with holes, and a part of a hole that belongs to it again.
+HOME_LISTS = (
+    "[2001:db8::/32, ![2001:db8:3::/48, !2001:db8:3::40/123], [192.168.30.0/24, !192.168.30.0/25, !192.168.30.192/26],"
+    " 192.168.40.0/24, !192.168.40.16/28]"
+)
+
+
+@query
+def flow_direction_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows between ends of both address families, by the side of a home list on which they are."""
+    ends = derived.table(spark, sf_dir, "lineitem").select(*[F.expr(text).alias(name) for name, text in derived.MIXED_ENDS.items()])
+    labelled = ends.withColumn("direction", direction_by_networks("a", "b", HOME_LISTS))
+    return labelled.groupBy("direction").agg(F.count(F.lit(1)).alias("flows"), F.countDistinct("a").alias("sources"))
+
+
 @query
 def event_direction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).select("flow_id", direction("src_ip", "dest_ip").alias("direction"))

@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # AQE carries the skew handling and the partition coalescing every operator relies on.
 SESSION_CONF = {
@@ -55,3 +55,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
         root = tempfile.mkdtemp(prefix="flowlantern-")
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """``table`` written below ``spark.checkpoint.dir`` and read back: what follows starts from the files, so that
+    neither a lost executor nor a second use runs its plan again."""
+    path = shared_dir(table.sparkSession, name)
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)

@@ -137,6 +137,14 @@ MIXED = {
     "DstVlan": "CASE WHEN l_suppkey % 3 > 0 THEN 30 END",
 }
 
+# Ends of flows in both address families, some of them no addresses.
+MIXED_ENDS = {
+    "a": "CASE WHEN l_linenumber = 7 THEN 'sensor' WHEN l_partkey % 7 = 0 THEN '2001:db8:' || CAST(l_suppkey % 5 AS STRING)"
+    " || '::' || CAST(l_partkey % 100 AS STRING) ELSE '192.168.' || CAST(30 + 10 * (l_suppkey % 2) AS STRING) || '.'"
+    " || CAST(l_suppkey % 250 + 1 AS STRING) END",
+    "b": "CASE l_partkey % 3 WHEN 0 THEN '::ffff:192.168.40.9' WHEN 1 THEN '2001:DB9:0:0:0:0:0:1' END",
+}
+
 
 def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = [F.expr(text).alias(name) for name, text in MIXED.items()]

@@ -3,12 +3,13 @@
 import datetime as dt
 import ipaddress
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR, plan, rows
-from flowlantern.functions.net import direction, in_cidr, in_port_group, ipv4_number
+from flowlantern.functions.net import address_bytes, address_spans, direction, in_cidr, in_networks, in_port_group, ipv4_number
 from flowlantern.operators import alerts, catalogues
 from flowlantern.plans import queries
 from flowlantern.sources import readers
@@ -54,6 +55,68 @@ def test_direction_and_ports(spark):
     assert [row[0] for row in ports.select(in_port_group("p")).collect()] == [True, True, False]
 
 
+TEXTS = [
+    "::", "::1", "1::", "fe80::1", "2001:db8::ff00:42:8329", "2001:0DB8:0:0:0:ff00:0042:8329", "::ffff:1.2.3.4", "64:ff9b::192.0.2.33", "1.2.3.4",
+    "0.0.0.0", "255.255.255.255", "1:2:3:4:5:6:7:8", "1:2:3:4:5:6:7::", "::2:3:4:5:6:7:8", "1:2:3:4:5:6:1.2.3.4", "", None, "x", "1:2", "1:::2",
+    "::1::2", ":1:2:3:4:5:6:7", "1:2:3:4:5:6:7:", "12345::", "1:2:3:4:5:6:7:8:9", "1:2:3:4:5:6:7:8::", "fe80::1%eth0", "::1.2.3.256", "1.2.3", "::g", ":",
+]
+
+
+def test_address_bytes_against_the_library(spark):
+    def wanted(text):
+        try:
+            address = ipaddress.ip_address(text or "")
+        except ValueError:
+            return None
+        if "%" in text:
+            return None
+        return int(address).to_bytes(16, "big") if address.version == 6 else b"\0" * 10 + b"\xff" * 2 + address.packed
+
+    found = spark.createDataFrame([(t,) for t in TEXTS], "a string").select("a", address_bytes("a").alias("b")).collect()
+    assert {r.a: None if r.b is None else bytes(r.b) for r in found} == {t: wanted(t) for t in TEXTS}
+
+
+def test_random_addresses(spark):
+    rng = random.Random(6)
+    numbers = [rng.getrandbits(128) & rng.getrandbits(128) & rng.getrandbits(128) & sum(0xFFFF << 16 * i for i in range(8) if rng.random() < 0.6) for _ in range(300)]
+    texts = [t for n in numbers for t in (str(ipaddress.IPv6Address(n)), ipaddress.IPv6Address(n).exploded.upper())]
+    found = spark.createDataFrame([(t,) for t in texts], "a string").select(address_bytes("a")).collect()
+    assert [int.from_bytes(r[0], "big") for r in found] == [n for n in numbers for _ in (0, 1)]
+
+
+@pytest.mark.parametrize(
+    "networks",
+    [
+        "10.0.0.0/8", "any", "!any", "[]", "!10.0.0.0/8", "[10.0.0.0/8, !10.1.0.0/16]", "[10.0.0.0/8, ![10.1.0.0/16, !10.1.2.0/24]]",
+        "[!10.0.0.0/8, !2001:db8::/32]", "[2001:db8::/32, 10.0.0.0/9, 10.128.0.0/9]", "[[10.1.0.0/16, 10.3.0.0/16], ![10.3.3.3], fe80::/10]",
+    ],
+)
+def test_network_lists(spark, networks):
+    def named(text, at):
+        text = text.strip()
+        if text.startswith("!"):
+            return not named(text[1:], at)
+        if not text.startswith("["):
+            net = ipaddress.ip_network("::/0" if text == "any" else text)
+            return text == "any" or (at.version == net.version and at in net)
+        items = [named_item for named_item in re.findall(r"!?\[(?:[^\[\]]|\[[^\]]*\])*\]|[^,\[\]\s]+", text[1:-1])]
+        yes, no = [i for i in items if i[0] != "!"], [i for i in items if i[0] == "!"]
+        return bool(items) and (not yes or any(named(i, at) for i in yes)) and all(named(i, at) for i in no)
+
+    texts = [f"10.{a}.{b}.3" for a in (0, 1, 2, 3, 127, 128, 255) for b in (0, 2, 3)] + ["11.0.0.0", "9.255.255.255", "10.0.0.0", "10.255.255.255"]
+    texts += ["2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", "2001:db9::", "fe80::1", "febf::", "fec0::", "::"]
+    found = spark.createDataFrame([(t,) for t in [*texts, "x", None]], "a string").select("a", in_networks("a", networks).alias("b")).collect()
+    assert {r.a: r.b for r in found} == {t: named(networks, ipaddress.ip_address(t)) for t in texts} | {"x": None, None: None}
+
+
+def test_spans_are_disjoint_and_sorted():
+    spans = address_spans("[10.0.0.0/8, 10.1.0.0/16, 11.0.0.0/8, !10.2.0.0/16, ::/127]")
+    assert len(spans) == 3 and all(a[1] + 1 < b[0] for a, b in zip(spans, spans[1:]))
+    for text in ("[10.0.0.0/8", "10.0.0.0/8]", "[[10.0.0.0/8]", "10.0.0.0/40", "home"):
+        with pytest.raises(ValueError):
+            address_spans(text)
+
+
 def lines(spark, *texts):
     return spark.createDataFrame(list(enumerate(texts)), "line_no long, line string")
 
@@ -177,6 +240,32 @@ def test_suppress_by_generator_any_and_lists(spark, line, left):
     assert rows(found, "alert_id") == [(str(i),) for i in left]
 
 
+def test_suppress_by_networks_of_both_families(spark):
+    table = spark.createDataFrame(
+        [(str(i), 1, 5, a, "10.0.0.1") for i, a in enumerate(["2001:db8::1", "2001:db8:1::1", "2001:DB8:0:0::9", "10.9.9.9", "::ffff:10.9.9.9", "host", None])],
+        "alert_id string, gid long, sig_id long, src_ip string, dest_ip string",
+    )
+
+    def left(*texts):
+        return {int(r[0]) for r in rows(alerts.suppress(table, catalogues.threshold_dim(lines(spark, *texts))), "alert_id")}
+
+    assert left("suppress gen_id 1, sig_id 5, track by_src, ip 2001:db8::/48") == {1, 3, 4, 5, 6}
+    assert left("suppress gen_id 1, sig_id 5, track by_src, ip 2001:db8::/47") == {3, 4, 5, 6}
+    assert left("suppress gen_id 1, sig_id 5, track by_src, ip ::/0") == {5, 6}
+    assert left("suppress gen_id 1, sig_id 5, track by_src, ip 0.0.0.0/0") == {0, 1, 2, 5, 6}
+    assert left("suppress gen_id 0, sig_id 0, track by_src, ip [10.9.9.8/31, 2001:db8:1::1]") == {0, 2, 5, 6}
+    assert left("suppress gen_id 1, sig_id 5, track by_src, ip 10.9.9.9/40") == set(range(7))
+    assert left("suppress gen_id 1, sig_id 5, track by_dst, ip 10.0.0.0/29") == set()
+    assert left("suppress gen_id 1, sig_id 6") == set(range(7)) and left() == set(range(7))
+
+
+def test_suppress_joins_by_equality_only(spark):
+    table = spark.createDataFrame([("1", 1, 5, "10.0.0.1", "b")], "alert_id string, gid long, sig_id long, src_ip string, dest_ip string")
+    rules = catalogues.threshold_dim(lines(spark, "suppress gen_id 0, sig_id 0, track by_src, ip [10.0.0.0/24, fe80::/10]", "suppress gen_id 1, sig_id 0"))
+    text = plan(alerts.suppress(table, rules))
+    assert "NestedLoop" not in text and "Cartesian" not in text
+
+
 def test_doubled_catalogue_keys_do_not_multiply(spark):
     table = spark.createDataFrame([("x", "Text"), ("y", "Other")], "alert_id string, category string")
     dim = catalogues.classification_dim(

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_DIR, plan, rows
+from flowlantern.functions.measures import row_hash
 from flowlantern.operators import ids
 from flowlantern.plans import queries
 from flowlantern.schemas import TRAFFIC_COLUMNS
@@ -98,6 +99,12 @@ def test_hash_tells_events_of_one_flow_apart(spark, tmp_path):
     assert {len(row[0]) for row in traffic.select("hash_id").collect()} == {64}
 
 
+def test_hash_is_taken_from_one_reading_only(spark):
+    parts = [("a|b", "c"), ("a", "b|c"), (None, "c"), ("", "c"), ("-", "c"), ("c", None), ("1:c", ""), ("", "1:c"), ("é🙂", "2:")]
+    found = spark.createDataFrame(parts, "a string, b string").select(row_hash("a", "b")).distinct().count()
+    assert found == len(parts)
+
+
 def test_two_alerts_of_one_packet_stay_apart(spark, tmp_path):
     grave = {"severity": 1, "signature_id": 100, "gid": 1, "category": "c"}
     lines = [event(alert=grave), event(alert={**grave, "severity": 3, "signature_id": 200}), event(alert=grave)]

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import SF_DIR, rows
+from conftest import SF_DIR, plan, rows
 from flowlantern.operators import flows, ids, sessions
 from flowlantern.plans import queries
 from flowlantern.schemas import EVE_FILE
@@ -296,6 +296,38 @@ def test_flow_life_in_batch_equals_naive(spark):
     assert rows(found, "src_ip", "start_time", "end_time", "packets", "records") == sorted(wanted, key=repr)
 
 
+@pytest.mark.parametrize(("idle", "life", "slices"), [(5, 12, 4), (50, 3, 256), (7, 7, 1), (1000, 90, 8)])
+def test_flow_life_of_a_hot_key_equals_naive(spark, monkeypatch, idle, life, slices):
+    monkeypatch.setattr(sessions, "LIFE_SLICES", slices)
+    rng = random.Random(idle)
+    table = [record(rng.random() * 900, "hot" if i % 3 else rng.choice("abcdefgh"), packets=i) for i in range(900)]
+    table += [record(x, "even") for x in range(0, 400, life)] + [record(x, "odd") for x in range(0, 400, life + 1)]
+    found = sessions.assemble_flows(spark.createDataFrame(table, RECORDS), idle, max_life=life)
+    wanted = []
+    for name in sorted({row[0] for row in table}):
+        mine = [row for row in table if row[0] == name]
+        for part in naive_flows({row[5] for row in mine}, dt.timedelta(seconds=idle), dt.timedelta(seconds=life)):
+            own = [row for row in mine if part[0] <= row[5] <= part[-1]]
+            wanted.append((name, part[0], part[-1], sum(row[6] for row in own), len(own)))
+    assert rows(found, "src_ip", "start_time", "end_time", "packets", "records") == sorted(wanted, key=repr)
+
+
+def test_flow_life_of_odd_records(spark):
+    whole = [record(1, "a"), record(500, "a")]
+    odd = [(*row[:5], at, *row[6:]) for row in whole for at in (row[5], None)]
+    odd += [(None, *row[1:]) for row in odd]
+    found = sessions.assemble_flows(spark.createDataFrame(odd, RECORDS), 900, max_life=12)
+    assert sorted(r[0] for r in rows(found, "records")) == [1, 1, 1, 1, 2, 2]
+    assert found.filter("src_ip IS NULL").count() == 3 and dict(found.dtypes)["src_port"] == "int"
+    assert sessions.assemble_flows(spark.createDataFrame([], RECORDS), 5, max_life=12).count() == 0
+
+
+def test_flow_life_runs_without_python_and_splits_a_key(spark):
+    found = sessions.assemble_flows(spark.createDataFrame([record(i, "a") for i in range(100)], RECORDS), 5, max_life=12)
+    text = plan(found)
+    assert "Arrow" not in text and "Python" not in text and "slice" in text
+
+
 def test_idle_stream_equals_batch(spark, tmp_path):
     rng = random.Random(3)
     table = [record(rng.random() * 300, rng.choice("abc"), packets=i) for i in range(100)]
