@@ -40,8 +40,10 @@ def ingest_events(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def ingest_log(spark: SparkSession, args: argparse.Namespace) -> None:
-    """For the log in use; ``ingest-events`` is for rotated files."""
-    jobs.ingest_log(spark, args.log, args.table, args.rejected)
+    """For logs in use, whose positions are kept; ``ingest-events`` is for closed files."""
+    spark.streams.addListener(jobs.HealthListener())
+    query = jobs.ingest_log(spark, args.logs, args.table, args.checkpoint, args.rejected, args.pattern, args.trigger)
+    print(json.dumps(jobs.progress(query)))
 
 
 def dashboard(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -70,7 +72,7 @@ def parser() -> argparse.ArgumentParser:
     command(refine, "bronze", "silver", "gold", dedupe="row", rows=10)
     command(audit, "bronze")
     command(ingest_events, "logs", "table", "checkpoint", rejected=None, trigger=None, max_files=None)
-    command(ingest_log, "log", "table", rejected=None)
+    command(ingest_log, "logs", "table", "checkpoint", rejected=None, pattern="*", trigger=None)
     command(dashboard, "trafego", "classificados", "out")
     return top
 

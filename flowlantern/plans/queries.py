@@ -12,7 +12,7 @@ from flowlantern.functions.net import direction, direction_by_networks, in_port_
 from flowlantern.operators import actions, alerts, catalogues, flows, ids, rules, sessions
 from flowlantern.plans import medallion
 from flowlantern.schemas import BRONZE_NARROW
-from flowlantern.session import shared_dir
+from flowlantern.session import shared_dir, state_store
 from flowlantern.sources import derived, readers, writers
 from flowlantern.streaming import jobs, stateful
 
@@ -315,13 +315,15 @@ def trafego_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log taken in, appended to and taken in again."""
+    """Logs taken in while they grow: three deliveries, the files renamed by rotation after the second."""
     root = shared_dir(spark, "growing")
     lines = derived.eve_lines(derived.table(spark, sf_dir, "events"), paired=True)
-    half = F.crc32("value") % 2 == 0
-    for part in (half, ~half):
-        lines.filter(part).write.mode("append").text(f"{root}/log")
-        jobs.ingest_log(spark, f"{root}/log", f"{root}/table")
+    part = F.crc32("value") % 3
+    for number in range(3):
+        if number == 2:
+            derived.rotate(f"{root}/log")
+        derived.append_lines(lines.filter(part == number), f"{root}/log")
+        jobs.ingest_log(spark, f"{root}/log", f"{root}/table", f"{root}/checkpoint")
     return readers.read_table(spark, f"{root}/table").drop("event_date")
 
 
@@ -546,15 +548,11 @@ def flow_life(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _assembled(sessions.assemble_flows(records, SESSION_IDLE * 4, max_life=FLOW_LIFE))
 
 
-def _buckets(spark: SparkSession) -> int:
-    """State buckets that give every shuffle partition several to work on."""
-    return 16 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _run(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Takes a stream through the exactly-once parquet sink and returns the stored rows."""
     root = shared_dir(spark, name)
-    jobs.finish(jobs.write_stream(stream, f"{root}/table", f"{root}/checkpoint"))
+    with state_store(spark):
+        jobs.finish(jobs.write_stream(stream, f"{root}/table", f"{root}/checkpoint"))
     return readers.read_table(spark, f"{root}/table")
 
 
@@ -638,7 +636,7 @@ def flow_session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flow_life_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows cut by idle time and by age, as far as they were over when the stream ended."""
     records = flow_records(_in_batches(spark, sf_dir))
-    over = stateful.assemble_flows_stream(records, SESSION_IDLE * 4, FLOW_LIFE, late=STREAM_LATE, buckets=_buckets(spark))
+    over = stateful.assemble_flows_stream(records, SESSION_IDLE * 4, FLOW_LIFE, late=STREAM_LATE)
     return _assembled(_run(spark, over, "life"))
 
 
@@ -647,6 +645,6 @@ def rate_limit_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two alerts per signature, source and period; a period starts with its first alert."""
     lines = derived.eve_lines(_in_batches(spark, sf_dir))
     limited = stateful.rate_limit_stream(
-        alerts.alert_table(ids.parse_eve(lines)), "limit", 2, LIMIT_SECONDS, "by_src", STREAM_LATE, _buckets(spark)
+        alerts.alert_table(ids.parse_eve(lines)), "limit", 2, LIMIT_SECONDS, "by_src", STREAM_LATE
     )
     return _times(_run(spark, limited, "limit"), _micros, "ts")

@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,6 +44,19 @@ def build_session(app: str = "flowlantern", master: str | None = None, **conf: s
     return builder.getOrCreate()
 
 
+@contextmanager
+def state_store(spark: SparkSession) -> Iterator[None]:
+    """STREAM_CONF for the streams that start inside, in a session that was built without it."""
+    before = {name: spark.conf.get(name, None) for name in STREAM_CONF}
+    try:
+        for name, value in STREAM_CONF.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for ``name`` below ``spark.checkpoint.dir``.
 

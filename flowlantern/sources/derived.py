@@ -7,6 +7,11 @@ a function differently there are two texts. Nothing depends on the session time
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -161,9 +166,9 @@ EVENT_MICROS = (
 EVENT_TEXT = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS\") || '+0000'"
 
 CATEGORIES = [
-    "A Network Trojan was detected",
-    "Detection of a Network Scan",
-    "An attempted login using a suspicious username was detected",
+    "Traffic of known malware",
+    "Sweep over many ports",
+    "Login under an odd account name",
 ]
 EVE = {
     "flow_id": "CAST(event_id AS STRING)",
@@ -327,3 +332,35 @@ def action_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     end = F.when(F.col("doc_id") % 25 == 0, "").otherwise("]")
     body = F.when(F.col("doc_id") % 25 == 1, F.concat(F.lit("{"), named, F.lit("}")))
     return grouped.select("doc_id", body.otherwise(F.concat(F.lit("["), listed, end)).alias("body"))
+
+
+# --- logs that grow ------------------------------------------------------------------------------
+
+
+def _store(folder: str) -> tuple[fs.FileSystem, str]:
+    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+
+
+def append_lines(lines: DataFrame, folder: str, files: int = 4) -> None:
+    """Appends ``value`` to the logs of ``files`` sensors, each written by a task of its own."""
+    store, root = _store(folder)
+    store.create_dir(root)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = _store(folder)
+        count = 0
+        with store.open_append_stream(f"{root}/eve-{TaskContext.get().partitionId()}.json") as log:
+            for batch in batches:
+                log.write("".join(f"{line}\n" for line in batch["value"].to_pylist()).encode())
+                count += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([count])], names=["lines"])
+
+    lines.select("value").repartition(files, F.crc32("value")).mapInArrow(write, "lines long").agg(F.sum("lines")).collect()
+
+
+def rotate(folder: str) -> None:
+    """Renames the logs in use, as rotation does; the sensors start new files."""
+    store, root = _store(folder)
+    for info in store.get_file_info(fs.FileSelector(root)):
+        if info.base_name.endswith(".json"):
+            store.move(info.path, f"{info.path}.1")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from flowlantern.operators import flows, ids
-from flowlantern.sources import readers, writers
+from flowlantern.sources import growing, readers, writers
 
 BatchWriter = Callable[[DataFrame, int], None]
 
@@ -159,19 +159,22 @@ def insert_new(
     once.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
 
 
-def ingest_log(spark: SparkSession, path: str, table: str, rejected: str | None = None) -> None:
-    """Takes the events of a log that is still being written to into the traffic table, each once.
+def ingest_log(
+    spark: SparkSession,
+    folder: str,
+    table: str,
+    checkpoint: str,
+    rejected: str | None = None,
+    pattern: str = "*",
+    trigger: str | None = None,
+) -> StreamingQuery:
+    """Takes the events of logs that are still being written to into the traffic table, each once.
 
-    The whole log is read; what is stored already is left out by its key, so the job may run as often as wanted. A
-    file stream (``run_eve_ingest``) takes each file once and hence suits closed, rotated files only.
+    Only what was added since the last run is read: the checkpoint holds a position for every file, rotated ones
+    included (``sources.growing``). Without ``trigger`` it takes what is there and stops, so it may run as often as wanted.
     """
-    events = readers.read_eve(spark, path).persist()
-    try:
-        insert_new(ids.to_trafego(events), table, dedupe=ids.dedupe_trafego)
-        if rejected:
-            ids.rejected_events(events).write.mode("overwrite").parquet(rejected)
-    finally:
-        events.unpersist()
+    events = ids.parse_eve(growing.read_growing_log(spark, folder, pattern))
+    return finish(run_eve_ingest(events, table, checkpoint, rejected, trigger))
 
 
 def insert_new_jdbc(

@@ -1,11 +1,10 @@
 """Stateful streams: anchored rate limits and flow assembly.
 
-A call into Python costs milliseconds, so keys are not handed over one by one: they are hashed into
-buckets, and one call serves a bucket. Its state is a list of the bucket's open entries and of the rows
-the watermark has not passed yet: rows are applied in the order of their times, once no earlier one can
-come, so the result does not depend on how they were delivered. A bucket's rows within the lateness are
-sorted in memory; the intake option of the source bounds them. The number of buckets is part of the
-checkpoint: keep it when restarting a query.
+Each key has a state of its own (``transformWithState``): its open entry, the rows that the watermark has not passed yet
+as a list, and one event-time timer for the next of them to come due or the entry to end. Rows are applied in the order
+of their times, once no earlier one can come, so the result does not depend on how they were delivered. The state of a
+key is touched only when rows or the timer of that key arrive, and the list is read back only when something in it
+is due. The state store has to be RocksDB (``session.STREAM_CONF``).
 """
 
 from __future__ import annotations
@@ -14,12 +13,11 @@ import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from flowlantern.functions.measures import MICROS
 from flowlantern.operators.alerts import TRACKERS
@@ -28,18 +26,13 @@ from flowlantern.operators.sessions import FIVE_TUPLE, IDLE_SECONDS
 # The steps below travel to the executors as code, so these need not have the package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-BUCKETS = 1024
 # A row until its time has come: microseconds, two numbers and a text that the handlers read.
 WAITING = ["at", "a", "b", "label"]
-STATE = (
-    "keys array<string>, numbers array<long>, waiting array<string>, waiting_at array<long>,"
-    " waiting_a array<long>, waiting_b array<long>, waiting_label array<string>"
-)
 
-# Open entries of a bucket: numbers per key.
-Open = dict[str, tuple[int, ...]]
-# (key, its sorted rows, open entry or None) -> finished rows, entry to keep
-Handler = Callable[[str, pd.DataFrame, tuple[int, ...] | None], tuple[list[tuple], tuple[int, ...]]]
+Waiting = tuple[int, int, int, str]
+Entry = tuple[int, ...]
+# (sorted rows of a key, its open entry or None) -> finished rows, entry to keep
+Handler = Callable[[list[Waiting], Entry | None], tuple[list[tuple], Entry]]
 
 
 def expiry_ms(micros: int) -> int:
@@ -47,69 +40,101 @@ def expiry_ms(micros: int) -> int:
     return -(-(micros + 1) // 1000)
 
 
-def _keyed(table: DataFrame, key: Sequence[str], buckets: int) -> DataFrame:
-    # Keys travel as JSON text, which keeps their types and NULLs without Python knowing them.
-    text = F.to_json(F.struct(*key))
-    return table.withColumn("key", text).withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
+class InOrder(StatefulProcessor):
+    """Applies ``arrive`` to the rows of a key in the order of their times and ``leave`` to an entry that is over.
+
+    Entries are ``width`` numbers and over when the watermark is past ``ends_at``; results are rows of ``names`` behind
+    the key.
+    """
 
+    def __init__(
+        self,
+        names: list[str],
+        width: int,
+        arrive: Handler,
+        ends_at: Callable[[Entry], int],
+        leave: Callable[[Entry], list[tuple]],
+    ) -> None:
+        self.width, self.row = width, Row("key", *names)
+        self.arrive, self.ends_at, self.leave = arrive, ends_at, leave
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        numbers = ", ".join(f"n{i} bigint" for i in range(self.width))
+        # when the first waiting row is due and the timer rings, in milliseconds
+        self.entry = handle.getValueState("entry", f"due bigint, timer bigint, {numbers}")
+        self.waiting = handle.getListState("waiting", "at bigint, a bigint, b bigint, label string")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        fresh = [(row.at, row.a, row.b, row.label) for row in rows]
+        yield from self._step(key[0], fresh, timerValues.getCurrentWatermarkInMs(), False)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._step(key[0], [], timerValues.getCurrentWatermarkInMs(), True)
+
+    def _step(self, key: str, rows: list[Waiting], watermark: int, rang: bool) -> Iterator[Row]:
+        known = self.entry.get()
+        due, timer, *numbers = known or [None] * (2 + self.width)
+        entry = None if numbers[0] is None else tuple(numbers)
+        held = due is not None and due < watermark
+        if held:
+            rows = [tuple(row) for row in self.waiting.get()] + rows
+        kept = [row for row in rows if row[0] // 1000 >= watermark]
+        if held:
+            self.waiting.put(kept) if kept else self.waiting.clear()
+        elif kept:
+            self.waiting.appendList(kept)
+        dues = [row[0] // 1000 for row in kept] + ([] if held or due is None else [due])
+        due = min(dues, default=None)
 
-def _per_bucket(
+        done: list[tuple] = []
+        if len(kept) < len(rows):
+            passed = sorted((row for row in rows if row[0] // 1000 < watermark), key=_place)
+            done, entry = self.arrive(passed, entry)
+        if entry is not None and self.ends_at(entry) < watermark:
+            done, entry = done + self.leave(entry), None
+
+        ring = min([x for x in (due, None if entry is None else self.ends_at(entry)) if x is not None], default=None)
+        if rang:
+            timer = None  # it is gone
+        if timer is not None and timer != ring:
+            self.handle.deleteTimer(timer)
+        if ring is not None and timer != ring:
+            self.handle.registerTimer(ring)
+        if ring is not None:
+            self.entry.update((due, ring, *(entry or [None] * self.width)))
+        elif known:
+            self.entry.clear()
+        for row in done:
+            yield self.row(key, *row)
+
+
+def _place(row: Waiting) -> tuple:
+    """Rows of a moment stand in the order of their texts."""
+    return row[0], row[3] or ""
+
+
+def _in_order(
     rows: DataFrame,
-    order: Sequence[str],
     output: str,
     width: int,
     arrive: Handler,
-    ends_at: Callable[[tuple[int, ...]], int],
-    leave: Callable[[str, tuple[int, ...]], list[tuple]],
+    ends_at: Callable[[Entry], int],
+    leave: Callable[[Entry], list[tuple]],
 ) -> DataFrame:
-    """Runs ``arrive`` for each key with new rows and ``leave`` for each entry the watermark has passed.
-
-    ``rows`` has ``bucket``, ``key`` and ``WAITING``; entries hold ``width`` numbers.
-    """
+    """``key`` and ``output`` of the rows (``key``, the watermarked time, ``WAITING``) as their times pass."""
     names = [field.split()[0] for field in output.split(", ")]
-    columns = ["key", *WAITING]
-
-    def step(_: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        entries: Open = {}
-        held = []
-        if state.exists:
-            keys, numbers, *waiting = state.get
-            entries = {key: tuple(numbers[i * width : (i + 1) * width]) for i, key in enumerate(keys)}
-            held.append(pd.DataFrame(dict(zip(columns, map(list, waiting)))))
-        done: list[tuple] = []
-        if not state.hasTimedOut:
-            held += [chunk[columns] for chunk in chunks]
-        watermark = state.getCurrentWatermarkMs()
-        batch = pd.concat([part for part in held if len(part)], ignore_index=True) if any(map(len, held)) else None
-        if batch is not None:
-            passed = batch["at"] // 1000 < watermark
-            batch, rest = batch[passed], batch[~passed]
-            batch = batch.sort_values(["key", *order], kind="stable", ignore_index=True)
-            keys = batch["key"].to_numpy()
-            edges = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1], [True]))) if len(keys) else []
-            for first, end in zip(edges[:-1], edges[1:]):
-                finished, entries[keys[first]] = arrive(keys[first], batch.iloc[first:end], entries.get(keys[first]))
-                done += finished
-        else:
-            rest = pd.DataFrame({name: [] for name in columns})
-        for key in [key for key, entry in entries.items() if ends_at(entry) < watermark]:
-            done += leave(key, entries.pop(key))
-        if entries or len(rest):
-            numbers = [int(number) for entry in entries.values() for number in entry]
-            kept = [[None if v is None else kind(v) for v in rest[name]] for name, kind in zip(columns, (str, int, int, int, str))]
-            state.update((list(entries), numbers, *kept))
-            due = [*map(ends_at, entries.values()), *(int(at) // 1000 for at in rest["at"])]
-            state.setTimeoutTimestamp(max(min(due), watermark + 1))
-        elif state.exists:
-            state.remove()
-        if done:
-            yield pd.DataFrame(done, columns=names)
-
-    return rows.groupBy("bucket").applyInPandasWithState(
-        step, output, STATE, "append", GroupStateTimeout.EventTimeTimeout
+    step = InOrder(names, width, arrive, ends_at, leave)
+    return rows.groupBy("key").transformWithState(
+        statefulProcessor=step, outputStructType=f"key string, {output}", outputMode="Append", timeMode="EventTime"
     )
 
 
+def _keyed(table: DataFrame, key: Sequence[str]) -> DataFrame:
+    # Keys travel as JSON text, which keeps their types and NULLs without Python knowing them.
+    return table.withColumn("key", F.to_json(F.struct(*key)))
+
+
 def _unpacked(found: DataFrame, table: DataFrame, key: Sequence[str]) -> DataFrame:
     layout = T.StructType([T.StructField(name, table.schema[name].dataType, True) for name in key])
     rest = [name for name in found.columns if name != "key"]
@@ -149,7 +174,6 @@ def rate_limit_stream(
     seconds: int = 60,
     track: str = "by_src",
     late: str = "10 minutes",
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Alerts left after a limit whose periods start with the first alert (``sig_id``, address, ``ts``,
     ``alert_id``), once the watermark has passed them. State per signature and address is two numbers, dropped
@@ -159,24 +183,17 @@ def rate_limit_stream(
     key = ["sig_id", TRACKERS[track]]
     period = seconds * MICROS
 
-    def arrive(name: str, rows: pd.DataFrame, entry: tuple[int, ...] | None) -> tuple[list[tuple], tuple[int, ...]]:
-        times = rows["at"].to_numpy()
+    def arrive(rows: list[Waiting], entry: Entry | None) -> tuple[list[tuple], Entry]:
+        times = np.array([row[0] for row in rows])
         kept, start, count = limit_positions(times, *(entry or (None, 0)), kind, n, period)
-        idents = rows["label"].to_numpy()
-        return [(name, int(at), ident) for at, ident in zip(times[kept], idents[kept])], (start, count)
+        return [(rows[i][0], rows[i][3]) for i in np.flatnonzero(kept)], (start, count)
 
-    timed = _keyed(alerts.withWatermark("ts", late), key, buckets).select(
-        "bucket", "key", "ts", F.unix_micros("ts").alias("at"), *[F.lit(0).cast("bigint").alias(c) for c in "ab"],
+    timed = _keyed(alerts.withWatermark("ts", late), key).select(
+        "key", "ts", F.unix_micros("ts").alias("at"), *[F.lit(0).cast("bigint").alias(c) for c in "ab"],
         F.col("alert_id").alias("label"),
     )
-    kept = _per_bucket(
-        timed,
-        ["at", "label"],
-        "key string, at long, alert_id string",
-        2,
-        arrive,
-        lambda entry: expiry_ms(entry[0] + period),
-        lambda name, entry: [],
+    kept = _in_order(
+        timed, "at bigint, alert_id string", 2, arrive, lambda entry: expiry_ms(entry[0] + period), lambda entry: []
     )
     return _unpacked(kept, alerts, key).select(*key, F.timestamp_micros("at").alias("ts"), "alert_id")
 
@@ -204,7 +221,6 @@ def assemble_flows_stream(
     key: Sequence[str] = FIVE_TUPLE,
     time: str = "event_time",
     late: str = "1 minute",
-    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Flows of a stream: a flow ends when it is idle for longer than ``idle`` seconds or, with
     ``max_life``, at the first record more than that after its start.
@@ -226,9 +242,9 @@ def assemble_flows_stream(
 
     idle_micros, life_micros = idle * MICROS, max_life * MICROS
 
-    def arrive(name: str, rows: pd.DataFrame, entry: tuple[int, ...] | None) -> tuple[list[tuple], tuple[int, ...]]:
-        times = rows["at"].to_numpy()
-        sizes = [rows["a"].to_numpy(), rows["b"].to_numpy()]
+    def arrive(rows: list[Waiting], entry: Entry | None) -> tuple[list[tuple], Entry]:
+        times = np.array([row[0] for row in rows])
+        sizes = [np.array([row[i] or 0 for row in rows], np.int64) for i in (1, 2)]
         opened = entry or (int(times[0]), int(times[0]), 0, 0, 0)
         edges = [0, *cut_flows(times, opened[0], opened[1], idle_micros, life_micros), len(times)]
         flows = []
@@ -240,10 +256,9 @@ def assemble_flows_stream(
             packets += int(sizes[0][first:end].sum())
             total += int(sizes[1][first:end].sum())
             flows.append((start, last, packets, total, count + end - first))
-        return [(name, *flow) for flow in flows[:-1]], flows[-1]
+        return flows[:-1], flows[-1]
 
-    keyed = _keyed(timed, key, buckets).select(
-        "bucket",
+    keyed = _keyed(timed, key).select(
         "key",
         time,
         F.unix_micros(time).alias("at"),
@@ -251,14 +266,13 @@ def assemble_flows_stream(
         F.col("bytes").cast("bigint").alias("b"),
         F.lit(None).cast("string").alias("label"),
     )
-    over = _per_bucket(
+    over = _in_order(
         keyed,
-        ["at"],
-        "key string, start_at long, last_at long, packets long, bytes long, records long",
+        "start_at bigint, last_at bigint, packets bigint, bytes bigint, records bigint",
         5,
         arrive,
         lambda entry: expiry_ms(min(entry[1] + idle_micros, entry[0] + life_micros)),
-        lambda name, entry: [(name, *entry)],
+        lambda entry: [entry],
     )
     return _unpacked(over, records, key).select(
         *key,

@@ -6,7 +6,7 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-from flowlantern.session import build_session  # noqa: E402
+from flowlantern.session import STREAM_CONF, build_session  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         "tests",
         "local[4]",
         **{
+            **STREAM_CONF,
             "spark.ui.enabled": "false",
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "4g",

@@ -31,6 +31,16 @@ def test_events_to_dashboard(spark, tmp_path):
     spark.catalog.dropTempView("v_trafego_dash")
 
 
+def test_ingest_of_a_log_in_use(spark, tmp_path, capsys):
+    lines = derived.eve_lines(derived.table(spark, SF_DIR, "events"))
+    where = ["--logs", f"{tmp_path}/logs", "--table", f"{tmp_path}/trafego", "--checkpoint", f"{tmp_path}/check"]
+    for half in ("crc32(value) % 2 = 0", "crc32(value) % 2 = 1"):
+        derived.append_lines(lines.filter(half), f"{tmp_path}/logs")
+        main(["ingest-log", *where])
+    assert '"is_active": false' in capsys.readouterr().out
+    assert rows(spark.read.parquet(f"{tmp_path}/trafego"), "hash_id") == rows(queries._trafego(spark, SF_DIR), "hash_id")
+
+
 def test_errors_are_raised(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         main(["audit", "--bronze", f"{tmp_path}/none"])

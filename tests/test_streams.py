@@ -266,7 +266,7 @@ def test_flow_life_over_several_batches(spark, tmp_path, shuffled):
     table = [record(rng.random() * 200, "hot" if i % 3 == 0 else rng.choice("abcd"), packets=i) for i in range(300)]
     last = record(10_000, "late")
     stream = delivered(spark, f"{tmp_path}/in", [*table, last], RECORDS, 4, shuffled)
-    found = stateful.assemble_flows_stream(stream, 5, 12, late="300 seconds" if shuffled else "2 seconds", buckets=3)
+    found = stateful.assemble_flows_stream(stream, 5, 12, late="300 seconds" if shuffled else "2 seconds")
     jobs.finish(jobs.write_stream(found, f"{tmp_path}/out", f"{tmp_path}/check"))
     wanted = []
     for src in "abcd", "hot":
@@ -349,7 +349,7 @@ def test_anchored_limit_over_several_batches(spark, tmp_path, kind, shuffled):
     ]
     last = ("last", T0 + dt.timedelta(seconds=10_000), 9, "late", "z")
     stream = delivered(spark, f"{tmp_path}/in", [*table, last], schema, 3, shuffled)
-    found = stateful.rate_limit_stream(stream, kind, 3, 20, "by_src", "400 seconds" if shuffled else "1 second", buckets=2)
+    found = stateful.rate_limit_stream(stream, kind, 3, 20, "by_src", "400 seconds" if shuffled else "1 second")
     jobs.finish(jobs.write_stream(found, f"{tmp_path}/out", f"{tmp_path}/check"))
     wanted, state = [], {}
     for ident, at, sig, src, _ in sorted(table, key=lambda row: row[1]):
