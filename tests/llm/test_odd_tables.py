@@ -348,6 +348,24 @@ def test_toxicity_finds_the_sentence():
     assert model.score(model.sentences(None)) == model.score([]) < 0.1
 
 
+def test_toxicity_learned_from_tables_equals_texts_at_hand(spark):
+    rng = np.random.default_rng(13)
+    rows = []
+    for i in range(240):
+        own = [" ".join(rng.choice("the a of to in is it on at by fine".split(), 6)) for _ in range(4)]
+        if i % 3 == 0:
+            own[i % 4] += f" you {('fool', 'rat', 'Swine')[i % 5 % 3]}"
+        rows.append((i, ". ".join(own), int(i % 3 == 0)))
+    rows += [(500, rows[0][1], 0), (501, "", 1), (502, None, 1), (503, "you fool " * 9000, 0)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, toxic int")
+    found = toxicity.train(docs, labels)
+    at_hand = dict(sorted(((t, y) for i, t, y in rows if i < 500), key=lambda x: hashlib.sha256(x[0].encode()).hexdigest()))
+    wanted = toxicity.fit(list(at_hand), list(at_hand.values()), [1.0] * len(at_hand))
+    assert found.weights.keys() == wanted.weights.keys() >= {"fool", "rat", "swine"}
+    assert found.weights == pytest.approx(wanted.weights) and found.leak == pytest.approx(wanted.leak)
+
+
 def test_near_duplicates(docs, nothing):
     found = dartminhash.near_duplicates(docs, similar=0.5).collect()
     assert len(found) == len(ROWS)
