@@ -354,7 +354,7 @@ def test_toxicity_learned_from_tables_equals_texts_at_hand(spark):
     for i in range(240):
         own = [" ".join(rng.choice("the a of to in is it on at by fine".split(), 6)) for _ in range(4)]
         if i % 3 == 0:
-            own[i % 4] += f" you {('fool', 'rat', 'Swine')[i % 5 % 3]}"
+            own[i % 4] += f" {('fool', 'rat', 'Swine')[i % 5 % 3]}"
         rows.append((i, ". ".join(own), int(i % 3 == 0)))
     rows += [(500, rows[0][1], 0), (501, "", 1), (502, None, 1), (503, "you fool " * 9000, 0)]
     docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string").repartition(5)
