@@ -8,10 +8,10 @@ to their weighted Jaccard similarity.
 
 Documents of equal words are one class member from the start (hot groups of copies cost one signature). Bands of
 coordinates make candidates; the exact similarity of the shingle sets decides. All members of a band's bucket meet its
-leader, the one that shares most buckets with others, as the original of a family of copies does. Where some are not
-linked then, a small bucket compares the rest of its pairs, and those a large one leaves over meet in finer buckets, of
-members that agree in a further band, and so on. So a large bucket is not multiplied out, and no pair is compared twice.
-What then still stands apart from most of a large bucket meets all its members by their rarest shingles: similar sets
+leader, the one that shares most buckets with others, as the original of a family of copies does; those that are not
+linked with it meet a leader of their own, a fixed number of times. Each round has a row for a member at most, so a
+large bucket is not multiplied out. Where some are not linked then, a small bucket compares the rest of its pairs; what
+still stands apart from most of a large bucket meets all its members by their rarest shingles: similar sets
 share one of those, which leaves no pair of a bucket out. Sizes, the places of the shared shingle and parities of the
 sets rule out nearly all pairs that are not similar before their sets are read. Classes are the connected components of
 the links.
@@ -38,6 +38,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS = 32
 ROWS = 6
+STARS = 3  # rounds in which the members of a bucket meet a leader
 SMALL = 16  # members of a bucket whose pairs are all compared
 SLOTS = 1 << 20  # of the counts by which shingles are rare or common
 PARITIES = 512  # of the elements of a set, by hash
@@ -333,22 +334,18 @@ def _leader(value: str) -> Column:
     return F.min_by(value, F.struct(-F.col("degree"), F.col("node")))
 
 
-def _apart(buckets: DataFrame, active: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """What is left to compare in buckets (key, used, node, degree, grade) whose members are not all linked; ``active``
-    has the bands of each node that others share.
+def _apart(buckets: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What is left to compare in buckets (key, node, degree, grade) whose members are not all linked.
 
     Similar sets are of similar size, their grades (by powers of 1 / similar) equal or next to each other: buckets are
-    split by two grades at a time, which parts no such pair. A bucket of up to ``SMALL`` members gives its pairs (a, b).
-    Of a larger one the members that are not linked with its leader go on to finer buckets: they have to agree in one
-    more band, as similar ones nearly always do. The larger ones (key, node) are given, too.
+    split by two grades at a time, which parts no such pair. A bucket of up to ``SMALL`` members gives its pairs (a, b);
+    the larger ones (key, node) are for ``_left_over``, which compares all of a member apart that may be similar.
     """
     placed = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     facts = [F.count("*").alias("n"), F.min("label").alias("low"), F.max("label").alias("high")]
-    open_ = placed.groupBy("key").agg(*facts, _leader("label").alias("first"))
-    open_ = open_.where(F.col("low") != F.col("high")).select("key", "first")
-    placed = placed.join(open_, "key")
+    open_ = placed.groupBy("key").agg(*facts).where(F.col("low") != F.col("high")).select("key")
     two = F.explode(F.array(F.col("grade"), F.col("grade") + 1)).alias("part")
-    placed = placed.select("node", "label", "first", "used", "degree", "grade", "key", two)
+    placed = placed.join(open_, "key").select("node", "label", "key", two)
     placed = placed.withColumn("key", F.xxhash64("key", "part")).drop("part")
     facts = placed.groupBy("key").agg(*facts).where(F.col("low") != F.col("high")).select("key", "n")
     placed = stored(placed.join(facts, "key"), "apart")
@@ -356,14 +353,7 @@ def _apart(buckets: DataFrame, active: DataFrame, labels: DataFrame) -> tuple[Da
     one = small.select("key", F.col("node").alias("a"), F.col("label").alias("x"))
     two = small.select("key", F.col("node").alias("b"), F.col("label").alias("y"))
     pairs = one.join(two, "key").where((F.col("a") > F.col("b")) & (F.col("x") != F.col("y"))).select("a", "b").distinct()
-    rest = placed.where((F.col("n") > SMALL) & (F.col("label") != F.col("first"))).select("node", "used", "degree", "grade").distinct()
-    more = rest.join(active.select("node", "bands"), "node")
-    more = more.select("node", "used", "degree", "grade", F.explode(F.array_except("bands", "used")).alias("band"))
-    finer = more.select("node", "degree", "grade", F.array_sort(F.concat("used", F.array("band"))).alias("used"))
-    finer = finer.withColumn("key", F.xxhash64("used")).distinct()
-    shared = finer.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key")
-    finer = stored(finer.join(shared, "key").select("node", "key", "used", "degree", "grade"), "members")
-    return stored(pairs, "pairs"), finer, placed.where(F.col("n") > SMALL).select("key", "node")
+    return pairs, placed.where(F.col("n") > SMALL).select("key", "node")
 
 
 def near_duplicates(
@@ -380,25 +370,28 @@ def near_duplicates(
     grade = F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(1 / similar))).alias("grade")
     members = nodes.select("node", grade, F.explode("bands").alias("key"))
     shared = members.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    buckets = stored(members.join(shared, "key").withColumn("used", F.array("key")), "members")
+    buckets = stored(members.join(shared, "key"), "members")
     # who shares the most buckets with others is most likely what they are copies of
-    degree = F.sum("n").alias("degree")
-    active = stored(buckets.groupBy("node").agg(degree, F.collect_set("key").alias("bands")), "active")
-    buckets = stored(buckets.drop("n").join(active.select("node", "degree"), "node"), "members")
+    active = stored(buckets.groupBy("node").agg(F.sum("n").alias("degree")), "active")
+    buckets = stored(buckets.drop("n").join(active, "node"), "members")
     sets = stored(_shingle_sets(docs, nodes.drop("bands", "size").join(active.select("node"), "node")), "sets")
-    pairs, tried, links, large = None, None, None, None
-    while True:
-        star = buckets.join(buckets.groupBy("key").agg(_leader("node").alias("leader")), "key")
-        star = star.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b"))
-        fresh = (star if pairs is None else star.union(pairs)).distinct()
+    # all members of a bucket meet its leader; those that stay apart from it meet a leader of their own
+    rest, links, tried = buckets, None, None
+    for _ in range(STARS):
+        star = rest.join(rest.groupBy("key").agg(_leader("node").alias("leader")), "key")
+        fresh = star.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
         fresh = stored(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = stored(_verified(fresh, sets, similar), "links")
         tried, links = (fresh, found) if tried is None else (tried.union(fresh), links.union(found))
         labels = components(links)
-        pairs, buckets, over = _apart(buckets, active, labels)
-        large = over if large is None else large  # the finer buckets are parts of these
-        if not buckets.limit(1).count() and not pairs.limit(1).count():
-            break
+        heads = labels.select(F.col("node").alias("leader"), F.col("label").alias("first"))
+        placed = star.join(labels, "node", "left").join(heads, "leader", "left")
+        own = F.coalesce("label", "node") != F.coalesce("first", "leader")
+        rest = stored(placed.where(own).select("key", "node", "grade", "degree"), "rest")
+    pairs, large = _apart(buckets, labels)
+    fresh = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
+    links = links.union(stored(_verified(fresh, sets, similar), "links"))
+    labels = components(links)
     found = stored(_verified(_left_over(large, labels, sets, similar), sets, similar), "links")
     labels = components(links.union(found))
     labels = marked.join(labels.withColumnRenamed("node", "content"), "content", "left")
