@@ -5,8 +5,8 @@ none holds is scored by its longest character n-grams that some language holds (
 step to single characters. A text's score for a language is the mean over its words; the lowest cost wins, ties to the
 first name in order.
 
-Defined cases: ``und`` with score 0 for a NULL text, a text without letters, or a model without languages. Training
-rows with NULL text or language are left out, equal rows count as often as they occur.
+Defined cases: ``und`` with score 0 for a NULL text, a text without letters (signs that are only numbers are none), or a
+model without languages. Training rows with NULL text or language are left out, equal rows count as often as they occur.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ class LanguageModel:
         words: list[str] = []
         lengths = []
         for text in texts:
-            own = WORD.findall(text.lower()) if text else []
+            own = [w for w in WORD.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))] if text else []
             lengths.append(len(own))
             words += own
         lengths = np.array(lengths)

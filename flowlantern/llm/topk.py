@@ -10,8 +10,8 @@ The bucket of the longest vectors is searched first and gives each query its fir
 the buckets its bounds allow. Buckets and blocks are bounded, each meeting is one group, results merge per query.
 
 Defined cases: a NULL vector or one with a NULL, NaN or infinite component takes no part, neither does a NULL id. Shorter
-vectors count as padded with zeros. Rows that repeat id and vector count once; another vector under the same id is a
-row of its own, as a query and as a candidate of others. Products are exact while lengths stay below 2**26; beyond,
+vectors count as padded with zeros. Rows that repeat id and vector are one query, but
+each is a candidate of others; another vector under the same id is a row of its own, as a query and as a candidate. Products are exact while lengths stay below 2**26; beyond,
 they are worked out in whole numbers of any size and held within the range of a long. Pruning keeps a margin of
 rounding, so it never drops a vector that could count.
 """
@@ -48,16 +48,15 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
 
 
 def _placed(rows: DataFrame, every: int) -> DataFrame:
-    """Distinct rows by falling length with their position, and the queries with their position among queries."""
+    """Rows by falling length with their position, and the queries with their position among queries."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, i, asked, last = TaskContext.get().partitionId(), 0, 0, None
         for batch in batches:
             found = []
             for key in zip(*(batch[c].to_pylist() for c in ("vec_id", "v", "norm")), strict=True):
-                if key == last:  # copies of a row stand next to each other
-                    continue
-                last, chosen = key, key[0] % every == 0
+                # copies of a row stand next to each other; as a query they are one
+                last, chosen = key, key != last and key[0] % every == 0
                 found.append((part, i, asked if chosen else None, *key))
                 i, asked = i + 1, asked + chosen
             columns = zip(*found, strict=True) if found else [()] * len(layout)

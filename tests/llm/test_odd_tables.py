@@ -141,6 +141,12 @@ def test_language(spark, docs, nothing):
     assert {r.r.lang_pred for r in docs.select(langid.predicted("text", empty, spark).alias("r")).collect()} == {"und"}
 
 
+def test_numbers_are_no_letters(spark):
+    docs = spark.createDataFrame([(1, "the word", "en"), (2, "² ½ Ⅷ ①", None), (3, "x²", None)], "doc_id long, text string, lang string")
+    found = docs.select(langid.predicted("text", langid.train(docs, F.lit(True)), spark).alias("r")).collect()
+    assert [r.r.lang_pred for r in found] == ["en", "und", "en"]
+
+
 def test_language_backs_off_to_shorter_grams():
     import pandas as pd
 

@@ -21,12 +21,12 @@ SCHEMA = T.StructType(
 
 def brute(rows, every, k):
     whole = []
-    for vec_id, v in dict.fromkeys((i, None if v is None else tuple(v)) for i, v in rows):
+    for vec_id, v in rows:
         if vec_id is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
         whole.append((vec_id, [math.floor(256 * float(np.float32(x))) for x in v]))
     found = []
-    for q, a in whole:
+    for q, a in dict.fromkeys((i, tuple(v)) for i, v in whole):  # copies of a query are one query
         if q % every == 0:
             scores = [(-sum(x * y for x, y in zip(a, b)), c) for c, b in whole if c != q]
             found += [(q, r + 1, c, -s) for r, (s, c) in enumerate(sorted(scores)[:k])]
@@ -63,6 +63,11 @@ def test_odd_rows(spark):
     assert [f[2] for f in found if f[0] == 20][0] == 0 or len([f for f in found if f[0] == 20]) == 5
 
 
+def test_copies_are_candidates(spark):
+    rows = [(0, [1.0, 2.0]), (1, [2.0, 1.0]), (1, [2.0, 1.0]), (2, [0.5, 0.5])]
+    assert [(q, r, c) for q, r, c, _ in run(spark, rows)] == [(0, 1, 1), (0, 2, 1), (0, 3, 2)]
+
+
 def test_empty(spark):
     assert run(spark, []) == []
 
