@@ -58,7 +58,7 @@ STAGES = [
     ("encoding", encoding),
 ]
 
-ORACLE_SQL = None  # models, signatures and tokenizers are beyond SQL; tests/llm compares with plain Python
+ORACLE_SQL = None  # models, signatures and tokenizers are beyond SQL; tests/llm tests the operators one by one
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
