@@ -349,6 +349,10 @@ ORACLE: dict[str, str] = {
     + "SELECT time_received // 86400 AS event_day, count(*) AS records, max(time_received) AS last_second FROM flows GROUP BY 1",
     "encode_json": _with(**_FLOWS) + f"SELECT src_ip AS key, {_NARROW} FROM flows",
     "medallion_tables": _GOLD_LABELLED,
+    "medallion_increment": _GOLD_LABELLED,
+    "gold_estimates": _with(**_GOLD)
+    + "SELECT src_ip, vlan, total_bytes, unique_targets, unique_ports, TRUE AS targets_hold, TRUE AS ports_hold FROM features",
+    "stream_history": "SELECT CAST(4 AS BIGINT) AS batches, CAST(3 AS BIGINT) AS last_batch, count(*) AS input_rows FROM events",
     "flow_direction": _with(**_FLOWS)
     + f"SELECT {_DIRECTION.format('src_ip', 'dst_ip')} AS direction, count(*) AS flows,"
     " CAST(sum(bytes) AS BIGINT) AS bytes FROM flows GROUP BY 1",

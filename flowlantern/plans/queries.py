@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from flowlantern.functions.net import direction, direction_by_networks, in_port_group
 from flowlantern.operators import actions, alerts, catalogues, flows, ids, rules, sessions
-from flowlantern.plans import medallion
+from flowlantern.plans import increment, medallion
 from flowlantern.schemas import BRONZE_NARROW
-from flowlantern.session import shared_dir, state_store
+from flowlantern.session import shared_dir, state_store, stored
 from flowlantern.sources import derived, readers, writers
 from flowlantern.streaming import jobs, stateful
 
@@ -190,6 +190,35 @@ def medallion_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return medallion.refine(spark, f"{root}/bronze", f"{root}/silver", f"{root}/gold")
 
 
+@query
+def medallion_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold of three runs, each over what bronze got since the one before. The last delivers rows of the first again."""
+    root = shared_dir(spark, "increment")
+    bronze = _bronze(spark, sf_dir, spread=True)
+    third = F.pmod("src_port", F.lit(3))
+    for part in (third == 0, third == 1, third != 1):
+        writers.write_table(bronze.where(part), f"{root}/bronze", ["vlan"], mode="append", rebalance=True)
+        # The test table spans years, not the few days of a run.
+        jobs.finish(increment.run_refine(spark, f"{root}/bronze", f"{root}/refined", fold=2, unit="year"))
+    return flows.label_behaviour(increment.gold_table(spark, f"{root}/refined", fold=2))
+
+
+@query
+def gold_estimates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact distinct counts, and whether the estimates from stored daily sketches are within three standard errors."""
+    silver = _silver(spark, sf_dir)
+    estimates = flows.merged_sketches(stored(flows.daily_sketches(silver), "sketches"))
+    exact, about = flows.gold_features(silver).alias("e"), estimates.alias("a")
+    same = (F.col("e.src_ip") == F.col("a.src_ip")) & F.col("e.vlan").eqNullSafe(F.col("a.vlan"))
+
+    def near(name: str) -> Column:
+        return F.abs(F.col(f"e.{name}") - F.col(f"a.{name}")) <= F.col(f"e.{name}") * (3 * 1.04 / 2**6) + 0.5
+
+    counts = [F.col(f"e.{name}") for name in ("src_ip", "vlan", "total_bytes", "unique_targets", "unique_ports")]
+    checks = [near("unique_targets").alias("targets_hold"), near("unique_ports").alias("ports_hold")]
+    return exact.join(about, same, "left").select(*counts, *checks)
+
+
 @query
 def compacted_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = shared_dir(spark, "compact")
@@ -624,6 +653,25 @@ def _in_batches(spark: SparkSession, sf_dir: str, batches: int = 4, files: int =
     return readers.read_table_stream(spark, root, "events", max_files=files)
 
 
+@query
+def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the stored history tells of a stream in four micro-batches that two runs took."""
+    root = shared_dir(spark, "history")
+    history = jobs.StreamHistory(spark, f"{root}/history", every=3)
+    spark.streams.addListener(history)
+    try:
+        events = _in_batches(spark, sf_dir)
+        for kept in (events, events):
+            run = jobs.write_stream(kept, f"{root}/table", f"{root}/checkpoint")
+            jobs.finish(run)
+            history.wait(run)
+    finally:
+        spark.streams.removeListener(history)
+    writers.compact(spark, f"{root}/history", f"{root}/compacted", ())
+    found = jobs.read_history(spark, f"{root}/compacted").where(F.col("input_rows") > 0)
+    return jobs.stream_health(found).select("batches", "last_batch", "input_rows")
+
+
 @query
 def flow_session_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flows that were over when the stream ended."""

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import json
+import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
@@ -71,6 +73,68 @@ class HealthListener(StreamingQueryListener):
         self.sink(json.dumps({"event": "terminated", "id": str(event.id), "error": event.exception}))
 
 
+HISTORY = "id string, run_id string, name string, batch_id bigint, input_rows bigint, trigger_ms bigint, moment timestamp"
+
+
+class StreamHistory(StreamingQueryListener):
+    """Appends a row for every micro-batch of every query of a session to a table, which outlives the session.
+
+    Rows are stored ``every`` so many and when a query ends. ``read_history`` reads them back, ``writers.compact`` makes
+    few files of many. A row that is stored twice counts once.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, every: int = 100) -> None:
+        self.spark, self.path, self.every = spark, path, every
+        self.rows: list[tuple] = []
+        self.ended: dict[str, threading.Event] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.ended[str(event.runId)] = threading.Event()
+
+    def onQueryProgress(self, event) -> None:
+        last = event.progress
+        moment = datetime.datetime.fromisoformat(last.timestamp)
+        spent = dict(last.durationMs).get("triggerExecution")
+        self.rows.append((str(last.id), str(last.runId), last.name, last.batchId, last.numInputRows, spent, moment))
+        if len(self.rows) >= self.every:
+            self.store()
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.store()
+        self.ended.setdefault(str(event.runId), threading.Event()).set()
+
+    def store(self) -> None:
+        rows, self.rows = self.rows, []
+        if rows:
+            self.spark.createDataFrame(rows, HISTORY).coalesce(1).write.mode("append").parquet(self.path)
+
+    def wait(self, query: StreamingQuery, timeout: float = 60) -> bool:
+        """Events arrive after the batches they tell of: waits until those of an ended query are stored."""
+        return self.ended.setdefault(str(query.runId), threading.Event()).wait(timeout)
+
+
+def read_history(spark: SparkSession, path: str) -> DataFrame:
+    """The micro-batches stored by ``StreamHistory``, each once: the run that ended it last."""
+    table = spark.read.schema(HISTORY).parquet(path)
+    last = F.max_by(F.struct("run_id", "name", "input_rows", "trigger_ms", "moment"), F.struct("moment", "input_rows"))
+    return table.groupBy("id", "batch_id").agg(last.alias("last")).select("id", "batch_id", "last.*")
+
+
+def stream_health(history: DataFrame) -> DataFrame:
+    """How far each stream got and how long its micro-batches took."""
+    return history.groupBy("id").agg(
+        F.count(F.lit(1)).alias("batches"),
+        F.countDistinct("run_id").alias("runs"),
+        F.max("batch_id").alias("last_batch"),
+        F.sum("input_rows").alias("input_rows"),
+        F.max("trigger_ms").alias("longest_ms"),
+        F.max("moment").alias("last_moment"),
+    )
+
+
 def recent_progress(query: StreamingQuery) -> list[dict]:
     """The newest micro-batches the engine still holds, oldest first; ``HealthListener`` reports all of them."""
     return [
