@@ -329,6 +329,21 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``labels`` (node, label) after further ``links`` (a, b). Only links between two components count,
+    so what is searched is the graph of those and not that of all nodes once more."""
+    one, two = (labels.select(F.col("node").alias(end), F.col("label").alias(name)) for end, name in (("a", "x"), ("b", "y")))
+    ends = links.join(one, "a", "left").join(two, "b", "left").select(F.coalesce("x", "a").alias("a"), F.coalesce("y", "b").alias("b"))
+    ends = stored(ends.where(F.col("a") != F.col("b")).distinct(), "edges")
+    if ends.isEmpty():
+        return labels
+    above = stored(components(ends), "labels")
+    moved = labels.join(above.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left")
+    # A label is a node of its component, so nodes without one are not among the labels.
+    fresh = above.join(labels, "node", "left_anti")
+    return stored(moved.select("node", F.coalesce("top", "label").alias("label")).union(fresh), "labels")
+
+
 def _leader(value: str) -> Column:
     """``value`` of the member of the highest degree, the smallest one of those."""
     return F.min_by(value, F.struct(-F.col("degree"), F.col("node")))
@@ -376,24 +391,22 @@ def near_duplicates(
     buckets = stored(buckets.drop("n").join(active, "node"), "members")
     sets = stored(_shingle_sets(docs, nodes.drop("bands", "size").join(active.select("node"), "node")), "sets")
     # all members of a bucket meet its leader; those that stay apart from it meet a leader of their own
-    rest, links, tried = buckets, None, None
+    rest, labels, tried = buckets, None, None
     for _ in range(STARS):
         star = rest.join(rest.groupBy("key").agg(_leader("node").alias("leader")), "key")
         fresh = star.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
         fresh = stored(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = stored(_verified(fresh, sets, similar), "links")
-        tried, links = (fresh, found) if tried is None else (tried.union(fresh), links.union(found))
-        labels = components(links)
+        tried = fresh if tried is None else tried.union(fresh)
+        labels = components(found) if labels is None else joined(labels, found)
         heads = labels.select(F.col("node").alias("leader"), F.col("label").alias("first"))
         placed = star.join(labels, "node", "left").join(heads, "leader", "left")
         own = F.coalesce("label", "node") != F.coalesce("first", "leader")
         rest = stored(placed.where(own).select("key", "node", "grade", "degree"), "rest")
     pairs, large = _apart(buckets, labels)
     fresh = stored(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
-    links = links.union(stored(_verified(fresh, sets, similar), "links"))
-    labels = components(links)
-    found = stored(_verified(_left_over(large, labels, sets, similar), sets, similar), "links")
-    labels = components(links.union(found))
+    labels = joined(labels, stored(_verified(fresh, sets, similar), "links"))
+    labels = joined(labels, stored(_verified(_left_over(large, labels, sets, similar), sets, similar), "links"))
     labels = marked.join(labels.withColumnRenamed("node", "content"), "content", "left")
     labels = labels.select("doc_id", "text_key", F.coalesce("label", "content").alias("label"))
     key = F.struct(F.coalesce("doc_id", F.lit(-(2**63))).alias("id"), F.col("text_key").alias("key"))
