@@ -9,8 +9,8 @@ to their weighted Jaccard similarity.
 Documents of equal words are one class member from the start (hot groups of copies cost one signature). Bands of
 coordinates make candidates; the exact similarity of the shingle sets decides. All members of a band's bucket meet its
 leader, the one that shares most buckets with others, as the original of a family of copies does; those that are not
-linked with it meet a leader of their own, a fixed number of times. Each round has a row for a member at most, so a
-large bucket is not multiplied out. Where some are not linked then, a small bucket compares the rest of its pairs; what
+linked with it meet a leader of their own, ``STARS`` times at most or until a round links nothing. Each round has a row
+for a member at most, so a large bucket is not multiplied out. Where some are not linked then, a small bucket compares the rest of its pairs; what
 still stands apart from most of a large bucket meets all its members by their rarest shingles: similar sets
 share one of those, which leaves no pair of a bucket out. Sizes, the places of the shared shingle and parities of the
 sets rule out nearly all pairs that are not similar before their sets are read. Classes are the connected components of
@@ -38,7 +38,7 @@ SHINGLE = 5
 SIMILAR = 0.8
 BANDS = 32
 ROWS = 6
-STARS = 3  # rounds in which the members of a bucket meet a leader
+STARS = 3  # rounds, at most, in which the members of a bucket meet a leader
 SMALL = 16  # members of a bucket whose pairs are all compared
 SLOTS = 1 << 20  # of the counts by which shingles are rare or common
 PARITIES = 512  # of the elements of a set, by hash
@@ -234,8 +234,9 @@ def _verified(pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
                 keep.append(common >= similar * (small + large - common) - 1e-9)
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
-    both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    # Many pairs may share their b, a leader, but few their a: the sets move when the pairs are dealt by a.
+    both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
+    both = both.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInArrow(compare, "a binary, b binary")
 
 
@@ -393,11 +394,15 @@ def near_duplicates(
     # all members of a bucket meet its leader; those that stay apart from it meet a leader of their own
     rest, labels, tried = buckets, None, None
     for _ in range(STARS):
-        star = rest.join(rest.groupBy("key").agg(_leader("node").alias("leader")), "key")
-        fresh = star.where(F.col("node") != F.col("leader")).select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
+        heads = rest.groupBy("key").agg(_leader("node").alias("leader"), _leader("grade").alias("level"))
+        star = rest.join(heads, "key")
+        fresh = star.where((F.col("node") != F.col("leader")) & (F.abs(F.col("grade") - F.col("level")) <= 1))
+        fresh = fresh.select(F.col("node").alias("a"), F.col("leader").alias("b")).distinct()
         fresh = stored(fresh if tried is None else fresh.join(tried, ["a", "b"], "left_anti"), "pairs")
         found = stored(_verified(fresh, sets, similar), "links")
         tried = fresh if tried is None else tried.union(fresh)
+        if labels is not None and found.isEmpty():
+            break
         labels = components(found) if labels is None else joined(labels, found)
         heads = labels.select(F.col("node").alias("leader"), F.col("label").alias("first"))
         placed = star.join(labels, "node", "left").join(heads, "leader", "left")
