@@ -10,7 +10,8 @@ suffixes, and what the anchors' left sides share says how far it starts before t
 2. Every task sorts the suffixes of its anchors, folds equal ones, cuts the sorted run by ranges of the key's hash and
    front-codes each piece: shared prefix length with the suffix before, and the rest.
 3. A range's runs are merged by a loser tree that carries common prefix lengths: two heads with different lengths are
-   ordered by these alone, equal ones are compared behind the known prefix.
+   ordered by these alone, equal ones are compared behind the known prefix. A run's suffixes are decoded one by one,
+   when they become its head.
 4. The merged order and its prefix lengths group suffixes that share any number of bytes to the right; for every
    split of ``LENGTH`` into bytes left and right of the anchor, members of a group with equal left sides are repeats.
 
@@ -20,8 +21,8 @@ doc_id and text are documents of their own and so repeat each other.
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -34,10 +35,10 @@ from flowlantern.llm.common import stored
 
 LENGTH = 200
 KEY = 40
-BYTES_AT_ONCE = 2 << 20
+BYTES_AT_ONCE = 1 << 20
 PLACES_BITS = 24  # of a position in a buffer; longer texts are cut into overlapping buffers
 SUFFIXES_IN_RANGE = 20_000
-SUFFIXES_IN_RUN = 50_000  # sorted at once in a task
+SUFFIXES_IN_RUN = 20_000  # sorted at once in a task
 U = np.uint64
 BASE = U(0x9E3779B97F4A7C15 | 1)
 KEYED = "doc_id long, text_key long"
@@ -76,6 +77,14 @@ def key_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return mix((total[size:] - total[:-size]) * down[: n - size + 1])
 
 
+def row_hashes(rows: np.ndarray) -> np.ndarray:
+    """The hash ``key_hashes`` gives of each row's bytes."""
+    found = np.zeros(len(rows), U)
+    for column, power in zip(rows.T, POWERS.get(rows.shape[1])[0], strict=True):
+        found += (column.astype(U) + U(1)) * power
+    return mix(found)
+
+
 def anchors(data: np.ndarray, length: int = LENGTH, size: int = KEY) -> tuple[np.ndarray, np.ndarray]:
     """Positions and key hashes of the anchors of one text: the leftmost smallest key of each window."""
     span = length - size + 1
@@ -196,18 +205,13 @@ def _contexts(data: np.ndarray, begin: np.ndarray, end: np.ndarray, at: np.ndarr
 
 def _order(rows: np.ndarray) -> np.ndarray:
     """The order of byte rows: by their first word, ties by the whole."""
-    wide = np.zeros((len(rows), -(-rows.shape[1] // 8) * 8), np.uint8)
-    wide[:, : rows.shape[1]] = rows
-    words = wide.view(">u8").astype(U)
-    order = np.argsort(words[:, 0], kind="stable")
-    first = words[order, 0]
+    words = np.ascontiguousarray(rows[:, :8]).view(">u8").ravel().astype(U)
+    order = np.argsort(words, kind="stable")
+    first = words[order]
     edges = np.flatnonzero(np.r_[True, first[1:] != first[:-1], True])
-    texts = None
     for x, y in zip(edges[:-1], edges[1:], strict=True):
         if y - x > 1:
-            texts = texts or rows.tobytes()
-            w = rows.shape[1]
-            order[x:y] = sorted(order[x:y], key=lambda i: texts[i * w : (i + 1) * w])
+            order[x:y] = sorted(order[x:y], key=lambda i: rows[i].tobytes())
     return order
 
 
@@ -218,12 +222,14 @@ def front_code(rows: np.ndarray) -> tuple[np.ndarray, bytes]:
     return shared.astype(np.uint16), rows[np.arange(rows.shape[1]) >= shared[:, None]].tobytes()
 
 
-def front_decode(shared: np.ndarray, rest: bytes, width: int) -> np.ndarray:
-    own = np.arange(width) >= shared[:, None]
-    rows = np.zeros((len(shared), width), np.uint8)
-    rows[own] = np.frombuffer(rest, np.uint8)
-    source = np.maximum.accumulate(np.where(own, np.arange(len(shared), dtype=np.int32)[:, None], 0), axis=0)
-    return rows[source, np.arange(width)]
+def front_decode(shared: list[int], rest: bytes, width: int) -> Iterator[bytes]:
+    """The rows one by one."""
+    row, at = b"", 0
+    for same in shared:
+        own = width - same
+        row = row[:same] + rest[at : at + own]
+        at += own
+        yield row
 
 
 def _pack(suffixes: np.ndarray, lefts: np.ndarray, facts: np.ndarray) -> bytes:
@@ -250,31 +256,33 @@ def _pack(suffixes: np.ndarray, lefts: np.ndarray, facts: np.ndarray) -> bytes:
     return zstandard.ZstdCompressor(level=3).compress(b"".join([*body, chains.astype("<i8").tobytes()]))
 
 
-def _unpack(data: bytes) -> tuple[np.ndarray, ...]:
-    """Shared lengths, suffixes, left sides, entries (occurrences, chains, bytes before and behind) and chains."""
+def _unpack(data: bytes) -> tuple:
+    """Shared lengths, an iterator of suffixes, left sides, entries (occurrences, chains, bytes before and behind) and
+    chains."""
     body = zstandard.ZstdDecompressor().decompress(data)
     n, width, reach, size = np.frombuffer(body, "<i8", 4).tolist()
     at = 32
-    shared = np.frombuffer(body, "<u2", n, at).astype(np.int64)
+    shared = np.frombuffer(body, "<u2", n, at).tolist()
     at += 2 * n
     suffixes = front_decode(shared, body[at : at + size], width)
     at += size
-    lefts = np.frombuffer(body, np.uint8, n * reach, at).reshape(n, reach)
+    lefts = np.frombuffer(body, np.uint8, n * reach, at).reshape(n, reach).copy()
     at += n * reach
-    entries = np.frombuffer(body, "<i8", 4 * n, at).reshape(n, 4)
-    return shared, suffixes, lefts, entries, np.frombuffer(body, "<i8", -1, at + 32 * n).reshape(-1, 5)
+    facts = np.frombuffer(body, "<i8", -1, at).copy()  # copies, as the whole would be kept for a view
+    return shared, suffixes, lefts, facts[: 4 * n].reshape(n, 4), facts[4 * n :].reshape(-1, 5)
 
 
 class LoserTree:
-    """Merges sorted runs of (suffix, shared length with the suffix before in its run).
+    """Merges sorted runs of (suffix, shared length with the suffix before in its run), of which only the heads are held.
 
     ``known[r]`` is the length that run r's head shares with the suffix put out last. The head that shares more is the
     smaller one; heads that share the same are compared behind that length, and the loser's length becomes what it
     shares with the winner.
     """
 
-    def __init__(self, runs: list[list[bytes]], shared: list[list[int]]) -> None:
-        self.runs, self.shared = runs, shared
+    def __init__(self, runs: list[Iterable[bytes]], shared: list[list[int]]) -> None:
+        self.runs, self.shared = list(map(iter, runs)), shared
+        self.heads = [next(run, None) for run in self.runs]
         self.size = 1 << max(len(runs) - 1, 0).bit_length()
         self.at = [0] * len(runs)
         self.known = [0] * len(runs)
@@ -284,7 +292,7 @@ class LoserTree:
     def _build(self, node: int) -> int:
         if node >= self.size:
             run = node - self.size
-            return run if run < len(self.runs) and self.runs[run] else -1
+            return run if run < len(self.runs) and self.heads[run] is not None else -1
         winner, self.losers[node] = self._play(self._build(2 * node), self._build(2 * node + 1))
         return winner
 
@@ -295,13 +303,10 @@ class LoserTree:
         known = self.known
         if known[a] != known[b]:
             return (a, b) if known[a] > known[b] else (b, a)
-        x, y, begin = self.runs[a][self.at[a]], self.runs[b][self.at[b]], known[a]
-        if x == y:
-            known[b] = len(x)
-            return a, b
+        x, y, begin = self.heads[a], self.heads[b], known[a]
         one, two = int.from_bytes(x[begin:]), int.from_bytes(y[begin:])
         same = len(x) - (((one ^ two).bit_length() + 7) >> 3)
-        if one < two:
+        if one <= two:
             known[b] = same
             return a, b
         known[a] = same
@@ -313,7 +318,8 @@ class LoserTree:
             run = self.top
             yield run, self.at[run], self.known[run]
             self.at[run] += 1
-            if self.at[run] < len(self.runs[run]):
+            self.heads[run] = next(self.runs[run], None)
+            if self.heads[run] is not None:
                 self.known[run] = self.shared[run][self.at[run]]
                 winner = run
             else:
@@ -336,7 +342,7 @@ def _runs_of(docs: DataFrame, places: DataFrame, ranges: int, length: int, size:
             for b in batches
             for r in zip(*(b[c].to_pylist() for c in names), strict=True)
         )
-        for held in _runs(rows, 2 * BYTES_AT_ONCE):
+        for held in _runs(rows, 4 * BYTES_AT_ONCE):
             data = np.concatenate([r[-1] for r in held])
             sizes = np.array([len(r[-1]) for r in held])
             counts = [len(r[2]) for r in held]
@@ -348,7 +354,7 @@ def _runs_of(docs: DataFrame, places: DataFrame, ranges: int, length: int, size:
             for i in range(0, len(at), SUFFIXES_IN_RUN):
                 s = slice(i, i + SUFFIXES_IN_RUN)
                 right, left = _contexts(data, begin[s], end[s], at[s], length, size)
-                keys = key_hashes(right[:, :size].ravel(), size)[::size]
+                keys = row_hashes(right[:, :size])
                 suffixes = np.c_[keys.astype(">u8").view(np.uint8).reshape(-1, 8), right]
                 n = number[s]
                 facts = np.c_[documents[n], place[s], end[s] - at[s]]
@@ -372,14 +378,11 @@ def _with_texts(docs: DataFrame, table: DataFrame, how: str = "inner") -> DataFr
 def repeats(runs: list[bytes], length: int, size: int) -> np.ndarray:
     """Merges the runs of a range; rows (doc_id, text_key, no doc_id, start, stop) of its repeated stretches."""
     parts = [_unpack(r) for r in runs]
-    width = parts[0][1].shape[1]
-    texts = [[data[i : i + width] for i in range(0, len(data), width)] for data in (p[1].tobytes() for p in parts)]
-    offsets = np.cumsum([0] + [len(t) for t in texts])
-    order, shared = [], []
-    for run, at, known in LoserTree(texts, [p[0].tolist() for p in parts]):
+    offsets = np.cumsum([0] + [len(p[0]) for p in parts]).tolist()
+    order, shared = array("q"), array("q")
+    for run, at, known in LoserTree([p[1] for p in parts], [p[0] for p in parts]):
         order.append(offsets[run] + at)
         shared.append(known)
-    del texts
     order, shared = np.array(order), np.array(shared) - 8  # without the key's hash
     lefts = np.concatenate([p[2] for p in parts])[order]
     entries, chains = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])

@@ -128,7 +128,8 @@ def test_loser_tree_orders_and_shares():
 def test_front_coding_round_trip():
     rows = np.array(sorted(np.random.default_rng(2).integers(0, 3, (200, 9)).tolist()), np.uint8)
     shared, rest = suffixes.front_code(rows)
-    assert (suffixes.front_decode(shared.astype(int), rest, 9) == rows).all() and len(rest) < rows.size
+    assert list(suffixes.front_decode(shared.tolist(), rest, 9)) == [r.tobytes() for r in rows] and len(rest) < rows.size
+    assert (suffixes.row_hashes(rows) == suffixes.key_hashes(rows.ravel(), 9)[::9]).all()
 
 
 def test_language(spark, docs, nothing):
