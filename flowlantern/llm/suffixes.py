@@ -25,7 +25,6 @@ from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
@@ -375,28 +374,36 @@ def _with_texts(docs: DataFrame, table: DataFrame, how: str = "inner") -> DataFr
     return texts.join(table, same, how).drop("id", "key")
 
 
-def repeats(runs: list[bytes], length: int, size: int) -> np.ndarray:
+def repeats(runs: Iterable[bytes], length: int, size: int) -> np.ndarray:
     """Merges the runs of a range; rows (doc_id, text_key, no doc_id, start, stop) of its repeated stretches."""
-    parts = [_unpack(r) for r in runs]
-    offsets = np.cumsum([0] + [len(p[0]) for p in parts]).tolist()
+    shares, suffixes, sides, entries, chains = map(list, zip(*map(_unpack, runs), strict=True))
+    offsets = np.cumsum([0] + [len(x) for x in shares]).tolist()
     order, shared = array("q"), array("q")
-    for run, at, known in LoserTree([p[1] for p in parts], [p[0] for p in parts]):
+    for run, at, known in LoserTree(suffixes, shares):
         order.append(offsets[run] + at)
         shared.append(known)
-    order, shared = np.array(order), np.array(shared) - 8  # without the key's hash
-    lefts = np.concatenate([p[2] for p in parts])[order]
-    entries, chains = np.concatenate([p[3] for p in parts]), np.concatenate([p[4] for p in parts])
+    del shares, suffixes
+    order, shared = np.frombuffer(order, np.int64), np.frombuffer(shared, np.int64) - 8  # without the key's hash
+    near = np.r_[shared[1:] >= size, False] | np.r_[False, shared[1:] >= size]
+    active = np.flatnonzero(near)
+    rank = np.full(len(order), -1)
+    rank[order[active]] = np.arange(len(active))
+    lefts = np.empty((len(active), sides[0].shape[1]), np.uint8)
+    while sides:  # left sides move to their places in the order run by run, so they are held once
+        side = sides.pop()
+        to = rank[offsets[len(sides)] :][: len(side)]
+        lefts[to[to >= 0]] = side[to >= 0]
+    del rank
+    entries, chains = np.concatenate(entries), np.concatenate(chains)
     first = (np.cumsum(entries[:, 1]) - entries[:, 1])[order]  # the first chain of each context
     copies, many, before, behind = entries[order].T
     # a context that occurs twice repeats however it is split; the others have to meet one that shares enough
     twice = (copies > 1) & (before + behind >= length)
     low, high = np.where(twice, length - behind, length), np.where(twice, before, -1)
-    near = np.r_[shared[1:] >= size, False] | np.r_[False, shared[1:] >= size]
-    active = np.flatnonzero(near)
     group_from = shared[active]
     group_from[np.r_[True, np.diff(active) > 1][: len(active)]] = 0
     left = np.zeros(len(active), U)
-    lefts, before, behind = lefts[active], before[active], behind[active]
+    before, behind = before[active], behind[active]
     for d in range(length - size + 1 if len(active) else 0):
         if d:  # one more byte to the left
             left = mix(left * BASE + lefts[:, d - 1].astype(U) + U(1))
@@ -431,13 +438,12 @@ def _joined_spans(rows: np.ndarray) -> np.ndarray:
 
 
 def _spans(runs: DataFrame, length: int, size: int) -> DataFrame:
-    def merge(group: pd.DataFrame) -> pd.DataFrame:
-        rows = repeats(group["run"].tolist(), length, size)
-        found = pd.DataFrame(rows, columns=["doc_id", "text_key", "none", "start", "stop"])
-        found["doc_id"] = found["doc_id"].astype("Int64").mask(found.pop("none") == 1)
-        return found
+    def merge(group: pa.Table) -> pa.Table:
+        rows = repeats((r.as_buffer() for r in group["run"]), length, size)
+        columns = [pa.array(rows[:, 0], mask=rows[:, 2] == 1), *(pa.array(np.ascontiguousarray(rows[:, i])) for i in (1, 3, 4))]
+        return pa.Table.from_arrays(columns, ["doc_id", "text_key", "start", "stop"])
 
-    return runs.groupBy("range").applyInPandas(merge, f"{KEYED}, start long, stop long")
+    return runs.groupBy("range").applyInArrow(merge, f"{KEYED}, start long, stop long")
 
 
 def union(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
