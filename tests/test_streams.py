@@ -5,6 +5,7 @@ import json
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -282,6 +283,40 @@ def test_flow_life_over_several_batches(spark, tmp_path, shuffled):
     assert dict(out.dtypes)["src_port"] == "int"
 
 
+@pytest.mark.parametrize("split", [0, 400, 1000])
+def test_assembled_equals_naive_for_many_keys_at_once(split):
+    rng = random.Random(split)
+    table = sorted((rng.randrange(300), rng.choice("abcdefghijklmnopqrst") + "é", i) for i in range(1000))
+    columns = ["at", "key", "a"]
+    entries = pd.DataFrame({"key": pd.Series(dtype=object), **{f"n{i}": pd.Series(dtype="int64") for i in range(5)}})
+    done = []
+    for part in (table[:split], table[split:]):
+        rows = pd.DataFrame(part, columns=columns).astype({"at": "int64", "a": "int64"}).assign(b=2)
+        over, entries = stateful.assembled(rows, entries, 4, 9)
+        done.append(over)
+    found = sorted(tuple(row) for row in pd.concat([*done, entries]).itertuples(index=False))
+    wanted = []
+    for key in {row[1] for row in table}:
+        mine = [row for row in table if row[1] == key]
+        for flow in naive_flows({row[0] for row in mine}, 4, 9):
+            own = [row for row in mine if flow[0] <= row[0] <= flow[-1]]
+            wanted.append((key, flow[0], flow[-1], sum(row[2] for row in own), 2 * len(own), len(own)))
+    assert found == sorted(wanted)
+
+
+def test_streams_call_python_for_buckets_and_leave_out_rows_without_time(spark, tmp_path):
+    table = [record(i % 7, f"s{i}", packets=i) for i in range(2000)]
+    table[5] = (*table[5][:6], None, None)
+    for part in (table, [(*table[0][:5], None, *table[0][6:])], [record(10_000, "late")]):
+        spark.createDataFrame(part, RECORDS).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(RECORDS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    found = stateful.assemble_flows_stream(stream, 5, 12, late="2 seconds")
+    assert "bucket" in found._jdf.queryExecution().analyzed().toString()
+    jobs.finish(jobs.write_stream(found, f"{tmp_path}/out", f"{tmp_path}/check"))
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert rows(out, "src_ip", "packets", "records") == sorted(((f"s{i}", 0 if i == 5 else i, 1) for i in range(2000)), key=repr)
+
+
 def test_flow_life_in_batch_equals_naive(spark):
     rng = random.Random(9)
     table = [record(rng.randrange(200), rng.choice("abcd"), packets=i) for i in range(300)]
