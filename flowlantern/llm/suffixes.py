@@ -7,8 +7,8 @@ suffixes, and what the anchors' left sides share says how far it starts before t
 
 1. Anchors whose key occurs once in the corpus are dropped (keys are counted by hash; an equal hash of different keys
    only keeps an anchor longer).
-2. Every task sorts the suffixes of its anchors, folds equal ones, cuts the sorted run by ranges of the key's hash and
-   front-codes each piece: shared prefix length with the suffix before, and the rest.
+2. Every task sorts the suffixes of its anchors, folds equal ones, cuts the sorted run by ranges of the key's hash (mixed
+   again, as anchors have small ones) and front-codes each piece: shared prefix length with the suffix before, and the rest.
 3. A range's runs are merged by a loser tree that carries common prefix lengths: two heads with different lengths are
    ordered by these alone, equal ones are compared behind the known prefix. A run's suffixes are decoded one by one,
    when they become its head.
@@ -353,7 +353,7 @@ def _runs_of(docs: DataFrame, places: DataFrame, ranges: int, length: int, size:
             for i in range(0, len(at), SUFFIXES_IN_RUN):
                 s = slice(i, i + SUFFIXES_IN_RUN)
                 right, left = _contexts(data, begin[s], end[s], at[s], length, size)
-                keys = row_hashes(right[:, :size])
+                keys = mix(row_hashes(right[:, :size]))  # mixed again: anchors are where these hashes are small
                 suffixes = np.c_[keys.astype(">u8").view(np.uint8).reshape(-1, 8), right]
                 n = number[s]
                 facts = np.c_[documents[n], place[s], end[s] - at[s]]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -520,3 +521,16 @@ def test_context_tree_in_steps_of_blocks(spark, docs, nothing, monkeypatch):
 
 def test_digest_of_no_items():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0c442")
+
+
+def test_suffix_ranges_hold_about_as_many_anchors_each(spark):
+    rng = random.Random(4)
+    texts = [(i, "".join(rng.choice("abcdefgh ") for _ in range(3000))) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").withColumn("text_key", F.xxhash64("text"))
+    located = suffixes._located(docs, 200, 40).groupBy(F.col("doc_id").alias("id"), F.col("text_key").alias("key"))
+    places = located.agg(F.collect_set("place").alias("places"))
+    runs = suffixes._runs_of(docs, places, 20, 200, 40).collect()
+    held = dict.fromkeys(range(20), 0)
+    for row in runs:
+        held[row["range"]] += len(suffixes._unpack(row["run"])[3])
+    assert min(held.values()) * 3 > max(held.values()) and sum(held.values()) > 1500
