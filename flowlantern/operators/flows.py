@@ -95,8 +95,8 @@ def without_broadcast(flows: DataFrame, broadcast_address: str = "255.255.255.25
     return flows.filter(F.col("dst_ip") != broadcast_address)
 
 
-def clean_flows(bronze: DataFrame, dedupe: str = "row") -> DataFrame:
-    """Silver rows: real traffic only, without duplicates.
+def clean_flows(bronze: DataFrame, dedupe: str = "row", known: DataFrame | None = None) -> DataFrame:
+    """Silver rows: real traffic only, without duplicates and, with ``"row"``, without those that ``known`` holds.
 
     ``dedupe="row"`` compares all columns. ``"key"`` ignores how and when a message arrived, so a
     replay in a later micro-batch collapses too; the earliest delivery is kept. Copies are combined before
@@ -105,8 +105,13 @@ def clean_flows(bronze: DataFrame, dedupe: str = "row") -> DataFrame:
     costs a sort on both sides of the shuffle.
     """
     flows = without_broadcast(nonzero_flows(bronze))
+    if dedupe == "row" and known is not None:
+        both = flows.withColumn("known", F.lit(False)).unionByName(known.withColumn("known", F.lit(True)))
+        return both.groupBy(*flows.columns).agg(F.max("known").alias("known")).where(~F.col("known")).drop("known")
     if dedupe == "row":
         return flows.dropDuplicates()
+    if known is not None:
+        raise ValueError("known rows are compared whole")
     if dedupe != "key":
         raise ValueError(f"dedupe must be 'row' or 'key', not {dedupe!r}")
     delivery = [name for name in DELIVERY_COLUMNS if name in flows.columns]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from flowlantern.functions.measures import bytes_per_packet, row_hash, utc_parts
+from flowlantern.functions.measures import bytes_per_packet, utc_parts
 from flowlantern.operators import flows
 from flowlantern.sources.writers import write_table
 from flowlantern.streaming import jobs
@@ -26,30 +26,28 @@ SUMS = "src_ip string, vlan int, packets bigint, bytes bigint"
 VALUES = "src_ip string, vlan int, kind string, value string"
 
 
-def _with_identity(rows: DataFrame, columns: list[str], unit: str) -> DataFrame:
-    """Adds ``row_id`` over all columns and the start of the ``unit`` (UTC) in which the row was ingested as ``period``;
-    rows without that time share the first one."""
-    parts = [F.unix_micros(c.name) if isinstance(c.dataType, T.TimestampType) else F.col(c.name) for c in rows.schema if c.name in columns]
+def _with_period(rows: DataFrame, unit: str) -> DataFrame:
+    """Adds the start of the ``unit`` (UTC) in which a row was ingested as ``period``; rows without that time share the
+    first one."""
     day = F.coalesce(utc_parts(F.col("ingestion_time"))["event_date"], F.lit("1970-01-01").cast("date"))
-    period = F.date_trunc(unit, day.cast("timestamp")).cast("date")
-    return rows.withColumns({"row_id": row_hash(*parts), "period": period})
+    return rows.withColumn("period", F.date_trunc(unit, day.cast("timestamp")).cast("date"))
 
 
 def silver_table(spark: SparkSession, root: str, schema: T.StructType, batch_id: int | None = None) -> DataFrame:
-    """The silver rows stored below ``root``, with ``row_id``, ``period`` and ``batch_id``; of one batch if it is given."""
-    layout = T.StructType([*schema.fields, *T._parse_datatype_string("row_id string, period date, batch_id bigint").fields])
+    """The silver rows stored below ``root``, with ``period`` and ``batch_id``; of one batch if it is given."""
+    layout = T.StructType([*schema.fields, *T._parse_datatype_string("period date, batch_id bigint").fields])
     reader = spark.read.schema(layout).option("basePath", f"{root}/silver")
     return reader.parquet(f"{root}/silver" if batch_id is None else f"{root}/silver/batch_id={batch_id}")
 
 
 def _new_silver(batch: DataFrame, root: str, batch_id: int, unit: str) -> DataFrame:
-    """Clean rows no earlier batch holds. Equal rows are of the same period, so only the periods of the batch are read back."""
-    rows = _with_identity(flows.clean_flows(batch), batch.columns, unit)
+    """Clean rows no earlier batch holds. Equal rows are of the same period, so only the periods of the batch are read
+    back, and they share one shuffle with its rows."""
     if batch_id == 0:
-        return rows
+        return _with_period(flows.clean_flows(batch), unit)
     earlier = silver_table(batch.sparkSession, root, batch.schema).where(F.col("batch_id") < batch_id)
-    known = earlier.select("period", "row_id").join(rows.select("period").distinct(), "period", "left_semi")
-    return rows.join(known, ["period", "row_id"], "left_anti").select(rows.columns)
+    known = earlier.join(_with_period(batch, unit).select("period").distinct(), "period", "left_semi")
+    return _with_period(flows.clean_flows(batch, known=known.select(batch.columns)), unit)
 
 
 def _state(spark: SparkSession, root: str, name: str, layout: str, last: int, fold: int) -> DataFrame:

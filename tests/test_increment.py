@@ -70,6 +70,16 @@ def test_rows_that_differ_in_one_column_stay_apart(spark, bronze, tmp_path):
     assert increment.silver_table(spark, str(tmp_path), one.schema).count() == 3
 
 
+def test_known_rows_share_one_shuffle_with_new_ones(spark, bronze, tmp_path):
+    increment.take_batch(bronze.where("src_port % 2 = 0"), 0, str(tmp_path), 16, "year")
+    fresh = increment._new_silver(bronze, str(tmp_path), 1, "year")
+    assert rows(fresh, *bronze.columns) == rows(flows.clean_flows(bronze).where("src_port % 2 = 1"))
+    assert plan(fresh).count("Exchange hashpartitioning(flow_type") == 1 and "sha2" not in plan(fresh)
+    assert "row_id" not in spark.read.parquet(f"{tmp_path}/silver").columns
+    with pytest.raises(ValueError):
+        flows.clean_flows(bronze, "key", known=bronze)
+
+
 def test_sketches_merge_over_days(spark):
     table = "time_received bigint, src_ip string, vlan int, dst_ip string, dst_port int, packets bigint, bytes bigint"
     made = [(day * 86400 + i, "a", None, f"t{i % 90}", (day * 60 + i) % 150, 1, 10) for day in range(3) for i in range(100)]
