@@ -347,12 +347,15 @@ def trafego_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 def growing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Logs taken in while they grow: three deliveries, the files renamed by rotation after the second."""
     root = shared_dir(spark, "growing")
-    lines = derived.eve_lines(derived.table(spark, sf_dir, "events"), paired=True)
+    # Dealt out for the texts, which cost more than the rows; written once for the three deliveries.
+    events = derived.table(spark, sf_dir, "events", spread=False).repartition(*derived.ROW_KEY["events"])
+    lines = stored(derived.eve_lines(events, paired=True), "growing-lines")
+    sensors = derived.sensors(lines)
     part = F.crc32("value") % 3
     for number in range(3):
         if number == 2:
             derived.rotate(f"{root}/log")
-        derived.append_lines(lines.filter(part == number), f"{root}/log")
+        derived.append_lines(lines.filter(part == number), f"{root}/log", sensors)
         jobs.ingest_log(spark, f"{root}/log", f"{root}/table", f"{root}/checkpoint")
     return readers.read_table(spark, f"{root}/table").drop("event_date")
 

@@ -213,14 +213,18 @@ def eve_lines(events: DataFrame, dirty: bool = False, paired: bool = False) -> D
         flat[2] = F.when(F.expr("event_id % 29 <> 1"), F.expr(EVE["src_ip"])).alias("src_ip")
     counters = F.struct(*[F.expr(text).alias(name) for name, text in EVE_COUNTERS.items()]).alias("flow")
 
-    def written(alert: dict[str, str]) -> Column:
-        fields = F.struct(*[F.expr(text).alias(name) for name, text in alert.items()]).alias("alert")
-        return F.to_json(F.struct(moment.alias("timestamp"), *flat, fields, counters))
+    def raised(alert: dict[str, str]) -> Column:
+        return F.struct(*[F.expr(text).alias(name) for name, text in alert.items()])
 
-    line = written(EVE_ALERT)
+    alert = raised(EVE_ALERT)
     if paired:
-        second = F.array(line, written({**EVE_ALERT, **SECOND_ALERT}))
-        return events.select(F.explode(F.when(F.expr("event_type = 'error'"), second).otherwise(F.array(line))).alias("value"))
+        both = F.array(alert, raised({**EVE_ALERT, **SECOND_ALERT}))
+        # The alerts become rows before any text is written: with a text for each, the generated method would outgrow
+        # what the JVM compiles.
+        alert = F.explode(F.when(F.expr("event_type = 'error'"), both).otherwise(F.array(alert)))
+        fields = events.select(moment.alias("timestamp"), *flat, counters, alert.alias("alert"))
+        return fields.select(F.to_json(F.struct("timestamp", *EVE, "alert", "flow")).alias("value"))
+    line = F.to_json(F.struct(moment.alias("timestamp"), *flat, alert.alias("alert"), counters))
     if dirty:
         line = F.when(F.expr("event_id % 23 = 1"), F.concat(F.lit("{cut "), F.col("event_id").cast("string"))).otherwise(line)
     return events.select(line.alias("value"))
@@ -341,6 +345,14 @@ def _store(folder: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
 
 
+SENSOR_LINES = 1_000_000
+
+
+def sensors(lines: DataFrame) -> int:
+    """How many logs share ``lines``: four, and one more for every million, so that no log takes longer on large tables."""
+    return 4 + lines.count() // SENSOR_LINES
+
+
 def append_lines(lines: DataFrame, folder: str, files: int = 4) -> None:
     """Appends ``value`` to the logs of ``files`` sensors, each written by a task of its own."""
     store, root = _store(folder)

@@ -28,7 +28,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HEAD = 4096  # bytes that the first line is known by
 BLOCK = 1 << 20
-SPLIT = 64 << 20
+SPLIT = 16 << 20  # about 40,000 events, a second or two of parsing
 
 
 @dataclass

@@ -212,15 +212,27 @@ def insert_new(
     """
     stored = _stored(batch.sparkSession, path)
     once = batch.dropDuplicates([key]) if dedupe is None else dedupe(batch)
-    if stored is not None:
+
+    def append(rows: DataFrame) -> None:
+        rows.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
+
+    if stored is None:
+        append(once)
+        return
+    # Made once for the dates and the rows; the count fills it in one pass over all partitions.
+    once.persist()
+    try:
         undated = F.col(partition).isNull()
         dates = once.filter(~undated).select(partition).distinct()
-        known = stored.select(key, partition).join(dates, partition, "left_semi")
+        # Each date is a folder, which the driver lists anyway. Joined by a shuffle, the stored keys would meet in a task
+        # for each date.
+        known = stored.select(key, partition).join(F.broadcast(dates), partition, "left_semi")
         dated = once.filter(~undated).join(known, [key, partition], "left_anti")
-        if not once.filter(undated).isEmpty():
+        if once.agg(F.count_if(undated)).first()[0]:
             dated = dated.unionByName(new_rows(once.filter(undated), stored.filter(undated), key).select(dated.columns))
-        once = dated.select(once.columns)
-    once.hint("rebalance", partition).write.mode("append").partitionBy(partition).parquet(path)
+        append(dated.select(once.columns))
+    finally:
+        once.unpersist()
 
 
 def ingest_log(
@@ -258,13 +270,15 @@ def run_eve_ingest(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        # Parsed once for the dates, the rows and the rejects.
+        if not rejected:
+            insert_new(ids.to_trafego(batch), path, dedupe=ids.dedupe_trafego)
+            return
+        # Parsed once for the rows and the rejects.
         batch.persist()
         try:
             insert_new(ids.to_trafego(batch), path, dedupe=ids.dedupe_trafego)
-            if rejected:
-                # A folder per batch, overwritten when the batch is repeated.
-                ids.rejected_events(batch).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
+            # A folder per batch, overwritten when the batch is repeated.
+            ids.rejected_events(batch).write.mode("overwrite").parquet(f"{rejected}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
