@@ -16,6 +16,10 @@ Every word then joins its most frequent neighbour, if that is at least twice as
 along such a chain, so roots are found by a number of pointer jumps that is logarithmic in the logarithm of the largest
 frequency.
 
+Joins whose sides Spark sizes by a stored file, not by a shuffle, are merge joins by hint: a word becomes some twenty
+entries, which Spark takes for one row, and rows of packed files are several times larger in memory. By these sizes it
+would broadcast tables that the driver has no room for.
+
 Defined cases: NULL words and those shorter than ``min_length`` (at least 4) or rarer than ``min_count`` take no part.
 Ties between neighbours go to the word first in code-point order. An empty table gives no rows.
 """
@@ -182,7 +186,7 @@ def neighbours(vocab: DataFrame) -> DataFrame:
     turn = (F.col("last_a") < F.col("last_b")) | ((F.col("last_a") == F.col("last_b")) & (F.col("a") < F.col("b")))
     own = F.when(F.col("tail"), tails("place") & ~heads("place")).otherwise(heads("place"))
     before = (F.col("head") >= 0) & (heads("head") | tails("head"))  # the first pivot has it already
-    met = a.join(b, "address").where(turn & own & ~before).where(F.levenshtein("a", "b", 1) == 1)
+    met = a.join(b.hint("merge"), "address").where(turn & own & ~before).where(F.levenshtein("a", "b", 1) == 1)
     return met.select("a", "n_a", "b", "n_b")
 
 
@@ -194,7 +198,7 @@ def _roots(forms: DataFrame, largest: int) -> DataFrame:
     at = forms.select("word", F.col("form").alias("root"))
     for _ in range(steps):
         ahead = at.select(F.col("word").alias("root"), F.col("root").alias("ahead"))
-        at = stored(at.join(ahead, "root", "left").select("word", F.coalesce("ahead", "root").alias("root")), "roots")
+        at = stored(at.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("ahead", "root").alias("root")), "roots")
     return at
 
 
@@ -224,5 +228,5 @@ def variant_groups(words: DataFrame, min_length: int = 5, min_count: int = 3) ->
     )
     found = stored(found, "forms")
     roots = _roots(found.where(F.col("form").isNotNull()), found.agg(F.max("n")).first()[0] or 0)
-    found = found.join(roots, "word", "left").withColumn("root", F.coalesce("root", "word"))
+    found = found.join(roots.hint("merge"), "word", "left").withColumn("root", F.coalesce("root", "word"))
     return found.select("word", "form", "root", "n", "n_near", "form_n")

@@ -72,6 +72,23 @@ def test_empty(spark):
     assert run(spark, []) == []
 
 
+def test_broadcasts_nothing_sized_by_its_file(spark):
+    """Entries are many times the vocabulary they are made from, roots several times their files; both grow with the words."""
+    rng = np.random.default_rng(7)
+    made = ["".join(rng.choice(list("abcde"), 7)) for _ in range(1000)]
+    words = [w for w in made for _ in range(int(rng.zipf(1.7)) % 300 + 2)]
+    # what shuffles have measured is left out, and the driver has no room for what was not
+    settings = {"spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.maxBroadcastTableSize": "1k"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        found = run(spark, words)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert found == brute(words) and any(r[1] for r in found)
+
+
 def lost(doc_id, run):
     h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
     at = h % len(run)
